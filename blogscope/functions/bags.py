@@ -6,50 +6,48 @@ each distinct token, and the gaps between those indices are the counts. The
 result is ``ARRAY<STRUCT<term STRING, cnt INT>>`` ordered by term. Corpus-level
 statistics (document frequencies) are ``groupBy`` jobs on top of it.
 
-Lambdas must only refer to columns, never to array expressions: an expression
-inside a lambda is evaluated again for every element. So each intermediate
-array is materialised as its own column first (``with_*`` helpers take and
-return DataFrames); Catalyst keeps such non-trivial aliases un-inlined.
+An expression referenced from inside a lambda is evaluated again for every
+element, and the optimizer freely substitutes column aliases (into lambdas, and
+into filters it pushes down). So every intermediate array is bound once with
+``let`` (``transform(array(value), v -> body)[0]``) and lambdas only ever see
+lambda variables: whatever the optimizer inlines, the work stays linear.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BAG_TYPE = "array<struct<term:string,cnt:int>>"
 
 
-def _last_index_flags(s: Column, n: Column) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-                    lambda i: (i < n) & ((i == n - 1) | (F.get(s, i) != F.get(s, i + 1))))
-
-
-def with_term_counts(df: DataFrame, tokens_col: str, out: str) -> DataFrame:
-    """A8 inside the row: ``out`` = distinct tokens with counts, sorted by term."""
-    s, e = f"_{out}_s", f"_{out}_e"
-    d = df.withColumn(s, F.sort_array(F.col(tokens_col)))
-    d = d.withColumn(e, _last_index_flags(F.col(s), F.size(s)))
-    d = d.withColumn(out, F.transform(
-        F.col(e),
-        lambda x, k: F.struct(
-            F.get(F.col(s), x).alias("term"),
-            (x - F.coalesce(F.get(F.col(e), k - 1), F.lit(-1))).cast("int").alias("cnt"))))
-    return d.drop(s, e)
-
-
-def with_first_positions(df: DataFrame, tokens_col: str, out: str) -> DataFrame:
-    """``out`` = distinct tokens with the 0-based position of their first occurrence,
-    sorted by term (aligned with ``with_term_counts``)."""
-    s, st = f"_{out}_s", f"_{out}_st"
-    d = df.withColumn(s, F.sort_array(F.transform(
-        F.col(tokens_col), lambda t, i: F.struct(t.alias("term"), i.alias("pos")))))
-    n = F.size(s)
-    d = d.withColumn(st, F.filter(
-        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-        lambda i: (i < n) & ((i == 0) | (F.get(F.col(s), i)["term"] != F.get(F.col(s), i - 1)["term"]))))
-    d = d.withColumn(out, F.transform(F.col(st), lambda i: F.get(F.col(s), i)))
-    return d.drop(s, st)
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def term_counts(tokens: Column) -> Column:
+    """A8 inside the row: distinct tokens with their counts, sorted by term."""
+    def with_sorted(s):
+        n = F.size(s)
+        ends = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                        lambda i: (i < n) & ((i == n - 1) | (F.get(s, i) != F.get(s, i + 1))))
+        return let(ends, lambda e: F.transform(
+            e, lambda x, k: F.struct(F.get(s, x).alias("term"),
+                                     (x - F.coalesce(F.get(e, k - 1), F.lit(-1))).cast("int").alias("cnt"))))
+    return let(F.sort_array(tokens), with_sorted)
+
+
+def first_positions(tokens: Column) -> Column:
+    """Distinct tokens with the 0-based position of their first occurrence, sorted
+    by term (aligned with ``term_counts``)."""
+    def with_sorted(s):
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
+                          lambda i: (i < n) & ((i == 0) | (F.get(s, i)["term"] != F.get(s, i - 1)["term"])))
+        return F.transform(starts, lambda i: F.get(s, i))
+    return let(F.sort_array(F.transform(tokens, lambda t, i: F.struct(t.alias("term"), i.alias("pos")))),
+               with_sorted)
 
 
 def top_by_count(bag: Column, k: int) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from . import lexicon as lx
 
-WS_CHARS = r" \t\n\x0B\f\r"
+WS_CHARS = r" \t\n\x0B\f\r"          # regex spelling
+WS_SET = " \t\n\x0b\f\r"              # the characters themselves
 WS = f"[{WS_CHARS}]"
 NON_WS = f"[^{WS_CHARS}]"
 
@@ -21,8 +22,8 @@ def _c(col) -> Column:
 
 
 def strip_ws(col) -> Column:
-    """Strip leading/trailing ASCII whitespace (``trim`` only removes spaces)."""
-    return F.regexp_replace(_c(col), f"^{WS}+|{WS}+$", "")
+    """Strip leading/trailing ASCII whitespace (plain ``trim`` only removes spaces)."""
+    return F.trim(_c(col), F.lit(WS_SET))
 
 
 def collapse_ws(col) -> Column:
@@ -35,7 +36,8 @@ def clean_content(col) -> Column:
     The entity replacements run after the letters-only step, so they never match
     (kept for parity; see ``clean_content_decoded`` for the useful order).
     """
-    c = F.regexp_replace(_c(col), f"[^a-zA-Z{WS_CHARS}]", " ")
+    # runs instead of single characters: identical once whitespace is collapsed
+    c = F.regexp_replace(_c(col), f"[^a-zA-Z{WS_CHARS}]+", " ")
     for old, new in lx.CONTENT_LITERAL_REPLACEMENTS:
         c = F.replace(c, F.lit(old), F.lit(new))
     return collapse_ws(c)
@@ -65,6 +67,13 @@ def clean_html(col) -> Column:
     return collapse_ws(c)
 
 
+def clean_html_if_needed(col) -> Column:
+    """P5, skipped when it is the identity: without '<', '&', ':', '@', non-space
+    whitespace, double or edge spaces nothing in P5 can match (e.g. on P3 output)."""
+    c = _c(col)
+    return F.when(c.rlike(r"[<&:@\t\n\x0B\f\r]|  |^ | $"), clean_html(c)).otherwise(c)
+
+
 def clean_html_array(col) -> Column:
     """P5 on an array of strings (non-string/null entries dropped)."""
     return F.transform(F.filter(_c(col), lambda t: t.isNotNull()), clean_html)

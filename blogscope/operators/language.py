@@ -13,35 +13,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import bags
 from ..functions import lexicon as lx
 from ..functions import text as tx
 
 UNKNOWN = "unknown"
 
 
-def language_vote_counts(col, stop_words: dict = lx.LANGUAGE_STOP_WORDS) -> Column:
-    """ARRAY<STRUCT<neg INT, lang STRING>> sorted so the winner comes first."""
-    c = F.col(col) if isinstance(col, str) else col
-    clean = tx.collapse_ws(F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}_{tx.WS_CHARS}]", " "))
-    toks = F.split(F.lower(clean), " ")
-    per_lang = [F.struct((-F.size(F.filter(toks, _member_of(ws)))).alias("neg"), F.lit(lang).alias("lang"))
-                for lang, ws in sorted(stop_words.items())]
-    return F.sort_array(F.array(*per_lang))
-
-
 def _member_of(words):
     ws = list(words)
     return lambda t: t.isin(ws)
 
 
 def detect_language(col, stop_words: dict = lx.LANGUAGE_STOP_WORDS) -> Column:
+    """P2 as one expression; the cleaned text and its words are bound once (``let``)."""
     c = F.col(col) if isinstance(col, str) else col
-    clean = tx.collapse_ws(F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}_{tx.WS_CHARS}]", " "))
-    best = F.get(language_vote_counts(c, stop_words), 0)
+
+    def with_clean(clean):
+        def with_toks(tk):
+            per_lang = [F.struct((-F.size(F.filter(tk, _member_of(ws)))).alias("neg"), F.lit(lang).alias("lang"))
+                        for lang, ws in sorted(stop_words.items())]
+            best = F.get(F.sort_array(F.array(*per_lang)), 0)
+            return bags.let(best, lambda b: F.when(F.length(clean) < 10, F.lit(UNKNOWN))
+                            .when(b["neg"] < 0, b["lang"]).otherwise(F.lit(UNKNOWN)))
+        return bags.let(F.split(F.lower(clean), " "), with_toks)
+
+    clean = tx.collapse_ws(F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}_{tx.WS_CHARS}]+", " "))
     return (F.when(c.isNull() | (F.length(tx.strip_ws(c)) < 3), F.lit(UNKNOWN))
-             .when(F.length(clean) < 10, F.lit(UNKNOWN))
-             .when(best["neg"] < 0, best["lang"])
-             .otherwise(F.lit(UNKNOWN)))
+             .otherwise(bags.let(clean, with_clean)))
+
+
+def with_language(df: DataFrame, col: str, out: str = "content_language",
+                  stop_words: dict = lx.LANGUAGE_STOP_WORDS) -> DataFrame:
+    return df.withColumn(out, detect_language(col, stop_words))
 
 
 def language_distribution(df: DataFrame, lang_col: str = "content_language") -> DataFrame:

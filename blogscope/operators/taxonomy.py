@@ -74,9 +74,18 @@ def subtopic_vectors(taxonomy: DataFrame, vectors: DataFrame) -> DataFrame:
                   .select(F.col("_first").alias("ord"), "major", "subtopic"))
     words = dedup.select("ord", "major", "subtopic",
                          F.posexplode(tx.phrase_words(F.col("subtopic"))).alias("wpos", "word"))
-    # the taxonomy side is the bounded one: broadcast it, stream the vector table
-    hit = vectors.select("word", "vec").join(F.broadcast(words), "word")
-    return mean_vectors(hit, ["ord", "major", "subtopic"], "vec")
+    return mean_vectors(lookup_vectors(words, vectors), ["ord", "major", "subtopic"], "vec")
+
+
+def lookup_vectors(df: DataFrame, vectors, word_col: str = "word") -> DataFrame:
+    """Attach ``vec`` to rows by word; unknown words dropped (inner join).
+
+    ``vectors`` is a (word, vec) table or a function ``(df, word_col) -> df + vec``
+    (e.g. a hashed lookup). A plain table join is left to AQE: broadcast when the
+    measured vector side is small, shuffle join with skew splitting otherwise."""
+    if callable(vectors):
+        return vectors(df, word_col)
+    return df.join(vectors.select(F.col("word").alias(word_col), "vec"), word_col)
 
 
 def mean_vectors(df: DataFrame, keys: list[str], vec_col: str, weight_col: str | None = None) -> DataFrame:
@@ -115,7 +124,7 @@ def select_topic_words(topics: DataFrame, percentile: float = 0.6, min_words: in
     frac = pos - lo
     pct = F.get(srt, lo) + frac * (F.coalesce(F.get(srt, lo + 1), F.get(srt, lo)) - F.get(srt, lo))
     threshold = F.when(n > 3, pct).otherwise(F.array_min("weights"))
-    valid = (topics.where((n > 0) & (F.size("weights") == n))
+    valid = (topics.withColumn("_ok", (n > 0) & (F.size("weights") == n))
                    .withColumn("_srt", F.sort_array(F.col("weights")))
                    .withColumn("_coh", coh))
     valid = valid.withColumn("_thr", threshold)
@@ -129,7 +138,8 @@ def select_topic_words(topics: DataFrame, percentile: float = 0.6, min_words: in
         F.filter(F.arrays_zip(F.col("_ord").alias("z"), F.array_repeat(F.col("_thr"), F.size("_ord")).alias("t")),
                  lambda p: p["z"]["weight"] >= p["t"]),
         lambda p: p["z"])
-    chosen = F.when(F.size(passing) < min_words, F.slice("_ord", 1, min_words)).otherwise(passing)
+    chosen = F.when(~F.col("_ok"), F.array().cast(items_type(valid)))\
+        .when(F.size(passing) < min_words, F.slice("_ord", 1, min_words)).otherwise(passing)
     return (valid.select("doc_id", "topic_id", F.coalesce("topic_quality", F.lit(0.5)).alias("topic_quality"),
                          F.posexplode(chosen).alias("pos", "_z"))
                  .select("doc_id", "topic_id", "topic_quality", "pos",
@@ -137,6 +147,10 @@ def select_topic_words(topics: DataFrame, percentile: float = 0.6, min_words: in
                          F.col("_z.coherence").alias("coherence")))
 
 
+def items_type(df: DataFrame) -> str:
+    return df.schema["_ord"].dataType.simpleString()
+
+
 def topic_vectors(selected: DataFrame, vectors: DataFrame) -> DataFrame:
     """X2 (+J3): topic vector = average of the words' phrase vectors weighted by
     weight * (coherence + 0.2), weights normalised. A phrase vector is the mean of
@@ -145,7 +159,7 @@ def topic_vectors(selected: DataFrame, vectors: DataFrame) -> DataFrame:
     """
     parts = selected.select("doc_id", "topic_id", "topic_quality", "pos", "weight", "coherence",
                             F.posexplode(tx.phrase_words(F.col("word"))).alias("ppos", "word"))
-    hit = parts.join(vectors.select("word", "vec"), "word")
+    hit = lookup_vectors(parts, vectors)
     phrase = mean_vectors(hit.withColumnRenamed("vec", "wv"),
                           ["doc_id", "topic_id", "topic_quality", "pos", "weight", "coherence"], "wv")
     weighted = phrase.withColumn("cw", F.col("weight") * (F.col("coherence") + F.lit(0.2)))

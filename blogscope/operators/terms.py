@@ -46,51 +46,59 @@ def sentences(col, min_chars: int = 21) -> Column:
     return F.filter(parts, lambda s: F.length(s) >= min_chars)
 
 
-def with_word_frequencies(df: DataFrame, tokens_col: str, out: str = "word_frequencies",
-                          n_most: int = 10, n_least: int = 10, min_word_length: int = 2) -> DataFrame:
+def word_frequencies(tokens: Column, n_most: int = 10, n_least: int = 10,
+                     min_word_length: int = 2) -> Column:
     """Most common (count desc) and least common among count > 1 (count asc);
-    ties by first occurrence. ``out`` = STRUCT<most_common, least_common> of arrays."""
-    d = df.withColumn("_wf_t", F.filter(F.col(tokens_col), lambda t: F.length(t) >= min_word_length))
-    d = bags.with_first_positions(bags.with_term_counts(d, "_wf_t", "_wf_c"), "_wf_t", "_wf_p")
-    d = d.withColumn("_wf_r", F.transform(
-        F.arrays_zip(F.col("_wf_c").alias("c"), F.col("_wf_p").alias("p")),
-        lambda x: F.struct(x["c"]["cnt"].alias("cnt"), x["p"]["pos"].alias("pos"), x["c"]["term"].alias("term"))))
-    most = F.slice(F.sort_array(F.transform("_wf_r", lambda r: F.struct(
-        (-r["cnt"]).alias("k"), r["pos"].alias("pos"), r["term"].alias("term")))), 1, n_most)
-    least = F.slice(F.sort_array(F.filter("_wf_r", lambda r: r["cnt"] > 1)), 1, n_least)
-    d = d.withColumn(out, F.struct(F.transform(most, lambda r: r["term"]).alias("most_common"),
-                                   F.transform(least, lambda r: r["term"]).alias("least_common")))
-    return d.drop("_wf_t", "_wf_c", "_wf_p", "_wf_r")
-
-
-def with_tfidf_topic(df: DataFrame, tokens_col: str, out: str = "topic", top_n: int = 5,
-                     max_features: int = 1000, num_words: int = 10) -> DataFrame:
+    ties by first occurrence. STRUCT<most_common, least_common> of arrays."""
+    def body(toks):
+        rows = F.transform(F.arrays_zip(bags.term_counts(toks).alias("c"), bags.first_positions(toks).alias("p")),
+                           lambda x: F.struct(x["c"]["cnt"].alias("cnt"), x["p"]["pos"].alias("pos"),
+                                              x["c"]["term"].alias("term")))
+
+        def pick(r):
+            most = F.slice(F.sort_array(F.transform(r, lambda y: F.struct(
+                (-y["cnt"]).alias("k"), y["pos"].alias("pos"), y["term"].alias("term")))), 1, n_most)
+            least = F.slice(F.sort_array(F.filter(r, lambda y: y["cnt"] > 1)), 1, n_least)
+            return F.struct(F.transform(most, lambda y: y["term"]).alias("most_common"),
+                            F.transform(least, lambda y: y["term"]).alias("least_common"))
+        return bags.let(rows, pick)
+    return bags.let(F.filter(tokens, lambda t: F.length(t) >= min_word_length), body)
+
+
+def tfidf_topic(tokens: Column, top_n: int = 5, max_features: int = 1000, num_words: int = 10) -> Column:
     """Single-document TF-IDF (idf constant, so weight = tf / ||tf||2 over the
-    ``max_features`` most frequent terms), top ``top_n`` terms. ``out`` =
+    ``max_features`` most frequent terms), top ``top_n`` terms.
     STRUCT<words, weights, label, topic_quality>; empty words when no token."""
-    d = bags.with_term_counts(df, tokens_col, "_tt_bag")
-    d = d.withColumn("_tt_kept", bags.top_by_count(F.col("_tt_bag"), max_features))
-    d = d.withColumn("_tt_norm", bags.l2_norm(F.col("_tt_kept")))
-    # the norm enters the lambda as a zipped argument so it is evaluated once per row
-    weighted = F.zip_with("_tt_kept", F.array_repeat(F.col("_tt_norm"), F.size("_tt_kept")),
-                          lambda x, nrm: F.struct((x["cnt"] / nrm).alias("weight"), x["term"].alias("term")))
-    d = d.withColumn("_tt_top", F.slice(F.filter(bags.top_weighted(weighted, top_n),
-                                                 lambda x: x["weight"] > 0), 1, num_words))
-    words = F.transform("_tt_top", lambda x: x["term"])
-    weights = F.transform("_tt_top", lambda x: x["weight"])
-    quality = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x) / F.size("_tt_top")
-    d = d.withColumn(out, F.struct(words.alias("words"), weights.alias("weights"),
-                                   tx.tfidf_label(words).alias("label"),
-                                   F.when(F.size("_tt_top") > 0, quality).otherwise(F.lit(0.0))
-                                   .alias("topic_quality")))
-    return d.drop("_tt_bag", "_tt_kept", "_tt_norm", "_tt_top")
+    def with_kept(kept):
+        def with_norm(nrm):
+            weighted = F.transform(kept, lambda x: F.struct((x["cnt"] / nrm).alias("weight"),
+                                                            x["term"].alias("term")))
+            top = F.slice(F.filter(bags.top_weighted(weighted, top_n), lambda x: x["weight"] > 0), 1, num_words)
+
+            def out(t):
+                words = F.transform(t, lambda x: x["term"])
+                weights = F.transform(t, lambda x: x["weight"])
+                quality = F.aggregate(t, F.lit(0.0), lambda a, x: a + x["weight"]) / F.size(t)
+                return F.struct(words.alias("words"), weights.alias("weights"),
+                                tx.tfidf_label(words).alias("label"),
+                                F.when(F.size(t) > 0, quality).otherwise(F.lit(0.0)).alias("topic_quality"))
+            return bags.let(top, out)
+        return bags.let(bags.l2_norm(kept), with_norm)
+    return bags.let(bags.top_by_count(bags.term_counts(tokens), max_features), with_kept)
+
+
+def with_word_frequencies(df: DataFrame, tokens_col: str, out: str = "word_frequencies", **kw) -> DataFrame:
+    return df.withColumn(out, word_frequencies(F.col(tokens_col), **kw))
+
+
+def with_tfidf_topic(df: DataFrame, tokens_col: str, out: str = "topic", **kw) -> DataFrame:
+    return df.withColumn(out, tfidf_topic(F.col(tokens_col), **kw))
 
 
 def exploded_counts(df: DataFrame, key_cols: list[str], tokens_col: str) -> DataFrame:
     """A8 in long form: (keys..., term, cnt), one row per distinct term of a row."""
-    d = bags.with_term_counts(df.select(*key_cols, tokens_col), tokens_col, "_bag")
-    return (d.select(*key_cols, F.explode("_bag").alias("_b"))
-             .select(*key_cols, F.col("_b.term").alias("term"), F.col("_b.cnt").alias("cnt")))
+    return (df.select(*key_cols, F.explode(bags.term_counts(F.col(tokens_col))).alias("_b"))
+              .select(*key_cols, F.col("_b.term").alias("term"), F.col("_b.cnt").alias("cnt")))
 
 
 def smooth_idf(n_docs: Column, df_col: Column) -> Column:

@@ -24,22 +24,26 @@ LDA_MIN_SIMILARITY = 0.50
 
 
 def prepare_blogs(blogs: DataFrame, english_only: bool = True) -> DataFrame:
-    """P2 (vote) on the raw text, P3 clean-up, P4 industry, P6 English filter."""
-    out = (blogs.withColumn("content_language", language.detect_language("content"))
-                .withColumn("content", tx.clean_content("content"))
-                .withColumn("industry", tx.clean_industry("industry")))
+    """P2 (vote) on the raw text, P3 clean-up, P4 industry, P6 English filter.
+
+    With ``english_only`` the vote is the filter predicate itself (evaluated once,
+    next to the scan) and the surviving rows are all ``en``."""
     if english_only:
-        out = out.where(F.col("content_language") == "en")
-    return out
+        out = (blogs.where(language.detect_language("content") == "en")
+                    .withColumn("content_language", F.lit("en")))
+    else:
+        out = language.with_language(blogs, "content")
+    return (out.withColumn("content", tx.clean_content("content"))
+               .withColumn("industry", tx.clean_industry("industry")))
 
 
 def tfidf_topics(blogs: DataFrame, top_n: int = 5, max_features: int = 1000) -> DataFrame:
     """T2 + T8 per blog: one topic (topic_id 0) per blog with at least one term."""
     toks = blogs.select(F.col("file_id").alias("doc_id"),
-                        terms.topic_tokens(tx.clean_html(F.col("content"))).alias("tokens"))
+                        terms.topic_tokens(tx.clean_html_if_needed(F.col("content"))).alias("tokens"))
     t = terms.with_tfidf_topic(toks, "tokens", "t", top_n=top_n, max_features=max_features)
-    # A generator, not a filter: a filter on the derived column would be pushed below
-    # the projections and re-inline the array pipeline into itself.
+    # Blogs without terms leave through the explode (no filter operator: a filter on
+    # the derived column would be pushed down and evaluate the TF-IDF twice).
     t = t.select("doc_id", F.explode(F.filter(F.array("t"), lambda x: F.size(x["words"]) > 0)).alias("t"))
     return (t.select("doc_id", F.lit(0).alias("topic_id"), F.col("t.label").alias("label"),
                      F.col("t.words").alias("words"), F.col("t.weights").alias("weights"),
@@ -47,23 +51,18 @@ def tfidf_topics(blogs: DataFrame, top_n: int = 5, max_features: int = 1000) ->
                      F.col("t.topic_quality").alias("topic_quality")))
 
 
-def vocabulary_vectors(spark: SparkSession, sf_dir: str, topics: DataFrame, tax: DataFrame) -> DataFrame:
-    """Word vectors for every topic word and taxonomy word (driver tables adapter)."""
-    emb = read_table(spark, sf_dir, "embeddings")
-    words = (topics.select(F.explode("words").alias("w"))
-                   .select(F.explode(tx.phrase_words(F.col("w"))).alias("word"))
-                   .unionByName(tax.select(F.explode(tx.phrase_words(tx.normalise_term(F.col("subtopic"))))
-                                           .alias("word"))))
-    return testdata.hashed_word_vectors(words, emb)
-
-
 def classified(spark: SparkSession, sf_dir: str, min_similarity: float = TFIDF_MIN_SIMILARITY,
                top_n: int = 25) -> DataFrame:
     """X4 per blog: (doc_id, classification, pct, rank)."""
     blogs = prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
+    return classify_blogs(spark, sf_dir, blogs, min_similarity, top_n)
+
+
+def classify_blogs(spark: SparkSession, sf_dir: str, blogs: DataFrame,
+                   min_similarity: float = TFIDF_MIN_SIMILARITY, top_n: int = 25) -> DataFrame:
     topics = tfidf_topics(blogs)
     tax = taxonomy.fallback_taxonomy(spark)
-    vecs = vocabulary_vectors(spark, sf_dir, topics, tax)
+    vecs = testdata.hashed_lookup(read_table(spark, sf_dir, "embeddings"))
     return taxonomy.classify_topics(topics, tax, vecs, top_n=top_n, min_similarity=min_similarity)
 
 
@@ -71,7 +70,7 @@ def blogs_with_scores(spark: SparkSession, sf_dir: str,
                       min_similarity: float = TFIDF_MIN_SIMILARITY) -> DataFrame:
     """English blogs with demographics and their classification map (NULL if none)."""
     blogs = prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
-    maps = taxonomy.classification_map(classified(spark, sf_dir, min_similarity))
+    maps = taxonomy.classification_map(classify_blogs(spark, sf_dir, blogs, min_similarity))
     demo = segments.prepare_demographics(blogs.select("file_id", "gender", "age", "industry"))
     return demo.join(maps.withColumnRenamed("doc_id", "file_id"), "file_id", "left")
 

@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # explode() otherwise gets an inferred size(...) > 0 filter that is pushed below
+    # the projection, evaluating the generator's (array-heavy) input twice
+    "spark.sql.optimizer.excludedRules":
+        "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
 }
 
 
@@ -44,6 +48,7 @@ def apply_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.optimizer.excludedRules", DEFAULT_CONF["spark.sql.optimizer.excludedRules"])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

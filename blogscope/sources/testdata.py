@@ -60,6 +60,18 @@ def hashed_word_vectors(words: DataFrame, embeddings: DataFrame, word_col: str =
     return keyed.join(embeddings.select("vec_id", F.col("embedding").alias("vec")), "vec_id").select("word", "vec")
 
 
+def hashed_lookup(embeddings: DataFrame):
+    """S10/J3 as a lookup function: rows get the vector of ``pmod(md5 prefix, n)``.
+    The embedding table is a dimension (thousands of rows); AQE broadcasts it."""
+    n = embeddings.select(F.count(F.lit(1))).scalar()
+    dim = embeddings.select("vec_id", F.col("embedding").alias("vec"))
+
+    def lookup(df: DataFrame, word_col: str = "word") -> DataFrame:
+        keyed = df.withColumn("_vec_id", word_index(F.col(word_col), n))
+        return keyed.join(dim.withColumnRenamed("vec_id", "_vec_id"), "_vec_id").drop("_vec_id")
+    return lookup
+
+
 def posts_from_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts in the shape of the XML extraction: (file_id, pos, date, content, role)."""
     conv = read_table(spark, sf_dir, "conversations")

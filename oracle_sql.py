@@ -30,7 +30,7 @@ def collapse(expr: str) -> str:
 
 
 def clean_content(expr: str) -> str:
-    e = f"regexp_replace({expr}, '[^a-zA-Z{WS}]', ' ', 'g')"
+    e = f"regexp_replace({expr}, '[^a-zA-Z{WS}]+', ' ', 'g')"
     return collapse(_replace_chain(e, lx.CONTENT_LITERAL_REPLACEMENTS))
 
 
@@ -58,7 +58,7 @@ def detect_language(expr: str) -> str:
     m = "greatest(" + ", ".join(counts.values()) + ")"
     best = "CASE WHEN " + m + " = 0 THEN 'unknown' " + " ".join(
         f"WHEN {c} = {m} THEN '{lang}'" for lang, c in counts.items()) + " END"
-    return (f"CASE WHEN {expr} IS NULL OR length(regexp_replace({expr}, '^[{WS}]+|[{WS}]+$', '', 'g')) < 3 "
+    return (f"CASE WHEN {expr} IS NULL OR length(trim({expr}, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) < 3 "
             f"THEN 'unknown' WHEN length({vote_clean(expr)}) < 10 THEN 'unknown' ELSE {best} END")
 
 
