@@ -223,3 +223,128 @@ def tfidf_topics_sql() -> str:
 SELECT doc_id, words_text, split_part(words_text, ' ', 1) || CASE WHEN n_words > 1 THEN ' ' || split_part(words_text, ' ', 2) ELSE '' END AS label,
        round(topic_quality, 6) AS topic_quality
 FROM topics"""
+
+
+# --- sources, clean-up, language, terms -------------------------------------------
+
+TRIM_WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def file_metadata_sql() -> str:
+    host = "regexp_extract(url, '^[a-zA-Z]+://([^/?#]+)', 1)"
+    parts = f"string_split({host}, '.')"
+    cols = ["scrapping_timestamp", "gender", "age", "industry"]
+    sel = ", ".join(f"{parts}[{i + 1}] AS {c}" for i, c in enumerate(cols))
+    return f"""
+WITH m AS (SELECT page_id, {sel}, regexp_replace({parts}[5], '\\.xml$', '') AS star_sign FROM pages)
+SELECT *, md5(concat_ws('.', scrapping_timestamp, gender, age, industry, star_sign)) AS id FROM m"""
+
+
+def page_posts_sql() -> str:
+    dec = _replace_chain("regexp_replace(t, '<[^>]*>', '', 'g')", lx.XML_ENTITY_REPLACEMENTS)
+    return f"""
+WITH e AS (SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<p(?:\\s[^>]*)?>(.*?)</p>', 1),
+                                          lambda t: trim({dec}, {TRIM_WS})) AS ps FROM pages)
+SELECT page_id, CAST(generate_subscripts(ps, 1) - 1 AS INTEGER) AS pos, unnest(ps) AS content FROM e"""
+
+
+def blogs_from_posts_sql() -> str:
+    return """
+SELECT conv_id AS file_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS content,
+       count(*) AS post_count, sum(length(text)) AS total_content_length
+FROM conversations GROUP BY conv_id"""
+
+
+def language_vote_sql() -> str:
+    return f"SELECT doc_id, lang, {detect_language('text')} AS content_language FROM documents"
+
+
+def language_distribution_sql() -> str:
+    return f"SELECT content_language, count(*) AS count FROM ({language_vote_sql()}) GROUP BY 1"
+
+
+def clean_content_sql() -> str:
+    c = clean_content("text")
+    return f"SELECT doc_id, md5({c}) AS clean_md5, length({c}) AS clean_length FROM documents"
+
+
+def clean_html_sql() -> str:
+    c = clean_html("html")
+    return f"SELECT page_id, md5({c}) AS clean_md5, length({c}) AS clean_length FROM pages"
+
+
+def json_props_sql() -> str:
+    return """
+SELECT j.key AS key, count(*) AS n, round(sum(CAST(j.value AS DOUBLE)), 6) AS total
+FROM events, json_each(events.props) AS j GROUP BY j.key"""
+
+
+def date_parse_sql(event_date_language: dict) -> str:
+    cases = " ".join(f"WHEN '{et}' THEN [{_q(lx.MONTH_NAMES[lang])}]"
+                     for et, lang in sorted(event_date_language.items()))
+    return f"""
+SELECT event_id, concat_ws(',', day(ts), (CASE event_type {cases} END)[month(ts)], year(ts)) AS date_text,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) AS parsed_date
+FROM events"""
+
+
+def word_frequencies_sql() -> str:
+    toks = (f"list_filter(list_filter(string_split(trim(regexp_replace(lower(text), '[^a-z]+', ' ', 'g')), ' '), "
+            f"lambda t: t <> '' AND t NOT IN ({_q(lx.ENGLISH_STOP_WORDS)})), lambda t: length(t) > 1 AND length(t) >= 2)")
+    return f"""
+WITH tk AS (SELECT doc_id, {toks} AS toks FROM documents),
+u AS (SELECT doc_id, unnest(toks) AS term, generate_subscripts(toks, 1) AS pos FROM tk),
+c AS (SELECT doc_id, term, count(*) AS cnt, min(pos) AS first FROM u GROUP BY doc_id, term),
+m AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cnt DESC, first) AS rm FROM c),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cnt, first) AS rl FROM c WHERE cnt > 1)
+SELECT d.doc_id,
+       coalesce((SELECT string_agg(term, ',' ORDER BY rm) FROM m WHERE m.doc_id = d.doc_id AND rm <= 10), '') AS most_common,
+       coalesce((SELECT string_agg(term, ',' ORDER BY rl) FROM l WHERE l.doc_id = d.doc_id AND rl <= 10), '') AS least_common
+FROM documents d"""
+
+
+def sentences_sql() -> str:
+    marked = f"regexp_replace(text, '([.!?])[{WS}]+', '\\1' || chr(1), 'g')"
+    return f"""
+WITH s AS (SELECT doc_id, list_filter(list_transform(string_split({marked}, chr(1)), lambda x: trim(x, {TRIM_WS})),
+                                     lambda x: length(x) >= 21) AS ss FROM documents)
+SELECT doc_id, CAST(len(ss) AS BIGINT) AS n_sentences,
+       CAST(coalesce(list_sum(list_transform(ss, lambda x: length(x))), 0) AS BIGINT) AS total_chars FROM s"""
+
+
+def _english_tokens_cte() -> str:
+    return f"""
+etok AS (SELECT file_id AS doc_id, unnest({topic_tokens(clean_html('content'))}) AS term FROM blogs),
+ecnt AS (SELECT doc_id, term, count(*) AS cnt FROM etok GROUP BY doc_id, term)"""
+
+
+def _tfidf_top(counts: str, doc: str, top_n: int) -> str:
+    return f"""
+dfs AS (SELECT term, count(*) AS df FROM {counts} GROUP BY term),
+nd AS (SELECT count(DISTINCT {doc}) AS n FROM {counts}),
+raw AS (SELECT c.{doc}, c.term, c.cnt * (ln((1.0 + nd.n) / (1.0 + dfs.df)) + 1.0) AS raw
+        FROM {counts} c JOIN dfs USING (term) CROSS JOIN nd),
+nw AS (SELECT {doc}, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY {doc})) AS weight FROM raw),
+rk AS (SELECT *, row_number() OVER (PARTITION BY {doc} ORDER BY weight DESC, term DESC) AS rank FROM nw)
+SELECT {doc}, rank, term, round(weight, 6) AS weight FROM rk WHERE rank <= {top_n}"""
+
+
+def corpus_tfidf_sql() -> str:
+    return _with(blogs_cte(), _english_tokens_cte(), _tfidf_top("ecnt", "doc_id", 5))
+
+
+def _segment_counts_cte() -> str:
+    return segments_cte() + """,
+scnt AS (SELECT s.demographic, c.term, sum(c.cnt) AS cnt FROM seg s JOIN ecnt c ON c.doc_id = s.file_id
+         GROUP BY 1, 2)"""
+
+
+def segment_top_terms_sql() -> str:
+    return _with(blogs_cte(), _english_tokens_cte(), _segment_counts_cte()) + """
+SELECT demographic, rank, term, cnt FROM (
+  SELECT *, row_number() OVER (PARTITION BY demographic ORDER BY cnt DESC, term) AS rank FROM scnt)
+WHERE rank <= 2"""
+
+
+def segment_tfidf_sql() -> str:
+    return _with(blogs_cte(), _english_tokens_cte(), _segment_counts_cte(), _tfidf_top("scnt", "demographic", 2))
