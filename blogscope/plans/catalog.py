@@ -148,3 +148,46 @@ QUERIES = {
     "e2_segment_top_terms": e2_segment_top_terms,
     "e3_segment_tfidf_terms": e3_segment_tfidf_terms,
 }
+
+
+# --- model queries (no SQL twin: iterative fits; the driver checks rows only) ----
+
+def m1_lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus LDA topics with re-ranked words, quality, coherence."""
+    from . import lda_topics
+    described, _, _ = lda_topics.fit(spark, sf_dir)
+    return described.select("topic_id", "label", F.array_join("words", " ").alias("words_text"),
+                            F.round("topic_quality", 6).alias("topic_quality"),
+                            F.round("semantic_coherence", 6).alias("semantic_coherence"))
+
+
+def w10_blog_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + W11 + W10 + A12: each blog's kept topics (at most 3) and summary."""
+    from ..operators import topics
+    from . import lda_topics
+    _, bt, _ = lda_topics.fit(spark, sf_dir)
+    s = topics.blog_summary(bt)
+    return s.select("doc_id", "num_topics", F.round("average_topic_quality", 6).alias("average_topic_quality"),
+                    F.array_join("words", " ").alias("words_text"))
+
+
+def x3_lda_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LDA topics on the taxonomy (min similarity 0.50)."""
+    from . import lda_topics
+    return lda_topics.classified(spark, sf_dir).withColumn("rank", F.col("rank").cast("long"))
+
+
+def m4_choose_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: silhouette per k of KMeans on the embedding vectors."""
+    from ..operators import topics
+    emb = topics.as_vectors(read_table(spark, sf_dir, "embeddings"), "embedding")
+    best, scores = topics.choose_k(emb)
+    return spark.createDataFrame([(k, s, k == best) for k, s in scores], "k INT, silhouette DOUBLE, chosen BOOLEAN")
+
+
+QUERIES.update({
+    "m1_lda_topics": m1_lda_topics,
+    "w10_blog_topics": w10_blog_topics,
+    "x3_lda_taxonomy": x3_lda_taxonomy,
+    "m4_choose_k": m4_choose_k,
+})
