@@ -191,3 +191,12 @@ QUERIES.update({
     "x3_lda_taxonomy": x3_lda_taxonomy,
     "m4_choose_k": m4_choose_k,
 })
+
+
+def e5_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 batch twin: hourly counts per event type (the stream runs the same function)."""
+    from ..streaming.topic_stream import event_windows
+    return event_windows(read_table(spark, sf_dir, "events")).withColumn("value", F.round("value", 6))
+
+
+QUERIES["e5_event_windows"] = e5_event_windows

@@ -348,3 +348,11 @@ WHERE rank <= 2"""
 
 def segment_tfidf_sql() -> str:
     return _with(blogs_cte(), _english_tokens_cte(), _segment_counts_cte(), _tfidf_top("scnt", "demographic", 2))
+
+
+def event_windows_sql() -> str:
+    return """
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+       time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+       event_type, count(*) AS events, round(sum(value), 6) AS value
+FROM events GROUP BY 1, 2, 3"""
