@@ -26,21 +26,22 @@ def _member_of(words):
 
 
 def detect_language(col, stop_words: dict = lx.LANGUAGE_STOP_WORDS) -> Column:
-    """P2 as one expression; the cleaned text and its words are bound once (``let``)."""
+    """P2 as one expression. The words (runs of letters, digits, ``_``; lower-cased)
+    are bound once (``let``); the cleaned text of the guard is exactly those words
+    joined by single spaces, so its length is computed from them."""
     c = F.col(col) if isinstance(col, str) else col
 
-    def with_clean(clean):
-        def with_toks(tk):
-            per_lang = [F.struct((-F.size(F.filter(tk, _member_of(ws)))).alias("neg"), F.lit(lang).alias("lang"))
-                        for lang, ws in sorted(stop_words.items())]
-            best = F.get(F.sort_array(F.array(*per_lang)), 0)
-            return bags.let(best, lambda b: F.when(F.length(clean) < 10, F.lit(UNKNOWN))
-                            .when(b["neg"] < 0, b["lang"]).otherwise(F.lit(UNKNOWN)))
-        return bags.let(F.split(F.lower(clean), " "), with_toks)
+    def with_toks(tk):
+        per_lang = [F.struct((-F.size(F.filter(tk, _member_of(ws)))).alias("neg"), F.lit(lang).alias("lang"))
+                    for lang, ws in sorted(stop_words.items())]
+        best = F.get(F.sort_array(F.array(*per_lang)), 0)
+        clean_len = F.aggregate(tk, F.lit(-1), lambda s, x: s + F.length(x) + 1)
+        return bags.let(best, lambda b: F.when(clean_len < 10, F.lit(UNKNOWN))
+                        .when(b["neg"] < 0, b["lang"]).otherwise(F.lit(UNKNOWN)))
 
-    clean = tx.collapse_ws(F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}_{tx.WS_CHARS}]+", " "))
+    toks = F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}_]+)"), 1)
     return (F.when(c.isNull() | (F.length(tx.strip_ws(c)) < 3), F.lit(UNKNOWN))
-             .otherwise(bags.let(clean, with_clean)))
+             .otherwise(bags.let(toks, with_toks)))
 
 
 def with_language(df: DataFrame, col: str, out: str = "content_language",

@@ -100,10 +100,7 @@ def bags_size(c):
 
 
 def _english_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blogs = st.prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
-    toks = blogs.select(F.col("file_id").alias("doc_id"), "gender", "age", "industry",
-                        terms.topic_tokens(tx.clean_html_if_needed(F.col("content"))).alias("tokens"))
-    return toks
+    return st.english_tokens(spark, sf_dir).withColumnRenamed("file_id", "doc_id")
 
 
 def t9_corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:

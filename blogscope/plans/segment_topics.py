@@ -18,6 +18,7 @@ from ..functions import text as tx
 from ..operators import language, segments, taxonomy, terms
 from ..sources import testdata
 from ..sources.tables import read_table
+from ..session import checkpoint_dir
 
 TFIDF_MIN_SIMILARITY = 0.10
 LDA_MIN_SIMILARITY = 0.50
@@ -37,41 +38,60 @@ def prepare_blogs(blogs: DataFrame, english_only: bool = True) -> DataFrame:
                .withColumn("industry", tx.clean_industry("industry")))
 
 
-def tfidf_topics(blogs: DataFrame, top_n: int = 5, max_features: int = 1000) -> DataFrame:
-    """T2 + T8 per blog: one topic (topic_id 0) per blog with at least one term."""
-    toks = blogs.select(F.col("file_id").alias("doc_id"),
+def english_tokens(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """English blogs reduced to what later stages read: (file_id, gender, age,
+    industry, tokens). With ``materialize`` the stage is written once to the
+    shared checkpoint folder (``spark.checkpoint.dir``) and lineage is cut, so
+    the language vote and tokenisation run once even when two branches read it,
+    and a lost executor re-reads files instead of recomputing text work."""
+    blogs = prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
+    toks = blogs.select("file_id", "gender", "age", "industry",
                         terms.topic_tokens(tx.clean_html_if_needed(F.col("content"))).alias("tokens"))
-    t = terms.with_tfidf_topic(toks, "tokens", "t", top_n=top_n, max_features=max_features)
+    if materialize:
+        checkpoint_dir(spark)
+        toks = toks.checkpoint(eager=True)
+    return toks
+
+
+def tfidf_topics_from_tokens(toks: DataFrame, top_n: int = 5, max_features: int = 1000) -> DataFrame:
+    """T8 per blog: one topic (topic_id 0) per blog with at least one term."""
+    t = toks.select(F.col("file_id").alias("doc_id"),
+                    terms.tfidf_topic(F.col("tokens"), top_n=top_n, max_features=max_features).alias("t"))
     # Blogs without terms leave through the explode (no filter operator: a filter on
     # the derived column would be pushed down and evaluate the TF-IDF twice).
     t = t.select("doc_id", F.explode(F.filter(F.array("t"), lambda x: F.size(x["words"]) > 0)).alias("t"))
-    return (t.select("doc_id", F.lit(0).alias("topic_id"), F.col("t.label").alias("label"),
-                     F.col("t.words").alias("words"), F.col("t.weights").alias("weights"),
-                     F.lit(None).cast("array<double>").alias("coherence_scores"),
-                     F.col("t.topic_quality").alias("topic_quality")))
+    return t.select("doc_id", F.lit(0).alias("topic_id"), F.col("t.label").alias("label"),
+                    F.col("t.words").alias("words"), F.col("t.weights").alias("weights"),
+                    F.lit(None).cast("array<double>").alias("coherence_scores"),
+                    F.col("t.topic_quality").alias("topic_quality"))
 
 
-def classified(spark: SparkSession, sf_dir: str, min_similarity: float = TFIDF_MIN_SIMILARITY,
-               top_n: int = 25) -> DataFrame:
-    """X4 per blog: (doc_id, classification, pct, rank)."""
-    blogs = prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
-    return classify_blogs(spark, sf_dir, blogs, min_similarity, top_n)
+def tfidf_topics(blogs: DataFrame, top_n: int = 5, max_features: int = 1000) -> DataFrame:
+    """T2 + T8 per prepared blog."""
+    toks = blogs.select("file_id", terms.topic_tokens(tx.clean_html_if_needed(F.col("content"))).alias("tokens"))
+    return tfidf_topics_from_tokens(toks, top_n, max_features)
 
 
-def classify_blogs(spark: SparkSession, sf_dir: str, blogs: DataFrame,
-                   min_similarity: float = TFIDF_MIN_SIMILARITY, top_n: int = 25) -> DataFrame:
-    topics = tfidf_topics(blogs)
+def classify_tokens(spark: SparkSession, sf_dir: str, toks: DataFrame,
+                    min_similarity: float = TFIDF_MIN_SIMILARITY, top_n: int = 25) -> DataFrame:
+    """X4 per blog: (doc_id, classification, pct, rank)."""
+    topics = tfidf_topics_from_tokens(toks)
     tax = taxonomy.fallback_taxonomy(spark)
     vecs = testdata.hashed_lookup(read_table(spark, sf_dir, "embeddings"))
     return taxonomy.classify_topics(topics, tax, vecs, top_n=top_n, min_similarity=min_similarity)
 
 
+def classified(spark: SparkSession, sf_dir: str, min_similarity: float = TFIDF_MIN_SIMILARITY,
+               top_n: int = 25) -> DataFrame:
+    return classify_tokens(spark, sf_dir, english_tokens(spark, sf_dir), min_similarity, top_n)
+
+
 def blogs_with_scores(spark: SparkSession, sf_dir: str,
                       min_similarity: float = TFIDF_MIN_SIMILARITY) -> DataFrame:
     """English blogs with demographics and their classification map (NULL if none)."""
-    blogs = prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
-    maps = taxonomy.classification_map(classify_blogs(spark, sf_dir, blogs, min_similarity))
-    demo = segments.prepare_demographics(blogs.select("file_id", "gender", "age", "industry"))
+    toks = english_tokens(spark, sf_dir, materialize=True)
+    maps = taxonomy.classification_map(classify_tokens(spark, sf_dir, toks, min_similarity))
+    demo = segments.prepare_demographics(toks.select("file_id", "gender", "age", "industry"))
     return demo.join(maps.withColumnRenamed("doc_id", "file_id"), "file_id", "left")
 
 
