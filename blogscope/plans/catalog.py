@@ -197,3 +197,20 @@ def e5_event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["e5_event_windows"] = e5_event_windows
+
+
+def t5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-blog bigram then trigram phrases over the sentences of English
+    blogs; the sentences with at least one merged phrase, as text."""
+    from ..operators import phrases
+    from .lda_topics import english_raw_blogs
+    b = english_raw_blogs(spark, sf_dir)
+    sents = b.select(F.col("file_id").alias("doc_id"), F.posexplode(terms.sentences("content")).alias("sent_id", "s"))
+    toks = sents.select("doc_id", F.col("sent_id").cast("long").alias("sent_id"),
+                        F.filter(F.split(tx.clean_content(F.col("s")), " "), lambda t: t != "").alias("tokens"))
+    out = phrases.detect_phrases(toks, ["doc_id", "sent_id"], ["doc_id"])
+    return (out.where(F.exists("phrased", lambda t: F.instr(t, "_") > 0))
+               .select("doc_id", "sent_id", F.array_join("phrased", " ").alias("phrased")))
+
+
+QUERIES["t5_phrases"] = t5_phrases

@@ -356,3 +356,44 @@ SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
        time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
        event_type, count(*) AS events, round(sum(value), 6) AS value
 FROM events GROUP BY 1, 2, 3"""
+
+
+
+def _phrase_pass(src: str, p: str, min_count: int, threshold: float) -> str:
+    """One phrase pass over CTE ``src`` (doc_id, sent_id, toks) -> CTE ``{p}new``."""
+    return f"""
+{p}un AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(toks) AS w FROM {src}) GROUP BY 1, 2),
+{p}pp AS (SELECT doc_id, sent_id, i, toks[i + 1] AS a, toks[i + 2] AS b
+          FROM (SELECT doc_id, sent_id, toks, unnest(range(0, len(toks) - 1)) AS i FROM {src})),
+{p}pc AS (SELECT doc_id, a, b, count(*) AS n_ab FROM {p}pp GROUP BY 1, 2, 3),
+{p}vu AS (SELECT doc_id, count(*) AS vu FROM {p}un GROUP BY 1),
+{p}vb AS (SELECT doc_id, count(*) AS vb FROM {p}pc GROUP BY 1),
+{p}ph AS (SELECT pc.doc_id, pc.a, pc.b FROM {p}pc pc JOIN {p}vu vu USING (doc_id) LEFT JOIN {p}vb vb USING (doc_id)
+          JOIN {p}un ua ON ua.doc_id = pc.doc_id AND ua.w = pc.a
+          JOIN {p}un ub ON ub.doc_id = pc.doc_id AND ub.w = pc.b
+          WHERE CAST(pc.n_ab - {min_count} AS DOUBLE) * (vu.vu + coalesce(vb.vb, 0)) / (ua.n * ub.n) > {threshold}),
+{p}fl AS (SELECT pp.doc_id, pp.sent_id, pp.i FROM {p}pp pp JOIN {p}ph ph USING (doc_id, a, b)),
+{p}mg AS (SELECT doc_id, sent_id, i FROM (
+            SELECT doc_id, sent_id, i, min(i) OVER (PARTITION BY doc_id, sent_id, g) AS run_start FROM (
+              SELECT *, i - row_number() OVER (PARTITION BY doc_id, sent_id ORDER BY i) AS g FROM {p}fl))
+          WHERE (i - run_start) % 2 = 0),
+{p}tp AS (SELECT doc_id, sent_id, toks, unnest(toks) AS t, generate_subscripts(toks, 1) - 1 AS j FROM {src}),
+{p}new AS (SELECT tp.doc_id, tp.sent_id,
+                  list(CASE WHEN mj.i IS NOT NULL THEN tp.t || '_' || tp.toks[tp.j + 2] ELSE tp.t END ORDER BY tp.j) AS toks
+           FROM {p}tp tp
+           LEFT JOIN {p}mg mj ON mj.doc_id = tp.doc_id AND mj.sent_id = tp.sent_id AND mj.i = tp.j
+           LEFT JOIN {p}mg mp ON mp.doc_id = tp.doc_id AND mp.sent_id = tp.sent_id AND mp.i = tp.j - 1
+           WHERE mp.i IS NULL GROUP BY 1, 2)"""
+
+
+def phrases_sql() -> str:
+    marked = f"regexp_replace(text, '([.!?])[{WS}]+', '\\1' || chr(1), 'g')"
+    return f"""
+WITH en AS MATERIALIZED (SELECT doc_id, text FROM documents WHERE {detect_language('text')} = 'en'),
+ss AS (SELECT doc_id, list_filter(list_transform(string_split({marked}, chr(1)), lambda x: trim(x, {TRIM_WS})),
+                                  lambda x: length(x) >= 21) AS ss FROM en),
+sent AS (SELECT doc_id, CAST(generate_subscripts(ss, 1) - 1 AS BIGINT) AS sent_id, unnest(ss) AS s FROM ss),
+tk AS MATERIALIZED (SELECT doc_id, sent_id, list_filter(string_split({clean_content('s')}, ' '), lambda t: t <> '') AS toks
+       FROM sent),""" + _phrase_pass("tk", "a_", 2, 8.0) + "," + _phrase_pass("a_new", "b_", 1, 10.0) + """
+SELECT doc_id, sent_id, array_to_string(toks, ' ') AS phrased FROM b_new
+WHERE len(list_filter(toks, lambda t: contains(t, '_'))) > 0"""
