@@ -214,3 +214,38 @@ def t5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["t5_phrases"] = t5_phrases
+
+
+def w6_semantic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W6 + W7: semantic segments of English blogs as cleaned topic tokens."""
+    from ..operators import topics
+    from .lda_topics import english_raw_blogs
+    segs = topics.semantic_segments(english_raw_blogs(spark, sf_dir), "file_id", "content")
+    return segs.select("doc_id", F.col("seg_id").cast("long").alias("seg_id"),
+                       F.array_join("tokens", " ").alias("tokens_text"))
+
+
+def e1_top_term_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per segment, the sentences of its blogs that contain both of the
+    segment's two most frequent terms (E2); counted with their blogs."""
+    top = terms.top_terms_by_count(_segment_counts(spark, sf_dir), ["demographic"], n=2)
+    pair = top.groupBy("demographic").agg(F.collect_list("term").alias("pair"))  # 2 terms per segment
+    docs = segments.prepare_demographics(
+        st.prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir), english_only=False)
+          .where(F.col("content_language") == "en"))
+    from .lda_topics import english_raw_blogs
+    raw = english_raw_blogs(spark, sf_dir).select("file_id", F.col("content").alias("raw"))
+    sents = (raw.select("file_id", F.posexplode(terms.sentences("raw")).alias("sent_id", "s"))
+                .select("file_id", "sent_id",
+                        terms.topic_tokens(tx.clean_content(F.col("s"))).alias("toks")))
+    seg = segments.fan_out(docs.select("file_id", "gender", "age_group", "is_student"),
+                           segments.default_segments()).select("file_id", "demographic")
+    # the pair table has one row per segment (7): broadcast
+    hits = (sents.join(seg, "file_id").join(F.broadcast(pair), "demographic")
+                 .where(F.size(F.array_intersect("toks", "pair")) == F.size("pair")))
+    return hits.groupBy("demographic").agg(F.count(F.lit(1)).alias("sentences"),
+                                           F.countDistinct("file_id").alias("blogs"))
+
+
+QUERIES["w6_semantic_segments"] = w6_semantic_segments
+QUERIES["e1_top_term_sentences"] = e1_top_term_sentences

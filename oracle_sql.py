@@ -397,3 +397,41 @@ tk AS MATERIALIZED (SELECT doc_id, sent_id, list_filter(string_split({clean_cont
        FROM sent),""" + _phrase_pass("tk", "a_", 2, 8.0) + "," + _phrase_pass("a_new", "b_", 1, 10.0) + """
 SELECT doc_id, sent_id, array_to_string(toks, ' ') AS phrased FROM b_new
 WHERE len(list_filter(toks, lambda t: contains(t, '_'))) > 0"""
+
+
+
+def _sentence_list(expr: str) -> str:
+    marked = f"regexp_replace({expr}, '([.!?])[{WS}]+', '\\1' || chr(1), 'g')"
+    return (f"list_filter(list_transform(string_split({marked}, chr(1)), lambda x: trim(x, {TRIM_WS})), "
+            f"lambda x: length(x) >= 21)")
+
+
+def semantic_segments_sql() -> str:
+    return f"""
+WITH en AS MATERIALIZED (SELECT doc_id, text FROM documents WHERE {detect_language('text')} = 'en'),
+ss AS (SELECT doc_id, text, {_sentence_list('text')} AS ss FROM en),
+g AS (SELECT doc_id, text,
+        list_filter([array_to_string(ss[i + 1:i + 3], ' ') FOR i IN range(0, len(ss), 2)],
+                    lambda t: len(string_split({collapse('t')}, ' ')) >= 5) AS grp,
+        {topic_tokens(clean_content('text'))} AS tk FROM ss),
+w AS (SELECT doc_id, CASE WHEN len(grp) < 3 THEN list_concat(grp,
+          [array_to_string(tk[i + 1:i + 30], ' ') FOR i IN range(0, len(tk), 20) IF len(tk[i + 1:i + 30]) >= 5])
+        ELSE grp END AS segs FROM g),
+u AS (SELECT doc_id, CAST(generate_subscripts(segs, 1) - 1 AS BIGINT) AS seg_id, unnest(segs) AS seg
+      FROM w WHERE len(segs) >= 2)
+SELECT doc_id, seg_id, array_to_string({topic_tokens(clean_content('seg'))}, ' ') AS tokens_text FROM u"""
+
+
+def top_term_sentences_sql() -> str:
+    return _with(blogs_cte(), _english_tokens_cte(), _segment_counts_cte()) + f""",
+top AS (SELECT demographic, term FROM (
+  SELECT *, row_number() OVER (PARTITION BY demographic ORDER BY cnt DESC, term) AS rank FROM scnt) WHERE rank <= 2),
+pair AS (SELECT demographic, list(term) AS pair FROM top GROUP BY 1),
+raw AS (SELECT doc_id AS file_id, {_sentence_list('text')} AS ss FROM documents
+        WHERE doc_id IN (SELECT file_id FROM blogs)),
+sents AS (SELECT file_id, unnest(ss) AS s FROM raw),
+st AS (SELECT file_id, {topic_tokens(clean_content('s'))} AS toks FROM sents)
+SELECT p.demographic, count(*) AS sentences, count(DISTINCT st.file_id) AS blogs
+FROM st JOIN seg ON seg.file_id = st.file_id JOIN pair p ON p.demographic = seg.demographic
+WHERE len(list_intersect(st.toks, p.pair)) = len(p.pair)
+GROUP BY 1"""
