@@ -104,3 +104,13 @@ def segment_report(spark: SparkSession, sf_dir: str, level: str = "category",
     if kind == "score":
         return segments.rank_within(scores, "average_weighted_score")
     return segments.rank_within(segments.specificity(scores), "popularity_bias_score")
+
+
+def with_error(blogs: DataFrame, content: str = "content", tokens: str | None = None) -> DataFrame:
+    """Per-row failure reason instead of an exception (NULL when the row is fine):
+    no content, or no term left after tokenising."""
+    c = F.col(content)
+    err = F.when(c.isNull() | (F.length(tx.strip_ws(c)) == 0), F.lit("empty content"))
+    if tokens:
+        err = err.when(F.size(tokens) == 0, F.lit("no terms"))
+    return blogs.withColumn("error", err)

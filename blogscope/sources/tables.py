@@ -97,3 +97,16 @@ def union_results(*parts: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
+
+
+def require_columns(df: DataFrame, *cols: str) -> DataFrame:
+    """Fail early (on the driver, from the schema only) when a column is missing."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"DataFrame must contain {missing}")
+    return df
+
+
+def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """An ordered ``limit`` (deterministic, unlike a bare limit)."""
+    return df.orderBy(*order).limit(n) if n > 0 else df
