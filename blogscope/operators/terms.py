@@ -132,3 +132,39 @@ def top_terms_by_count(counts: DataFrame, group_cols: list[str], n: int = 2) ->
     agg = counts.groupBy(*group_cols, "term").agg(F.sum("cnt").alias("cnt"))
     w = Window.partitionBy(*group_cols).orderBy(F.col("cnt").desc(), F.col("term").asc())
     return agg.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def ngrams(tokens: Column, n_min: int = 1, n_max: int = 3) -> Column:
+    """All n-grams (n_min..n_max) of a token list, space-joined, in order of n then position."""
+    def grams(n):
+        idx = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - n, F.lit(0))),
+                       lambda i: i <= F.size(tokens) - n)
+        return F.transform(idx, lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
+    return F.concat(*[grams(n) for n in range(n_min, n_max + 1)])
+
+
+def segment_tfidf(segs: DataFrame, key: list[str], scope: list[str], tokens: str = "tokens",
+                  ngram=(1, 3), max_features: int = 1000, min_df: int = 2, max_df: float = 0.85) -> DataFrame:
+    """TF-IDF over the segments of each scope (a blog) with n-grams 1-3:
+    df >= ``min_df`` and <= ``max_df`` x segments (falling back to df >= 1 when no
+    term survives), the ``max_features`` terms with the highest total count (ties
+    by term), tf = 1 + ln(count), idf = ln((1 + n) / (1 + df)) + 1, L2 per segment.
+    Output (key..., term, cnt, weight). Shuffles: (segment, term) counts and
+    (scope, term) document frequencies, both partially aggregated."""
+    grams = segs.select(*key, F.explode(ngrams(F.col(tokens), *ngram)).alias("term"))
+    counts = grams.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("cnt"))
+    n_seg = segs.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"))
+    dfs = counts.groupBy(*scope, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("total"))
+    j = dfs.join(n_seg, scope)
+    strict = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n"))
+    loose = (F.col("df") >= 1) & (F.col("df") <= F.lit(max_df) * F.col("n"))
+    sc = Window.partitionBy(*scope)
+    j = j.withColumn("_any", F.max(strict.cast("int")).over(sc))
+    kept = j.where(F.when(F.col("_any") == 1, strict).otherwise(loose))
+    rk = Window.partitionBy(*scope).orderBy(F.col("total").desc(), F.col("term").asc())
+    kept = kept.withColumn("_r", F.row_number().over(rk)).where(F.col("_r") <= max_features)
+    w = (counts.join(kept.select(*scope, "term", "df", "n"), scope + ["term"])
+               .withColumn("raw", (F.lit(1.0) + F.log("cnt")) * smooth_idf(F.col("n"), F.col("df"))))
+    seg = Window.partitionBy(*key)
+    return w.select(*key, "term", "cnt",
+                    (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(seg))).alias("weight"))

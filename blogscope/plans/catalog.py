@@ -249,3 +249,19 @@ def e1_top_term_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["w6_semantic_segments"] = w6_semantic_segments
 QUERIES["e1_top_term_sentences"] = e1_top_term_sentences
+
+
+def t7_segment_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per blog, 1-3-gram TF-IDF over its semantic segments; top 3 terms per segment."""
+    from pyspark.sql import Window
+    from ..operators import topics
+    from .lda_topics import english_raw_blogs
+    segs = topics.semantic_segments(english_raw_blogs(spark, sf_dir), "file_id", "content")
+    w = terms.segment_tfidf(segs, ["doc_id", "seg_id"], ["doc_id"])
+    rk = Window.partitionBy("doc_id", "seg_id").orderBy(F.col("weight").desc(), F.col("term").asc())
+    return (w.withColumn("rank", F.row_number().over(rk)).where(F.col("rank") <= 3)
+             .select("doc_id", F.col("seg_id").cast("long").alias("seg_id"), F.col("rank").cast("long").alias("rank"),
+                     "term", F.round("weight", 6).alias("weight")))
+
+
+QUERIES["t7_segment_tfidf"] = t7_segment_tfidf

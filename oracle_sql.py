@@ -422,6 +422,29 @@ u AS (SELECT doc_id, CAST(generate_subscripts(segs, 1) - 1 AS BIGINT) AS seg_id,
 SELECT doc_id, seg_id, array_to_string({topic_tokens(clean_content('seg'))}, ' ') AS tokens_text FROM u"""
 
 
+def segment_tfidf_ngram_sql() -> str:
+    grams = " || ".join(
+        f"[array_to_string(toks[i + 1:i + {n}], ' ') FOR i IN range(0, len(toks) - {n} + 1)]" for n in (1, 2, 3))
+    return f"""
+WITH sg AS MATERIALIZED ({semantic_segments_sql()}),
+segs AS (SELECT doc_id, seg_id, list_filter(string_split(tokens_text, ' '), lambda t: t <> '') AS toks FROM sg),
+g AS (SELECT doc_id, seg_id, unnest({grams}) AS term FROM segs),
+c AS (SELECT doc_id, seg_id, term, count(*) AS cnt FROM g GROUP BY 1, 2, 3),
+ns AS (SELECT doc_id, count(*) AS n FROM segs GROUP BY 1),
+d AS (SELECT doc_id, term, count(*) AS df, sum(cnt) AS total FROM c GROUP BY 1, 2),
+j AS (SELECT d.*, ns.n, (df >= 2 AND df <= 0.85 * n) AS strict, (df >= 1 AND df <= 0.85 * n) AS loose
+      FROM d JOIN ns USING (doc_id)),
+k0 AS (SELECT *, max(CAST(strict AS INTEGER)) OVER (PARTITION BY doc_id) AS anyk FROM j),
+k1 AS (SELECT * FROM k0 WHERE CASE WHEN anyk = 1 THEN strict ELSE loose END),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY total DESC, term) AS r FROM k1)
+      WHERE r <= 1000),
+w AS (SELECT c.doc_id, c.seg_id, c.term, (1.0 + ln(c.cnt)) * (ln((1.0 + k.n) / (1.0 + k.df)) + 1.0) AS raw
+      FROM c JOIN k USING (doc_id, term)),
+nw AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id, seg_id)) AS weight FROM w),
+rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, seg_id ORDER BY weight DESC, term) AS rank FROM nw)
+SELECT doc_id, seg_id, rank, term, round(weight, 6) AS weight FROM rk WHERE rank <= 3"""
+
+
 def top_term_sentences_sql() -> str:
     return _with(blogs_cte(), _english_tokens_cte(), _segment_counts_cte()) + f""",
 top AS (SELECT demographic, term FROM (
