@@ -52,3 +52,28 @@ def with_language(df: DataFrame, col: str, out: str = "content_language",
 def language_distribution(df: DataFrame, lang_col: str = "content_language") -> DataFrame:
     """A2: rows per detected language."""
     return df.groupBy(lang_col).agg(F.count(F.lit(1)).alias("count"))
+
+
+def fit_language_model(docs: DataFrame, text_col: str = "text", label_col: str = "lang",
+                       num_features: int = 1 << 18):
+    """P2 (b): multinomial Naive Bayes on hashed character trigrams (pyspark.ml)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import HashingTF, NGram, StringIndexer
+
+    prep = docs.withColumn("_chars", F.split(F.lower(F.col(text_col)), ""))
+    pipe = Pipeline(stages=[
+        StringIndexer(inputCol=label_col, outputCol="_label", handleInvalid="skip"),
+        NGram(n=3, inputCol="_chars", outputCol="_tri"),
+        HashingTF(inputCol="_tri", outputCol="_f", numFeatures=num_features),
+        NaiveBayes(featuresCol="_f", labelCol="_label", modelType="multinomial", smoothing=1.0),
+    ])
+    return pipe.fit(prep)
+
+
+def predict_language(model, docs: DataFrame, text_col: str = "text", out: str = "predicted") -> DataFrame:
+    labels = model.stages[0].labels
+    lab = F.array(*[F.lit(x) for x in labels])  # a handful of language codes
+    pred = model.transform(docs.withColumn("_chars", F.split(F.lower(F.col(text_col)), "")))
+    return pred.withColumn(out, F.get(lab, F.col("prediction").cast("int"))).drop(
+        "_chars", "_tri", "_f", "rawPrediction", "probability", "prediction", "_label")

@@ -138,3 +138,17 @@ def top2_summary(scores: DataFrame, sizes: DataFrame, score_col: str = "average_
                          F.coalesce("_c1", F.lit(none)).alias("first"),
                          F.when(F.col("_c1").isNull(), F.lit(none))
                           .otherwise(F.coalesce("_c2", F.lit(second))).alias("second")))
+
+
+def method_agreement(a: DataFrame, b: DataFrame, item: str, part: str = "demographic") -> DataFrame:
+    """Per ``part``, shared items and Jaccard of the top lists of two methods
+    (inputs already cut to their top k; a few rows per segment)."""
+    sa = a.groupBy(part).agg(F.collect_set(item).alias("_a"))
+    sb = b.groupBy(part).agg(F.collect_set(item).alias("_b"))
+    j = sa.join(sb, part, "full")
+    ea = F.coalesce("_a", F.array().cast("array<string>"))
+    eb = F.coalesce("_b", F.array().cast("array<string>"))
+    inter = F.size(F.array_intersect(ea, eb))
+    union = F.size(F.array_union(ea, eb))
+    return j.select(part, inter.cast("long").alias("common"),
+                    F.round(F.when(union > 0, inter / union).otherwise(F.lit(0.0)), 6).alias("jaccard"))

@@ -219,3 +219,14 @@ def choose_k(vectors: DataFrame, features: str = "features", k_min: int = 2, k_m
 
 def as_vectors(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
+
+
+def word_vectors(segments: DataFrame, tokens: str = "tokens", size: int = 64, min_count: int = 2,
+                 seed: int = 42, max_iter: int = 1) -> DataFrame:
+    """M5: word vectors trained on the corpus (pyspark.ml Word2Vec) as a (word, vec)
+    table, usable wherever a vector table is expected (S10/J3)."""
+    from pyspark.ml.feature import Word2Vec
+    w2v = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, maxIter=max_iter,
+                   inputCol=tokens, outputCol="_v")
+    model = w2v.fit(segments.where(F.size(tokens) > 0))
+    return model.getVectors().select("word", vector_to_array("vector").alias("vec"))

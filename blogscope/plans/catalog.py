@@ -265,3 +265,36 @@ def t7_segment_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["t7_segment_tfidf"] = t7_segment_tfidf
+
+
+def e4_method_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agreement of the two term methods (count, TF-IDF) on each segment's top 2."""
+    counts = _segment_counts(spark, sf_dir)
+    by_count = terms.top_terms_by_count(counts, ["demographic"], n=2)
+    by_tfidf = terms.corpus_tfidf_top(counts, ["demographic"], top_n=2)
+    return segments.method_agreement(by_count, by_tfidf, "term")
+
+
+def p2b_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P2 (b): Naive Bayes on character trigrams, trained on the labelled languages;
+    agreement with the label per language (training-set fit, rows only)."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit_language_model(d)
+    pred = language.predict_language(model, d)
+    return pred.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"),
+                                    F.sum((F.col("predicted") == F.col("lang")).cast("long")).alias("agree"))
+
+
+def m5_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: Word2Vec vectors from the semantic segments (rows only)."""
+    from ..operators import topics
+    from .lda_topics import english_raw_blogs
+    segs = topics.semantic_segments(english_raw_blogs(spark, sf_dir), "file_id", "content")
+    v = topics.word_vectors(segs)
+    return v.select("word", F.size("vec").alias("dims"),
+                    F.round(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)), 6).alias("norm"))
+
+
+QUERIES["e4_method_agreement"] = e4_method_agreement
+QUERIES["p2b_language_bayes"] = p2b_language_bayes
+QUERIES["m5_word_vectors"] = m5_word_vectors

@@ -458,3 +458,17 @@ SELECT p.demographic, count(*) AS sentences, count(DISTINCT st.file_id) AS blogs
 FROM st JOIN seg ON seg.file_id = st.file_id JOIN pair p ON p.demographic = seg.demographic
 WHERE len(list_intersect(st.toks, p.pair)) = len(p.pair)
 GROUP BY 1"""
+
+
+
+def method_agreement_sql() -> str:
+    return f"""
+WITH a AS ({segment_top_terms_sql()}), b AS ({segment_tfidf_sql()}),
+sa AS (SELECT demographic, list(DISTINCT term) AS la FROM a GROUP BY 1),
+sb AS (SELECT demographic, list(DISTINCT term) AS lb FROM b GROUP BY 1),
+j AS (SELECT coalesce(sa.demographic, sb.demographic) AS demographic, coalesce(la, []) AS la, coalesce(lb, []) AS lb
+      FROM sa FULL JOIN sb USING (demographic))
+SELECT demographic, CAST(len(list_intersect(la, lb)) AS BIGINT) AS common,
+       round(CASE WHEN len(list_distinct(list_concat(la, lb))) > 0
+             THEN len(list_intersect(la, lb)) / len(list_distinct(list_concat(la, lb))) ELSE 0.0 END, 6) AS jaccard
+FROM j"""
