@@ -20,8 +20,9 @@ from .segment_topics import LDA_MIN_SIMILARITY
 
 def english_raw_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English blogs with their raw text (sentences are split before clean-up, Q24)."""
+    from .segment_topics import keep_rows
     b = testdata.blogs_with_demographics(spark, sf_dir)
-    return b.where(language.detect_language("content") == "en")
+    return keep_rows(b, language.detect_language("content") == "en")
 
 
 def fit(spark: SparkSession, sf_dir: str, k: int = 6, max_iter: int = 20):

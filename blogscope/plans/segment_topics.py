@@ -27,17 +27,25 @@ LDA_MIN_SIMILARITY = 0.50
 def prepare_blogs(blogs: DataFrame, english_only: bool = True) -> DataFrame:
     """P2 (vote) on the raw text, P3 clean-up, P4 industry, P6 English filter.
 
-    With ``english_only`` the vote is the filter predicate itself (evaluated once,
-    next to the scan) and the surviving rows are all ``en``."""
+    The vote is a projected column and rows leave through ``keep_rows``: a plain
+    filter would be pushed below the repartition that spreads the text over the
+    cores, back into the scan task."""
+    out = language.with_language(blogs, "content")
     if english_only:
-        out = (blogs.where(language.detect_language("content") == "en")
-                    .withColumn("content_language", F.lit("en")))
-    else:
-        out = language.with_language(blogs, "content")
+        out = keep_rows(out, F.col("content_language") == "en")
     return (out.withColumn("content", tx.clean_content("content"))
                .withColumn("industry", tx.clean_industry("industry")))
 
 
+def keep_rows(df: DataFrame, cond) -> DataFrame:
+    """``where(cond)`` that stays where it is written: rows leave through ``explode``
+    of a 0/1-element array, which predicate pushdown cannot move (the session
+    excludes InferFiltersFromGenerate, which would add a pushable copy)."""
+    cols = df.columns
+    keep = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return df.select(*cols, F.explode(keep).alias("_k")).drop("_k")
+
+
 def english_tokens(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
     """English blogs reduced to what later stages read: (file_id, gender, age,
     industry, tokens). With ``materialize`` the stage is written once to the

@@ -12,10 +12,30 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+# tables whose rows carry whole texts: per-row work dominates, so they must be spread
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a scale-factor folder (column pruning and filter
-    pushdown are left to the scan)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    pushdown are left to the scan). Text tables are spread over the cluster."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if name in TEXT_TABLES else df
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Give row-heavy work at least ``factor`` tasks per core.
+
+    A scan yields one task per file split and a split never cuts a parquet row
+    group, so a small table (or one large row group) can leave every core but
+    one idle during expensive per-row expressions. Only then the rows are dealt
+    round-robin (deterministic across retries: Spark sorts before it deals).
+    On a large input the scan already has more splits than cores: nothing happens.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * factor)
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
