@@ -107,20 +107,28 @@ def smooth_idf(n_docs: Column, df_col: Column) -> Column:
 
 
 def corpus_tfidf_top(counts: DataFrame, doc_cols: list[str], top_n: int = 5,
-                     sublinear: bool = False) -> DataFrame:
+                     sublinear: bool = False, few_documents: bool = False) -> DataFrame:
     """T9 (and E3 with segments as documents): tf x smooth idf over the corpus, L2 per
     document, top ``top_n`` per document by weight desc, term desc.
 
     Input (doc..., term, cnt). Document frequencies come from a partially
     aggregated ``groupBy(term)``; AQE broadcasts the idf side when it is small and
-    splits skewed terms otherwise.
+    splits skewed terms otherwise. With ``few_documents`` (segments: a handful of
+    huge "documents", one of them holding every row) the norms are a partially
+    aggregated ``groupBy`` broadcast back (one row per document), so no task ever
+    holds a whole document; the top-n cut is then a partial WindowGroupLimit
+    applied before the shuffle.
     """
     n_docs = counts.select(*doc_cols).distinct().select(F.count(F.lit(1))).scalar()
     dfs = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     tf = F.when(F.lit(sublinear), F.log(F.col("cnt")) + 1).otherwise(F.col("cnt"))
     w = counts.join(dfs, "term").withColumn("raw", tf * smooth_idf(n_docs, F.col("df")))
-    doc = Window.partitionBy(*doc_cols)
-    normed = w.withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(doc)))
+    if few_documents:
+        norms = w.groupBy(*doc_cols).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_norm"))
+        normed = w.join(F.broadcast(norms), doc_cols).withColumn("weight", F.col("raw") / F.col("_norm"))
+    else:
+        doc = Window.partitionBy(*doc_cols)
+        normed = w.withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(doc)))
     rank = Window.partitionBy(*doc_cols).orderBy(F.col("weight").desc(), F.col("term").desc())
     return (normed.withColumn("rank", F.row_number().over(rank))
                   .where(F.col("rank") <= top_n)

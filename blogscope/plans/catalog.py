@@ -124,7 +124,7 @@ def e2_segment_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def e3_segment_tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = terms.corpus_tfidf_top(_segment_counts(spark, sf_dir), ["demographic"], top_n=2)
+    top = terms.corpus_tfidf_top(_segment_counts(spark, sf_dir), ["demographic"], top_n=2, few_documents=True)
     return top.select("demographic", F.col("rank").cast("long").alias("rank"), "term",
                       F.round("weight", 6).alias("weight"))
 
@@ -271,7 +271,7 @@ def e4_method_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agreement of the two term methods (count, TF-IDF) on each segment's top 2."""
     counts = _segment_counts(spark, sf_dir)
     by_count = terms.top_terms_by_count(counts, ["demographic"], n=2)
-    by_tfidf = terms.corpus_tfidf_top(counts, ["demographic"], top_n=2)
+    by_tfidf = terms.corpus_tfidf_top(counts, ["demographic"], top_n=2, few_documents=True)
     return segments.method_agreement(by_count, by_tfidf, "term")
 
 
