@@ -36,6 +36,16 @@ def topic_tokens(col, stop_words=lx.ENGLISH_STOP_WORDS, min_len: int = 3,
     return toks
 
 
+def topic_tokens_of_clean(col, stop_words=lx.ENGLISH_STOP_WORDS, min_len: int = 3) -> Column:
+    """T2 on P3 output (ASCII letters separated by single spaces): the letter runs
+    are exactly the space-separated parts, and P5 is the identity on such text, so
+    a plain split replaces the regex extraction."""
+    c = F.col(col) if isinstance(col, str) else col
+    sw = list(stop_words)
+    toks = F.filter(F.split(c, " "), lambda t: (F.length(t) >= min_len) & ~F.lower(t).isin(sw))
+    return F.transform(toks, F.lower)
+
+
 SENTENCE_SPLIT = rf"(?<=[.!?]){tx.WS}+"
 
 

@@ -44,12 +44,12 @@ def semantic_segments(df: DataFrame, id_col: str, text_col: str, min_topic_size:
         return F.transform(F.filter(ws, lambda w: F.size(w) >= min_topic_size), lambda w: F.array_join(w, " "))
 
     segs = bags.let(group(terms.sentences(F.col(text_col))), lambda g: F.when(
-        F.size(g) < 3, F.concat(g, windows(terms.topic_tokens(tx.clean_content(F.col(text_col))))))
+        F.size(g) < 3, F.concat(g, windows(terms.topic_tokens_of_clean(tx.clean_content(F.col(text_col))))))
         .otherwise(g))
     rows = df.select(F.col(id_col).alias("doc_id"), segs.alias("_segs"))
     rows = rows.select("doc_id", F.when(F.size("_segs") >= 2, F.col("_segs")).alias("_segs"))
     return (rows.select("doc_id", F.posexplode("_segs").alias("seg_id", "_t"))
-                .select("doc_id", "seg_id", terms.topic_tokens(tx.clean_content(F.col("_t"))).alias("tokens")))
+                .select("doc_id", "seg_id", terms.topic_tokens_of_clean(tx.clean_content(F.col("_t"))).alias("tokens")))
 
 
 def fit_lda(segments: DataFrame, k: int = 6, max_iter: int = 20, vocab_size: int = 1000,

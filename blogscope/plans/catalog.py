@@ -237,7 +237,7 @@ def e1_top_term_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = english_raw_blogs(spark, sf_dir).select("file_id", F.col("content").alias("raw"))
     sents = (raw.select("file_id", F.posexplode(terms.sentences("raw")).alias("sent_id", "s"))
                 .select("file_id", "sent_id",
-                        terms.topic_tokens(tx.clean_content(F.col("s"))).alias("toks")))
+                        terms.topic_tokens_of_clean(tx.clean_content(F.col("s"))).alias("toks")))
     seg = segments.fan_out(docs.select("file_id", "gender", "age_group", "is_student"),
                            segments.default_segments()).select("file_id", "demographic")
     # the pair table has one row per segment (7): broadcast

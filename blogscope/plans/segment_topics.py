@@ -54,7 +54,7 @@ def english_tokens(spark: SparkSession, sf_dir: str, materialize: bool = False)
     and a lost executor re-reads files instead of recomputing text work."""
     blogs = prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
     toks = blogs.select("file_id", "gender", "age", "industry",
-                        terms.topic_tokens(tx.clean_html_if_needed(F.col("content"))).alias("tokens"))
+                        terms.topic_tokens_of_clean("content").alias("tokens"))
     if materialize:
         checkpoint_dir(spark)
         toks = toks.checkpoint(eager=True)
@@ -76,7 +76,7 @@ def tfidf_topics_from_tokens(toks: DataFrame, top_n: int = 5, max_features: int
 
 def tfidf_topics(blogs: DataFrame, top_n: int = 5, max_features: int = 1000) -> DataFrame:
     """T2 + T8 per prepared blog."""
-    toks = blogs.select("file_id", terms.topic_tokens(tx.clean_html_if_needed(F.col("content"))).alias("tokens"))
+    toks = blogs.select("file_id", terms.topic_tokens_of_clean("content").alias("tokens"))
     return tfidf_topics_from_tokens(toks, top_n, max_features)
 
 
