@@ -48,7 +48,10 @@ def apply_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.optimizer.excludedRules", DEFAULT_CONF["spark.sql.optimizer.excludedRules"])
+    rule = DEFAULT_CONF["spark.sql.optimizer.excludedRules"]
+    current = spark.conf.get("spark.sql.optimizer.excludedRules", "") or ""
+    if rule not in current.split(","):
+        spark.conf.set("spark.sql.optimizer.excludedRules", ",".join(x for x in [current, rule] if x))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -32,8 +32,12 @@ def spread(df: DataFrame, factor: int = 2) -> DataFrame:
     round-robin (deterministic across retries: Spark sorts before it deals).
     On a large input the scan already has more splits than cores: nothing happens.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
+        return df
+    if parts >= cores:
         return df
     return df.repartition(cores * factor)
 
