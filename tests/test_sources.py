@@ -72,3 +72,16 @@ def test_error_column(spark):
     df = spark.createDataFrame([("",), ("text",), (None,)], "content string")
     got = [r.error for r in st.with_error(df).collect()]
     assert got == ["empty content", None, "empty content"]
+
+
+def test_batch_job_writes_and_reuses_stages(spark, tmp):
+    from blogscope.plans import batch_job
+    out = os.path.join(tmp, "run")
+    written = batch_job.run(spark, "/root/testdata/sf0.001", out, methods=("tfidf",))
+    assert set(written) == {"tfidf_category_scores", "tfidf_category_specificity",
+                            "tfidf_subcategory_scores", "tfidf_subcategory_specificity"}
+    r = spark.read.parquet(written["tfidf_category_specificity"])
+    assert r.count() > 0 and "Everyone" not in [x.demographic for x in r.select("demographic").distinct().collect()]
+    before = os.path.getmtime(os.path.join(out, "blogs_en", "_SUCCESS"))
+    batch_job.run(spark, "/root/testdata/sf0.001", out, methods=("tfidf",))
+    assert os.path.getmtime(os.path.join(out, "blogs_en", "_SUCCESS")) == before
