@@ -49,8 +49,8 @@ def fan_out(df: DataFrame, segments: dict[str, Column], out: str = "demographic"
 
 def segment_sizes(docs: DataFrame, segments: dict[str, Column]) -> DataFrame:
     """Documents per segment (segments without documents do not appear)."""
-    return (fan_out(docs.select(*[c for c in docs.columns]), segments)
-            .groupBy("demographic").agg(F.count(F.lit(1)).alias("documents")))
+    return (docs.select(F.explode(segment_names(segments)).alias("demographic"))
+                .groupBy("demographic").agg(F.count(F.lit(1)).alias("documents")))
 
 
 def segment_crosstab(docs: DataFrame, row: str = "is_student", col: str = "age_group",

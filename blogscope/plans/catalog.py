@@ -91,14 +91,10 @@ def w8_word_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def t3_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents")
     s = terms.sentences("text")
-    return d.select("doc_id", bags_size(s).alias("n_sentences"),
+    return d.select("doc_id", F.size(s).cast("long").alias("n_sentences"),
                     F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("total_chars"))
 
 
-def bags_size(c):
-    return F.size(c).cast("long")
-
-
 def _english_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return st.english_tokens(spark, sf_dir).withColumnRenamed("file_id", "doc_id")
 

@@ -2,13 +2,13 @@
 
 import datetime as dt
 import math
-from collections import Counter
+
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from blogscope.functions import bags, lexicon as lx, text as tx
-from blogscope.operators import language, segments, taxonomy, terms, topics
+from blogscope.functions import lexicon as lx, text as tx
+from blogscope.operators import language, segments, taxonomy, topics
 from blogscope.sources import blogfiles
 
 
