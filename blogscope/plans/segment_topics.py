@@ -18,7 +18,7 @@ from ..functions import text as tx
 from ..operators import language, segments, taxonomy, terms
 from ..sources import testdata
 from ..sources.tables import read_table
-from ..session import checkpoint_dir
+from ..session import materialize as materialize_stage
 
 TFIDF_MIN_SIMILARITY = 0.10
 LDA_MIN_SIMILARITY = 0.50
@@ -48,7 +48,7 @@ def keep_rows(df: DataFrame, cond) -> DataFrame:
 
 def english_tokens(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
     """English blogs reduced to what later stages read: (file_id, gender, age,
-    industry, tokens). With ``materialize`` the stage is written once to the
+    industry, tokens). With ``materialize`` the stage is written once (parquet) to the
     shared checkpoint folder (``spark.checkpoint.dir``) and lineage is cut, so
     the language vote and tokenisation run once even when two branches read it,
     and a lost executor re-reads files instead of recomputing text work."""
@@ -56,8 +56,7 @@ def english_tokens(spark: SparkSession, sf_dir: str, materialize: bool = False)
     toks = blogs.select("file_id", "gender", "age", "industry",
                         terms.topic_tokens_of_clean("content").alias("tokens"))
     if materialize:
-        checkpoint_dir(spark)
-        toks = toks.checkpoint(eager=True)
+        toks = materialize_stage(toks, "english-tokens")
     return toks
 
 

@@ -70,5 +70,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it
+    back: the work runs once (``checkpoint(eager=True)`` on an unpersisted plan
+    computes it twice: once to count, once to write), lineage is cut, and a lost
+    executor re-reads files instead of recomputing."""
+    import uuid
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
