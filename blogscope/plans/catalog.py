@@ -294,3 +294,15 @@ def m5_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["e4_method_agreement"] = e4_method_agreement
 QUERIES["p2b_language_bayes"] = p2b_language_bayes
 QUERIES["m5_word_vectors"] = m5_word_vectors
+
+
+def m7_topic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7 + P16 on the TF-IDF topics (coherence 0.5 for every word, as on that path)."""
+    from ..operators import topics
+    t = st.tfidf_topics_from_tokens(st.english_tokens(spark, sf_dir))
+    coh = F.transform("words", lambda _: F.lit(0.5))
+    return t.select("doc_id", tx.topic_label(F.col("words")).alias("label"),
+                    F.round(topics.topic_quality(F.col("words"), F.col("weights"), coh), 6).alias("topic_quality"))
+
+
+QUERIES["m7_topic_quality"] = m7_topic_quality

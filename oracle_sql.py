@@ -472,3 +472,23 @@ SELECT demographic, CAST(len(list_intersect(la, lb)) AS BIGINT) AS common,
        round(CASE WHEN len(list_distinct(list_concat(la, lb))) > 0
              THEN len(list_intersect(la, lb)) / len(list_distinct(list_concat(la, lb))) ELSE 0.0 END, 6) AS jaccard
 FROM j"""
+
+
+
+def topic_quality_sql() -> str:
+    return _with(blogs_cte(), tfidf_cte()) + """,
+tw8 AS (SELECT doc_id, word, weight, pos, weight / sum(weight) OVER (PARTITION BY doc_id) AS p,
+               count(*) OVER (PARTITION BY doc_id) AS n FROM topic_words WHERE pos <= 8),
+ent AS (SELECT doc_id, max(n) AS n, -sum(p * ln(p + 1e-10)) AS h, sum(weight) AS total FROM tw8 GROUP BY doc_id),
+wl AS (SELECT doc_id, list(word ORDER BY pos) AS words FROM topic_words GROUP BY doc_id),
+stems AS (SELECT doc_id, count(DISTINCT substr(word, 1, 4)) AS s FROM topic_words
+          WHERE pos <= 6 AND length(word) > 3 GROUP BY doc_id)
+SELECT wl.doc_id,
+       CASE WHEN len(wl.words) = 0 THEN 'unknown_topic'
+            WHEN len(list_filter(wl.words[1:4], lambda w: length(w) > 3)) > 0
+              THEN array_to_string(list_filter(wl.words[1:4], lambda w: length(w) > 3)[1:2], '_')
+            ELSE array_to_string(wl.words[1:2], '_') END AS label,
+       round(0.5 * 0.5
+             + 0.3 * CASE WHEN e.n > 1 AND e.total > 0 THEN 1 - e.h / ln(e.n) ELSE 0.0 END
+             + 0.2 * least(1.0, coalesce(st.s, 0) / 4.0), 6) AS topic_quality
+FROM wl JOIN ent e USING (doc_id) LEFT JOIN stems st USING (doc_id)"""
