@@ -36,11 +36,13 @@ def clean_content(col) -> Column:
     The entity replacements run after the letters-only step, so they never match
     (kept for parity; see ``clean_content_decoded`` for the useful order).
     """
-    # runs instead of single characters: identical once whitespace is collapsed
-    c = F.regexp_replace(_c(col), f"[^a-zA-Z{WS_CHARS}]+", " ")
+    # Runs of non-letters (whitespace included) become one space: identical once
+    # whitespace is collapsed, and afterwards only spaces remain, so the final
+    # collapse only has to look for double spaces (left by removed words).
+    c = F.regexp_replace(_c(col), "[^a-zA-Z]+", " ")
     for old, new in lx.CONTENT_LITERAL_REPLACEMENTS:
         c = F.replace(c, F.lit(old), F.lit(new))
-    return collapse_ws(c)
+    return F.trim(F.regexp_replace(c, " {2,}", " "))
 
 
 def clean_content_decoded(col) -> Column:
