@@ -85,3 +85,20 @@ def test_batch_job_writes_and_reuses_stages(spark, tmp):
     before = os.path.getmtime(os.path.join(out, "blogs_en", "_SUCCESS"))
     batch_job.run(spark, "/root/testdata/sf0.001", out, methods=("tfidf",))
     assert os.path.getmtime(os.path.join(out, "blogs_en", "_SUCCESS")) == before
+
+
+def test_spread_keeps_rows_and_is_a_noop_when_parallel(spark):
+    one = spark.range(0, 1000, numPartitions=1)
+    spread = tables.spread(one)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
+    assert tables.spread(many) is many
+
+
+def test_materialize_reads_back_same_rows(spark):
+    from blogscope.session import materialize
+    df = spark.range(100).withColumn("x", F.col("id") * 2)
+    m = materialize(df, "t")
+    assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in df.collect())
+    assert "Range" not in m._jdf.queryExecution().executedPlan().toString()
