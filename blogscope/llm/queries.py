@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .langid import op4_language
+from .quality import op5_quality
 from .token_counts import op3_token_counts
+from .toxicity import op7_toxicity
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_language": op4_language,
+    "op5_quality": op5_quality,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE: dict = {}
