@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from .decontaminate import OP2_SQL, op2_decontamination
 from .langid import op4_language
 from .quality import op5_quality
 from .token_counts import op3_token_counts
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
 }
 
-ORACLE: dict = {}
+ORACLE = {
+    "op2_decontamination": OP2_SQL,
+}
