@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP2_SQL, op2_decontamination
 from .langid import op4_language
+from .packing import op8_packing
 from .quality import op5_quality
 from .token_counts import op3_token_counts
 from .toxicity import op7_toxicity
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_language": op4_language,
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_packing": op8_packing,
 }
 
 ORACLE = {
