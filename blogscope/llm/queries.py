@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import OP2_SQL, op2_decontamination
 from .langid import op4_language
 from .packing import op8_packing
+from .pii import op10_personal_data
 from .quality import op5_quality
 from .token_counts import op3_token_counts
 from .toxicity import op7_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLE = {
