@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP2_SQL, op2_decontamination
 from .langid import op4_language
+from .neighbours import op6_neighbours
 from .packing import op8_packing
 from .pii import op10_personal_data
 from .quality import op5_quality
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_language": op4_language,
     "op5_quality": op5_quality,
+    "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
     "op10_personal_data": op10_personal_data,
