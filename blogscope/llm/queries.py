@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP2_SQL, op2_decontamination
 from .langid import op4_language
+from .lm import op1_lm_scores
 from .neighbours import op6_neighbours
 from .packing import op8_packing
 from .pii import op10_personal_data
@@ -12,6 +13,7 @@ from .token_counts import op3_token_counts
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_lm_scores": op1_lm_scores,
     "op2_decontamination": op2_decontamination,
     "op3_token_counts": op3_token_counts,
     "op4_language": op4_language,
