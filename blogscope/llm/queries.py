@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import OP2_SQL, op2_decontamination
+from .jaccard import op9_similarity_components
 from .langid import op4_language
 from .lm import op1_lm_scores
 from .neighbours import op6_neighbours
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_neighbours": op6_neighbours,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_similarity_components": op9_similarity_components,
     "op10_personal_data": op10_personal_data,
 }
 
