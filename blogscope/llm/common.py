@@ -52,6 +52,13 @@ def text_list(column) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
+def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not in ``ids``; rows without an id stay. The ids are
+    written out first, so that their measured size decides how they are joined."""
+    gone = stage(ids.where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct(), name)
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+
+
 def decode(raw: bytes) -> str:
     return raw.decode("utf-8", "replace")
 

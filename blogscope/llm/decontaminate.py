@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, table, text_list, texts, words
+from .common import stage, table, text_list, texts, without, words
 
 WINDOW = 10
 SEGMENT_BYTES = 4 << 20  # of text in a segment (a longer document is a segment alone)
@@ -252,6 +252,11 @@ def by_blocks(docs: DataFrame, blocks: list, window: int) -> DataFrame:
     return base.join(per_row, "row", "left").select("doc_id", "text", "spans", "items").mapInArrow(run, RESULT_SCHEMA)
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows of ``docs`` in which no window of any item occurs."""
+    return without(docs, contamination(docs, items).where("contaminated").select("doc_id"), "contaminated")
+
+
 def op2_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

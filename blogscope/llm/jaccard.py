@@ -29,10 +29,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, table, text_list, texts
+from .common import stage, table, text_list, texts, without
 
 WORDS, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_PARTS = 21, 16
@@ -457,5 +457,20 @@ def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PE
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with the smallest doc_id of each group of linked documents; rows that
+    repeat an id count as one document and the first in text order stays. Rows without an
+    id stay."""
+    found = stage(similarity_components(docs).where("doc_id is not null"), "jaccard-found")
+    left = without(docs, found.where("component_id <> doc_id").select("doc_id"), "jaccard-removed")
+    again = stage(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard-repeated")
+    if again.isEmpty():
+        return left
+    first = Window.partitionBy("doc_id").orderBy("text")
+    once = (left.join(again, "doc_id", "left_semi").withColumn("__n", F.row_number().over(first))
+            .where("__n = 1").drop("__n").select(*docs.columns))
+    return without(left, again, "jaccard-again").unionByName(once)
+
+
 def op9_similarity_components(spark, sf_dir):
     return similarity_components(table(spark, sf_dir, "documents"))

@@ -399,6 +399,30 @@ def redact_text(text: str, spans: list[list[tuple[int, int]]]) -> str:
     return "".join(out) + text[end:]
 
 
+def redact(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
+    """All rows and columns of ``docs``, with personal data in the text replaced and n_chars,
+    where there is such a column, set to the new length. Texts without any stay as they are."""
+    has_length = "n_chars" in docs.columns
+
+    def run(batches):
+        for b in batches:
+            raw, out = b.column("text").cast(pa.binary()).to_pylist(), b.column("text").to_pylist()
+            n = b.column("n_chars").to_pylist() if has_length else None
+            for lo in range(0, len(raw), 512):
+                part = [decode(x or b"") for x in raw[lo:lo + 512]]
+                for k, (text, (_, spans)) in enumerate(zip(part, find_spans(part, tagger)), lo):
+                    if any(spans):
+                        out[k] = redact_text(text, spans)
+                        if has_length:
+                            n[k] = len(out[k])
+            b = b.set_column(b.schema.get_field_index("text"), "text", pa.array(out, b.column("text").type))
+            if has_length:
+                b = b.set_column(b.schema.get_field_index("n_chars"), "n_chars", pa.array(n, b.column("n_chars").type))
+            yield b
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_personal_data(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return personal_data(docs, fit_tagger(docs))

@@ -292,6 +292,18 @@ def toxicity(docs: DataFrame, model: ToxicModel, held_out) -> DataFrame:
     return texts(docs, held_out.alias("held_out")).mapInArrow(run, SCHEMA)
 
 
+def drop_toxic(docs: DataFrame, model: ToxicModel) -> DataFrame:
+    """Rows of ``docs``, all columns, whose text scores below the cut; one pass."""
+    model.emb = None
+
+    def run(batches):
+        for b in batches:
+            p = model.score(text_list(b.column("text").cast(pa.binary())))
+            yield b.filter(pa.array(p < CUT, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
