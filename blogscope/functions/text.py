@@ -76,11 +76,6 @@ def clean_html_if_needed(col) -> Column:
     return F.when(c.rlike(r"[<&:@\t\n\x0B\f\r]|  |^ | $"), clean_html(c)).otherwise(c)
 
 
-def clean_html_array(col) -> Column:
-    """P5 on an array of strings (non-string/null entries dropped)."""
-    return F.transform(F.filter(_c(col), lambda t: t.isNotNull()), clean_html)
-
-
 def escape_stray_ampersands(col) -> Column:
     """S3/Q4: every ``&`` not starting amp;/lt;/gt;/apos;/quot; becomes ``&amp;``."""
     # Java has look-ahead but RE2 does not; the oracle side spells it differently.

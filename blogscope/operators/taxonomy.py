@@ -9,8 +9,7 @@ Shapes:
 The taxonomy is a bounded dimension (tens of majors, a few hundred subtopics).
 Topic x subtopic similarities are a dense matrix product, done per partition
 with numpy on Arrow batches against the subtopic matrix shipped once as a
-broadcast variable; nothing is joined pairwise. Its size is checked; a larger
-taxonomy is scored in several blocks of bounded size.
+broadcast variable; nothing is joined pairwise. Its size is checked.
 """
 
 from __future__ import annotations
@@ -23,7 +22,9 @@ from pyspark.sql import types as T
 from ..functions import lexicon as lx
 from ..functions import text as tx
 
-MAX_SUBTOPICS_PER_BLOCK = 5000
+# Subtopics a taxonomy may have: its vectors travel to every task (64 doubles each: 25 MB).
+MAX_SUBTOPICS = 50_000
+SLICE = 1 << 20  # cosines computed at a time in a task
 
 
 def fallback_taxonomy(spark: SparkSession) -> DataFrame:
@@ -157,13 +158,23 @@ def topic_vectors(selected: DataFrame, vectors: DataFrame) -> DataFrame:
     its known words' vectors; words with no known part are left out; a topic with
     no known word at all is dropped.
     """
-    parts = selected.select("doc_id", "topic_id", "topic_quality", "pos", "weight", "coherence",
+    words = selected.select("doc_id", "topic_id", "topic_quality", "pos",
+                            (F.col("weight") * (F.col("coherence") + F.lit(0.2))).alias("cw"),
                             F.posexplode(tx.phrase_words(F.col("word"))).alias("ppos", "word"))
-    hit = lookup_vectors(parts, vectors)
-    phrase = mean_vectors(hit.withColumnRenamed("vec", "wv"),
-                          ["doc_id", "topic_id", "topic_quality", "pos", "weight", "coherence"], "wv")
-    weighted = phrase.withColumn("cw", F.col("weight") * (F.col("coherence") + F.lit(0.2)))
-    return mean_vectors(weighted, ["doc_id", "topic_id", "topic_quality"], "vec", "cw")
+    hit = lookup_vectors(words, vectors).withColumn("vec", F.col("vec").cast("array<double>"))
+    # one exchange by topic: a topic's words (tens at most) meet, phrases are folded inside
+    g = hit.groupBy("doc_id", "topic_id").agg(
+        F.max("topic_quality").alias("topic_quality"),
+        F.sort_array(F.collect_list(F.struct("pos", "ppos", "cw", "vec"))).alias("_w"))
+    sizes = F.transform("_w", lambda x: F.size(F.filter("_w", lambda y: y["pos"] == x["pos"])))
+    dim = F.size(F.get("_w", 0)["vec"])
+    zero = F.transform(F.sequence(F.lit(1), dim), lambda _: F.lit(0.0))
+    # a phrase vector is the mean of its words: each word weighs cw / words of its phrase
+    share = F.zip_with("_w", sizes, lambda x, n: F.struct((x["cw"] / n).alias("w"), x["vec"].alias("v")))
+    total = F.aggregate("_s", zero, lambda acc, x: F.zip_with(acc, x["v"], lambda p, q: p + x["w"] * q))
+    weight = F.aggregate("_s", F.lit(0.0), lambda acc, x: acc + x["w"])
+    return (g.withColumn("_s", share).select("doc_id", "topic_id", "topic_quality", total.alias("_t"), weight.alias("_n"))
+             .select("doc_id", "topic_id", "topic_quality", F.transform("_t", lambda x: x / F.col("_n")).alias("vec")))
 
 
 SCORE_SCHEMA = T.StructType([
@@ -174,47 +185,29 @@ SCORE_SCHEMA = T.StructType([
 ])
 
 
-def score_subtopics(tvecs: DataFrame, subvecs: DataFrame, min_similarity: float,
-                    block: int = MAX_SUBTOPICS_PER_BLOCK) -> DataFrame:
+def score_subtopics(tvecs: DataFrame, subvecs: DataFrame, min_similarity: float) -> DataFrame:
     """J4 + M9: cosine of every topic vector with every subtopic vector, times the
     quality multiplier 0.5 + 0.5 * quality; only pairs >= ``min_similarity`` leave
-    the task. The subtopic table is collected in blocks of at most ``block`` rows
-    (bounded dimension, checked), each shipped once as a broadcast variable."""
+    the task. The taxonomy is a dimension of checked size, shipped once as a broadcast
+    variable; one plan, whatever its size."""
     spark = tvecs.sparkSession
-    sub_rows = subvecs.orderBy("ord").limit(block + 1).collect()
-    blocks = [sub_rows[:block]]
-    if len(sub_rows) > block:  # large taxonomy: score it block by block
-        blocks = []
-        start = None
-        while True:
-            q = subvecs.orderBy("ord")
-            if start is not None:
-                q = q.where(F.col("ord") > start)
-            rows = q.limit(block).collect()
-            if not rows:
-                break
-            blocks.append(rows)
-            start = rows[-1]["ord"]
+    rows = subvecs.orderBy("ord", "major", "subtopic").limit(MAX_SUBTOPICS + 1).collect()
+    if len(rows) > MAX_SUBTOPICS:
+        raise ValueError(f"a taxonomy may have {MAX_SUBTOPICS} subtopics at most")
+    if not rows:
+        return spark.createDataFrame([], SCORE_SCHEMA)
+    mat = np.array([np.asarray(r["vec"], dtype=np.float64) for r in rows])
+    bc = spark.sparkContext.broadcast((
+        [r["ord"] for r in rows], [r["major"] for r in rows], [r["subtopic"] for r in rows], mat))
     src = tvecs.select(F.col("doc_id").cast("long"), F.col("topic_id").cast("int"),
                        F.col("topic_quality").cast("double"), "vec")
-    out = None
-    for rows in blocks:
-        if not rows:
-            continue
-        mat = np.array([np.asarray(r["vec"], dtype=np.float64) for r in rows])
-        bc = spark.sparkContext.broadcast((
-            [r["ord"] for r in rows], [r["major"] for r in rows], [r["subtopic"] for r in rows], mat))
-        fn = _broadcast_scorer(bc, min_similarity)
-        part = src.mapInPandas(fn, SCORE_SCHEMA)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], SCORE_SCHEMA)
-    return out
+    return src.mapInPandas(_broadcast_scorer(bc, min_similarity, SLICE), SCORE_SCHEMA)
 
 
-def _broadcast_scorer(bc, min_similarity):
+def _broadcast_scorer(bc, min_similarity, slice_size):
     """The per-partition scorer. Self-contained (imports inside, no module-level
-    references) so it is pickled by value and workers need no copy of this package."""
+    references) so it is pickled by value and workers need no copy of this package.
+    Both sides are normalised first and multiplied in slices of bounded size."""
     def run(batches):
         import numpy as np
         import pandas as pd
@@ -222,20 +215,21 @@ def _broadcast_scorer(bc, min_similarity):
         keys = np.asarray(keys, dtype=np.int32)
         majors = np.asarray(majors, dtype=object)
         subs = np.asarray(subs, dtype=object)
-        s_norm = np.linalg.norm(mat, axis=1)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            tv = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
-            cos = (tv @ mat.T) / np.outer(np.linalg.norm(tv, axis=1), s_norm)
-            ws = cos * (0.5 + 0.5 * pdf["topic_quality"].to_numpy(dtype=np.float64))[:, None]
-            r, c = np.nonzero(ws >= min_similarity)
-            yield pd.DataFrame({
-                "doc_id": pdf["doc_id"].to_numpy()[r],
-                "topic_id": pdf["topic_id"].to_numpy()[r],
-                "ord": keys[c], "major": majors[c], "subtopic": subs[c],
-                "similarity": cos[r, c], "weighted_similarity": ws[r, c],
-            })
+        unit = (mat / np.linalg.norm(mat, axis=1, keepdims=True)).T
+        step = max(1, slice_size // len(keys))
+        for batch in batches:
+            for lo in range(0, len(batch), step):
+                pdf = batch.iloc[lo:lo + step]
+                tv = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"]])
+                cos = (tv / np.linalg.norm(tv, axis=1, keepdims=True)) @ unit
+                boost = 0.5 + 0.5 * pdf["topic_quality"].to_numpy(dtype=np.float64)
+                ws = cos * boost[:, None]
+                r, c = np.nonzero(ws >= min_similarity)
+                yield pd.DataFrame({
+                    "doc_id": pdf["doc_id"].to_numpy()[r], "topic_id": pdf["topic_id"].to_numpy()[r],
+                    "ord": keys[c], "major": majors[c], "subtopic": subs[c],
+                    "similarity": cos[r, c], "weighted_similarity": ws[r, c],
+                })
     return run
 
 

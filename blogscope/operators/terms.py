@@ -97,14 +97,6 @@ def tfidf_topic(tokens: Column, top_n: int = 5, max_features: int = 1000, num_wo
     return bags.let(bags.top_by_count(bags.term_counts(tokens), max_features), with_kept)
 
 
-def with_word_frequencies(df: DataFrame, tokens_col: str, out: str = "word_frequencies", **kw) -> DataFrame:
-    return df.withColumn(out, word_frequencies(F.col(tokens_col), **kw))
-
-
-def with_tfidf_topic(df: DataFrame, tokens_col: str, out: str = "topic", **kw) -> DataFrame:
-    return df.withColumn(out, tfidf_topic(F.col(tokens_col), **kw))
-
-
 def exploded_counts(df: DataFrame, key_cols: list[str], tokens_col: str) -> DataFrame:
     """A8 in long form: (keys..., term, cnt), one row per distinct term of a row."""
     return (df.select(*key_cols, F.explode(bags.term_counts(F.col(tokens_col))).alias("_b"))
@@ -154,33 +146,43 @@ def top_terms_by_count(counts: DataFrame, group_cols: list[str], n: int = 2) ->
 
 def ngrams(tokens: Column, n_min: int = 1, n_max: int = 3) -> Column:
     """All n-grams (n_min..n_max) of a token list, space-joined, in order of n then position."""
-    def grams(n):
-        idx = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - n, F.lit(0))),
-                       lambda i: i <= F.size(tokens) - n)
-        return F.transform(idx, lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
-    return F.concat(*[grams(n) for n in range(n_min, n_max + 1)])
+    def of(t):
+        def grams(n):
+            idx = F.filter(F.sequence(F.lit(0), F.greatest(F.size(t) - n, F.lit(0))), lambda i: i <= F.size(t) - n)
+            return F.transform(idx, lambda i: F.array_join(F.slice(t, i + 1, n), " "))
+        return F.concat(*[grams(n) for n in range(n_min, n_max + 1)])
+    return bags.let(tokens, of)
 
 
 def segment_tfidf(segs: DataFrame, key: list[str], scope: list[str], tokens: str = "tokens",
-                  ngram=(1, 3), max_features: int = 1000, min_df: int = 2, max_df: float = 0.85) -> DataFrame:
-    """TF-IDF over the segments of each scope (a blog) with n-grams 1-3:
-    df >= ``min_df`` and <= ``max_df`` x segments (falling back to df >= 1 when no
-    term survives), the ``max_features`` terms with the highest total count (ties
-    by term), tf = 1 + ln(count), idf = ln((1 + n) / (1 + df)) + 1, L2 per segment.
-    Output (key..., term, cnt, weight). Shuffles: (segment, term) counts and
-    (scope, term) document frequencies, both partially aggregated."""
+                  ngram=(1, 3), max_features: int | None = 1000, min_df: int = 2, max_df: float = 0.85) -> DataFrame:
+    """TF-IDF over the segments of each scope (a blog, or the corpus when ``scope`` is
+    empty) with n-grams 1-3: df >= ``min_df`` and <= ``max_df`` x segments (falling back to
+    df >= 1 when no term survives), the ``max_features`` terms with the highest total count
+    (ties by term; None keeps all), tf = 1 + ln(count), idf = ln((1 + n) / (1 + df)) + 1, L2
+    per segment. Output (key..., term, cnt, weight). Shuffles: (segment, term) counts and
+    (scope, term) document frequencies, both partially aggregated. A corpus has no window
+    over one partition: its counts are scalar aggregates and its cut an ordered limit."""
     grams = segs.select(*key, F.explode(ngrams(F.col(tokens), *ngram)).alias("term"))
     counts = grams.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("cnt"))
-    n_seg = segs.groupBy(*scope).agg(F.count(F.lit(1)).alias("n"))
     dfs = counts.groupBy(*scope, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("total"))
-    j = dfs.join(n_seg, scope)
+    if scope:
+        j = dfs.join(segs.groupBy(*scope).agg(F.count(F.lit(1)).alias("n")), scope)
+    else:
+        j = dfs.withColumn("n", segs.select(F.count(F.lit(1))).scalar())
     strict = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n"))
     loose = (F.col("df") >= 1) & (F.col("df") <= F.lit(max_df) * F.col("n"))
-    sc = Window.partitionBy(*scope)
-    j = j.withColumn("_any", F.max(strict.cast("int")).over(sc))
-    kept = j.where(F.when(F.col("_any") == 1, strict).otherwise(loose))
-    rk = Window.partitionBy(*scope).orderBy(F.col("total").desc(), F.col("term").asc())
-    kept = kept.withColumn("_r", F.row_number().over(rk)).where(F.col("_r") <= max_features)
+    if scope:
+        any_strict = F.max(strict.cast("int")).over(Window.partitionBy(*scope)) == 1
+        kept = j.withColumn("_any", any_strict).where(F.when(F.col("_any"), strict).otherwise(loose)).drop("_any")
+        if max_features:
+            rk = Window.partitionBy(*scope).orderBy(F.col("total").desc(), F.col("term").asc())
+            kept = kept.withColumn("_r", F.row_number().over(rk)).where(F.col("_r") <= max_features)
+    else:
+        kept = j.where(strict)
+        kept = j.where(loose) if kept.isEmpty() else kept
+        if max_features:
+            kept = kept.orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features)
     w = (counts.join(kept.select(*scope, "term", "df", "n"), scope + ["term"])
                .withColumn("raw", (F.lit(1.0) + F.log("cnt")) * smooth_idf(F.col("n"), F.col("df"))))
     seg = Window.partitionBy(*key)

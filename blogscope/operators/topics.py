@@ -31,38 +31,50 @@ def semantic_segments(df: DataFrame, id_col: str, text_col: str, min_topic_size:
 
     Output (doc_id, seg_id, tokens).
     """
+    df = df.select(F.col(id_col).alias("doc_id"), terms.sentences(F.col(text_col)).alias("sentences"),
+                   terms.topic_tokens_of_clean(tx.clean_content(F.col(text_col))).alias("tokens"))
+    return segments_of(df, min_topic_size, window, step)
+
+
+def segments_of(blogs: DataFrame, min_topic_size: int = 5, window: int = 30, step: int = 20) -> DataFrame:
+    """W6 + W7 from (doc_id, sentences, tokens). Both arrays are bound once per row, so the
+    work is linear in the text however long it is."""
+    def starts(n, by):
+        return F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(by)), lambda i: i < n)
+
     def group(s):
-        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(s) - 1, F.lit(0))),
-                          lambda i: (i < F.size(s)) & (i % 2 == 0))
-        texts = F.transform(starts, lambda i: F.array_join(F.slice(s, i + 1, 3), " "))
+        texts = F.transform(starts(F.size(s), 2), lambda i: F.array_join(F.slice(s, i + 1, 3), " "))
         return F.filter(texts, lambda t: F.size(F.split(tx.collapse_ws(t), " ")) >= min_topic_size)
 
     def windows(tok):
-        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tok) - 1, F.lit(0)), F.lit(step)),
-                          lambda i: i < F.size(tok))
-        ws = F.transform(starts, lambda i: F.slice(tok, i + 1, window))
+        ws = F.transform(starts(F.size(tok), step), lambda i: F.slice(tok, i + 1, window))
         return F.transform(F.filter(ws, lambda w: F.size(w) >= min_topic_size), lambda w: F.array_join(w, " "))
 
-    segs = bags.let(group(terms.sentences(F.col(text_col))), lambda g: F.when(
-        F.size(g) < 3, F.concat(g, windows(terms.topic_tokens_of_clean(tx.clean_content(F.col(text_col))))))
-        .otherwise(g))
-    rows = df.select(F.col(id_col).alias("doc_id"), segs.alias("_segs"))
+    segs = bags.let(bags.let(F.col("sentences"), group), lambda g: F.when(
+        F.size(g) < 3, F.concat(g, bags.let(F.col("tokens"), windows))).otherwise(g))
+    rows = blogs.select("doc_id", segs.alias("_segs"))
     rows = rows.select("doc_id", F.when(F.size("_segs") >= 2, F.col("_segs")).alias("_segs"))
     return (rows.select("doc_id", F.posexplode("_segs").alias("seg_id", "_t"))
                 .select("doc_id", "seg_id", terms.topic_tokens_of_clean(tx.clean_content(F.col("_t"))).alias("tokens")))
 
 
-def fit_lda(segments: DataFrame, k: int = 6, max_iter: int = 20, vocab_size: int = 1000,
+# Terms of the corpus model at most: the k x terms topic matrix lives on the driver.
+CORPUS_VOCABULARY = 1 << 18
+
+
+def fit_lda(segments: DataFrame, k: int = 6, max_iter: int = 20, vocab_size: int = CORPUS_VOCABULARY,
             min_df: float = 2.0, max_df: float = 0.85, seed: int = 42):
-    """M1: term counts over a bounded vocabulary (``vocab_size`` most frequent
-    terms with df >= ``min_df`` and <= ``max_df``), online LDA with alpha 0.1,
-    eta 0.01, learning offset 50. Returns (count model, lda model, features)."""
+    """M1: term counts over all terms with df >= ``min_df`` and <= ``max_df`` (the most
+    frequent ``vocab_size`` of them: the topic matrix is the model's size), online LDA with
+    alpha 0.1, eta 0.01, learning offset 50. Every mini-batch is the whole corpus
+    (``subsamplingRate`` 1), so ``max_iter`` iterations are as many full passes.
+    Returns (count model, lda model, features)."""
     cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size,
                          minDF=min_df, maxDF=max_df)
     cv_model = cv.fit(segments)
     feats = cv_model.transform(segments).where(F.size("tokens") > 0)
     lda = LDA(k=k, maxIter=max_iter, optimizer="online", docConcentration=[0.1] * k,
-              topicConcentration=0.01, learningOffset=50.0, seed=seed, featuresCol="features")
+              topicConcentration=0.01, learningOffset=50.0, subsamplingRate=1.0, seed=seed, featuresCol="features")
     return cv_model, lda.fit(feats), feats
 
 
@@ -146,11 +158,14 @@ def describe_topics(reranked: DataFrame, num_words: int = 10) -> DataFrame:
 
 
 def blog_mixture(lda_model, feats: DataFrame) -> DataFrame:
-    """M3: a blog's topic mixture = mean of its segments' topic distributions."""
+    """M3: a blog's topic mixture = mean of its segments' topic distributions, and the
+    topics that lead one of its segments."""
     dist = lda_model.transform(feats).select("doc_id", vector_to_array("topicDistribution").alias("d"))
     k = lda_model.getK()
-    return dist.groupBy("doc_id").agg(*[F.avg(F.get("d", i)).alias(f"t{i}") for i in range(k)]).select(
-        "doc_id", F.array(*[F.col(f"t{i}") for i in range(k)]).alias("mixture"))
+    lead = F.array_position("d", F.array_max("d")).cast("int") - 1
+    return dist.groupBy("doc_id").agg(*[F.avg(F.get("d", i)).alias(f"t{i}") for i in range(k)],
+                                      F.array_sort(F.collect_set(lead)).alias("leading")).select(
+        "doc_id", F.array(*[F.col(f"t{i}") for i in range(k)]).alias("mixture"), "leading")
 
 
 def filter_meaningful(candidates: Column, max_topics: int = 3, overlap: float = 0.6) -> Column:
@@ -179,15 +194,13 @@ def filter_meaningful(candidates: Column, max_topics: int = 3, overlap: float =
     return F.when(F.size(candidates) > 0, bags.let(candidates, body)).otherwise(candidates)
 
 
-def blog_topics(mixture: DataFrame, described: DataFrame, k: int) -> DataFrame:
-    """Per blog: corpus topics present above the uniform share 1/k, then W11/W10.
-    The topic table has k rows, so it is broadcast."""
-    ex = mixture.select("doc_id", F.posexplode("mixture").alias("topic_id", "share")) \
-        .where(F.col("share") >= 1.0 / k)
-    j = ex.join(F.broadcast(described), "topic_id")
-    cand = j.groupBy("doc_id").agg(F.collect_list(F.struct(
-        "topic_quality", "topic_id", "label", "words", "weights", "coherence_scores",
-        "semantic_coherence")).alias("cand"))
+def blog_topics(shares: DataFrame, described: DataFrame) -> DataFrame:
+    """Per blog: its topics (doc_id, topic_id), described, then W11/W10. At most k topics
+    meet per blog."""
+    j = shares.select("doc_id", "topic_id").distinct().join(described, "topic_id")
+    cand = j.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct(
+        "topic_id", "topic_quality", "label", "words", "weights", "coherence_scores",
+        "semantic_coherence"))).alias("cand"))
     kept = cand.select("doc_id", filter_meaningful(F.col("cand")).alias("topics"))
     return kept.select("doc_id", F.explode("topics").alias("t")).select("doc_id", "t.*")
 
@@ -197,7 +210,7 @@ def blog_summary(topics: DataFrame) -> DataFrame:
     return topics.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("num_topics"), F.avg("topic_quality").alias("average_topic_quality"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(tx.valid_topic_words(F.col("words")))))).alias("words"),
-        F.flatten(F.collect_list(tx.label_parts(F.col("label")))).alias("topic_labels"))
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(tx.label_parts(F.col("label")))))).alias("topic_labels"))
 
 
 def choose_k(vectors: DataFrame, features: str = "features", k_min: int = 2, k_max: int = 6,
@@ -226,7 +239,9 @@ def word_vectors(segments: DataFrame, tokens: str = "tokens", size: int = 64, mi
     """M5: word vectors trained on the corpus (pyspark.ml Word2Vec) as a (word, vec)
     table, usable wherever a vector table is expected (S10/J3)."""
     from pyspark.ml.feature import Word2Vec
+    kept = segments.where(F.size(tokens) > 0)
+    # one training partition per input partition, not one for the whole corpus
     w2v = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, maxIter=max_iter,
-                   inputCol=tokens, outputCol="_v")
-    model = w2v.fit(segments.where(F.size(tokens) > 0))
+                   numPartitions=max(1, kept.rdd.getNumPartitions()), inputCol=tokens, outputCol="_v")
+    model = w2v.fit(kept)
     return model.getVectors().select("word", vector_to_array("vector").alias("vec"))

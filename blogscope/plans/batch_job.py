@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import segments, taxonomy
-from ..session import apply_conf, checkpoint_dir, get_session
+from ..session import apply_conf, checkpoint_dir, drop_stages, get_session, materialize
 from ..sources.tables import cached_stage, write_report
 from . import lda_topics
 from . import segment_topics as st
@@ -30,7 +30,8 @@ def reports(docs: DataFrame) -> dict[str, DataFrame]:
     segs = segments.default_segments()
     out = {}
     for level in ("category", "subcategory"):
-        scores = segments.segment_scores(docs, segs, "scores", level)
+        # aggregated once; score and specificity reports are cut from the written stage
+        scores = materialize(segments.segment_scores(docs, segs, "scores", level), f"{level}-scores")
         out[f"{level}_scores"] = segments.rank_within(scores, "average_weighted_score")
         out[f"{level}_specificity"] = segments.rank_within(segments.specificity(scores), "popularity_bias_score")
     return out
@@ -41,7 +42,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, methods=("tfidf", "lda")
     checkpoint_dir(spark)
     written = {}
     blogs = cached_stage(spark, os.path.join(out_dir, "blogs_en"),
-                         lambda: st.english_tokens(spark, sf_dir))
+                         lambda: st.english_tokens(spark, sf_dir), key=(sf_dir,))
     demo = segments.prepare_demographics(blogs.select("file_id", "gender", "age", "industry"))
     for method in methods:
         path = os.path.join(out_dir, f"{method}_classes")
@@ -49,7 +50,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, methods=("tfidf", "lda")
             build = lambda: st.classify_tokens(spark, sf_dir, blogs)
         else:
             build = lambda: lda_topics.classified(spark, sf_dir)
-        classes = cached_stage(spark, path, build)
+        classes = cached_stage(spark, path, build, key=(sf_dir, method))
         maps = taxonomy.classification_map(classes).withColumnRenamed("doc_id", "file_id")
         docs = demo.join(maps, "file_id", "left")
         for name, df in reports(docs).items():
@@ -61,9 +62,10 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, methods=("tfidf", "lda")
 
 def main(argv: list[str]) -> None:
     sf_dir, out_dir = argv[1], argv[2]
-    spark = get_session(master=None if os.environ.get("SPARK_MASTER_SET") else "local[*]")
+    spark = get_session(master=None)  # spark-submit names it
     for k, v in run(spark, sf_dir, out_dir).items():
         print(k, v)
+    drop_stages(spark)
 
 
 if __name__ == "__main__":

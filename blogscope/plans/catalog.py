@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
-from ..operators import language, segments, terms
+from ..operators import language, phrases, segments, taxonomy, terms, topics
 from ..sources import blogfiles, testdata
-from ..sources.tables import decode_json_map, read_table
+from ..sources.tables import (attach_metadata, decode_json_map, encode_json, first_rows, read_table, require_columns,
+                              skip_processed, union_results)
+from ..session import materialize
+from . import lda_topics
 from . import segment_topics as st
 
 # FIXED VALUES: which month-name language renders the dates of each event type.
@@ -95,32 +98,31 @@ def t3_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.aggregate(s, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("total_chars"))
 
 
-def _english_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return st.english_tokens(spark, sf_dir).withColumnRenamed("file_id", "doc_id")
-
-
 def t9_corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = terms.exploded_counts(_english_counts(spark, sf_dir), ["doc_id"], "tokens")
+    toks = st.english_tokens(spark, sf_dir).withColumnRenamed("file_id", "doc_id")
+    counts = materialize(terms.exploded_counts(toks, ["doc_id"], "tokens"), "document-terms")
     top = terms.corpus_tfidf_top(counts, ["doc_id"], top_n=5)
     return top.select("doc_id", F.col("rank").cast("long").alias("rank"), "term",
                       F.round("weight", 6).alias("weight"))
 
 
-def _segment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = segments.prepare_demographics(_english_counts(spark, sf_dir))
-    seg = segments.fan_out(docs.select("doc_id", "tokens", "gender", "age_group", "is_student"),
-                           segments.default_segments())
-    counts = terms.exploded_counts(seg, ["demographic", "doc_id"], "tokens")
-    return counts.groupBy("demographic", "term").agg(F.sum("cnt").alias("cnt"))
+def _segment_counts(blogs: DataFrame) -> DataFrame:
+    """(demographic, term, cnt), written once. Counted per combination of demographics
+    first (a few dozen), so only aggregated rows are copied to the segments."""
+    docs = segments.prepare_demographics(blogs)
+    keys = ["gender", "age_group", "is_student"]
+    counts = terms.exploded_counts(docs, [*keys, "file_id"], "tokens").groupBy(*keys, "term").agg(F.sum("cnt").alias("cnt"))
+    return materialize(segments.fan_out(counts, segments.default_segments())
+                       .groupBy("demographic", "term").agg(F.sum("cnt").alias("cnt")), "segment-terms")
 
 
 def e2_segment_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = terms.top_terms_by_count(_segment_counts(spark, sf_dir), ["demographic"], n=2)
+    top = terms.top_terms_by_count(_segment_counts(st.english_blogs(spark, sf_dir)), ["demographic"], n=2)
     return top.select("demographic", F.col("rank").cast("long").alias("rank"), "term", "cnt")
 
 
 def e3_segment_tfidf_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = terms.corpus_tfidf_top(_segment_counts(spark, sf_dir), ["demographic"], top_n=2, few_documents=True)
+    top = terms.corpus_tfidf_top(_segment_counts(st.english_blogs(spark, sf_dir)), ["demographic"], top_n=2, few_documents=True)
     return top.select("demographic", F.col("rank").cast("long").alias("rank"), "term",
                       F.round("weight", 6).alias("weight"))
 
@@ -146,9 +148,8 @@ QUERIES = {
 # --- model queries (no SQL twin: iterative fits; the driver checks rows only) ----
 
 def m1_lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus LDA topics with re-ranked words, quality, coherence."""
-    from . import lda_topics
-    described, _, _ = lda_topics.fit(spark, sf_dir)
+    """Corpus LDA topics with re-ranked words, quality, coherence."""
+    described, _, _ = lda_topics.fitted(spark, sf_dir)
     return described.select("topic_id", "label", F.array_join("words", " ").alias("words_text"),
                             F.round("topic_quality", 6).alias("topic_quality"),
                             F.round("semantic_coherence", 6).alias("semantic_coherence"))
@@ -156,23 +157,18 @@ def m1_lda_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def w10_blog_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3 + W11 + W10 + A12: each blog's kept topics (at most 3) and summary."""
-    from ..operators import topics
-    from . import lda_topics
-    _, bt, _ = lda_topics.fit(spark, sf_dir)
-    s = topics.blog_summary(bt)
+    s = topics.blog_summary(lda_topics.fitted(spark, sf_dir)[1])
     return s.select("doc_id", "num_topics", F.round("average_topic_quality", 6).alias("average_topic_quality"),
                     F.array_join("words", " ").alias("words_text"))
 
 
 def x3_lda_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LDA topics on the taxonomy (min similarity 0.50)."""
-    from . import lda_topics
     return lda_topics.classified(spark, sf_dir).withColumn("rank", F.col("rank").cast("long"))
 
 
 def m4_choose_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: silhouette per k of KMeans on the embedding vectors."""
-    from ..operators import topics
     emb = topics.as_vectors(read_table(spark, sf_dir, "embeddings"), "embedding")
     best, scores = topics.choose_k(emb)
     return spark.createDataFrame([(k, s, k == best) for k, s in scores], "k INT, silhouette DOUBLE, chosen BOOLEAN")
@@ -196,17 +192,14 @@ QUERIES["e5_event_windows"] = e5_event_windows
 
 
 def t5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-blog bigram then trigram phrases over the sentences of English
-    blogs; the sentences with at least one merged phrase, as text."""
-    from ..operators import phrases
-    from .lda_topics import english_raw_blogs
-    b = english_raw_blogs(spark, sf_dir)
-    sents = b.select(F.col("file_id").alias("doc_id"), F.posexplode(terms.sentences("content")).alias("sent_id", "s"))
+    """Per-blog bigram then trigram phrases over all sentences of English blogs."""
+    sents = st.english_blogs(spark, sf_dir).select(
+        F.col("file_id").alias("doc_id"), F.posexplode("sentences").alias("sent_id", "s"))
     toks = sents.select("doc_id", F.col("sent_id").cast("long").alias("sent_id"),
                         F.filter(F.split(tx.clean_content(F.col("s")), " "), lambda t: t != "").alias("tokens"))
+    toks = materialize(toks.where(F.size("tokens") > 0), "sentence-tokens")
     out = phrases.detect_phrases(toks, ["doc_id", "sent_id"], ["doc_id"])
-    return (out.where(F.exists("phrased", lambda t: F.instr(t, "_") > 0))
-               .select("doc_id", "sent_id", F.array_join("phrased", " ").alias("phrased")))
+    return out.select("doc_id", "sent_id", F.array_join("phrased", " ").alias("phrased"))
 
 
 QUERIES["t5_phrases"] = t5_phrases
@@ -214,79 +207,77 @@ QUERIES["t5_phrases"] = t5_phrases
 
 def w6_semantic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W6 + W7: semantic segments of English blogs as cleaned topic tokens."""
-    from ..operators import topics
-    from .lda_topics import english_raw_blogs
-    segs = topics.semantic_segments(english_raw_blogs(spark, sf_dir), "file_id", "content")
-    return segs.select("doc_id", F.col("seg_id").cast("long").alias("seg_id"),
-                       F.array_join("tokens", " ").alias("tokens_text"))
+    rows = st.english_blogs(spark, sf_dir).select(F.col("file_id").alias("doc_id"), "sentences", "tokens")
+    return topics.segments_of(rows).select("doc_id", F.col("seg_id").cast("long").alias("seg_id"),
+                                           F.array_join("tokens", " ").alias("tokens_text"))
 
 
 def e1_top_term_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per segment, the sentences of its blogs that contain both of the
-    segment's two most frequent terms (E2); counted with their blogs."""
-    top = terms.top_terms_by_count(_segment_counts(spark, sf_dir), ["demographic"], n=2)
+    """Per segment, the sentences of its blogs that contain both of the segment's two
+    most frequent terms (E2)."""
+    blogs = st.english_blogs(spark, sf_dir)
+    top = terms.top_terms_by_count(_segment_counts(blogs), ["demographic"], n=2)
     pair = top.groupBy("demographic").agg(F.collect_list("term").alias("pair"))  # 2 terms per segment
-    docs = segments.prepare_demographics(
-        st.prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir), english_only=False)
-          .where(F.col("content_language") == "en"))
-    from .lda_topics import english_raw_blogs
-    raw = english_raw_blogs(spark, sf_dir).select("file_id", F.col("content").alias("raw"))
-    sents = (raw.select("file_id", F.posexplode(terms.sentences("raw")).alias("sent_id", "s"))
-                .select("file_id", "sent_id",
-                        terms.topic_tokens_of_clean(tx.clean_content(F.col("s"))).alias("toks")))
-    seg = segments.fan_out(docs.select("file_id", "gender", "age_group", "is_student"),
-                           segments.default_segments()).select("file_id", "demographic")
+    docs = segments.prepare_demographics(blogs)
+    own = docs.select("file_id", segments.segment_names(segments.default_segments()).alias("demographics"),
+                      F.posexplode("sentences").alias("sent_id", "text"))
+    toks = own.withColumn("toks", terms.topic_tokens_of_clean(tx.clean_content(F.col("text"))))
     # the pair table has one row per segment (7): broadcast
-    hits = (sents.join(seg, "file_id").join(F.broadcast(pair), "demographic")
-                 .where(F.size(F.array_intersect("toks", "pair")) == F.size("pair")))
-    return hits.groupBy("demographic").agg(F.count(F.lit(1)).alias("sentences"),
-                                           F.countDistinct("file_id").alias("blogs"))
+    hits = (toks.select("file_id", "sent_id", "text", "toks", F.explode("demographics").alias("demographic"))
+                .join(F.broadcast(pair), "demographic")
+                .where(F.size(F.array_intersect("toks", "pair")) == F.size("pair")))
+    return hits.select("demographic", "file_id", F.col("sent_id").cast("long").alias("sent_id"), "text")
 
 
 QUERIES["w6_semantic_segments"] = w6_semantic_segments
 QUERIES["e1_top_term_sentences"] = e1_top_term_sentences
 
 
+def _matrix_digest(w: DataFrame) -> DataFrame:
+    """Every row of a term matrix per segment: how many terms, which, and their weights' sum."""
+    return w.groupBy("doc_id", F.col("seg_id").cast("long").alias("seg_id")).agg(
+        F.count(F.lit(1)).alias("n_terms"), F.round(F.sum("weight"), 5).alias("weight_sum"),
+        F.md5(F.array_join(F.sort_array(F.collect_list("term")), ",")).alias("terms_md5"))
+
+
 def t7_segment_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per blog, 1-3-gram TF-IDF over its semantic segments; top 3 terms per segment."""
-    from pyspark.sql import Window
-    from ..operators import topics
-    from .lda_topics import english_raw_blogs
-    segs = topics.semantic_segments(english_raw_blogs(spark, sf_dir), "file_id", "content")
-    w = terms.segment_tfidf(segs, ["doc_id", "seg_id"], ["doc_id"])
-    rk = Window.partitionBy("doc_id", "seg_id").orderBy(F.col("weight").desc(), F.col("term").asc())
-    return (w.withColumn("rank", F.row_number().over(rk)).where(F.col("rank") <= 3)
-             .select("doc_id", F.col("seg_id").cast("long").alias("seg_id"), F.col("rank").cast("long").alias("rank"),
-                     "term", F.round("weight", 6).alias("weight")))
+    """Per blog, 1-3-gram TF-IDF over its semantic segments; the whole matrix."""
+    segs = lda_topics.semantic_segments(st.english_blogs(spark, sf_dir))
+    return _matrix_digest(terms.segment_tfidf(segs, lda_topics.SEGMENT_KEY, ["doc_id"]))
 
 
+def t7_corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 at corpus scope: one vocabulary for all segments, no cut."""
+    segs = lda_topics.semantic_segments(st.english_blogs(spark, sf_dir))
+    return _matrix_digest(terms.segment_tfidf(segs, lda_topics.SEGMENT_KEY, [], max_features=None))
+
+
+QUERIES["t7_corpus_tfidf"] = t7_corpus_tfidf
 QUERIES["t7_segment_tfidf"] = t7_segment_tfidf
 
 
 def e4_method_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Agreement of the two term methods (count, TF-IDF) on each segment's top 2."""
-    counts = _segment_counts(spark, sf_dir)
+    counts = _segment_counts(st.english_blogs(spark, sf_dir))
     by_count = terms.top_terms_by_count(counts, ["demographic"], n=2)
     by_tfidf = terms.corpus_tfidf_top(counts, ["demographic"], top_n=2, few_documents=True)
     return segments.method_agreement(by_count, by_tfidf, "term")
 
 
 def p2b_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P2 (b): Naive Bayes on character trigrams, trained on the labelled languages;
-    agreement with the label per language (training-set fit, rows only)."""
+    """P2 (b): Naive Bayes on character trigrams, trained on four fifths of the documents by
+    a hash of the id; agreement with the label per language on the rest (rows only)."""
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = language.fit_language_model(d)
-    pred = language.predict_language(model, d)
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    model = language.fit_language_model(d.where(~held))
+    pred = language.predict_language(model, d.where(held))
     return pred.groupBy("lang").agg(F.count(F.lit(1)).alias("documents"),
                                     F.sum((F.col("predicted") == F.col("lang")).cast("long")).alias("agree"))
 
 
 def m5_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5: Word2Vec vectors from the semantic segments (rows only)."""
-    from ..operators import topics
-    from .lda_topics import english_raw_blogs
-    segs = topics.semantic_segments(english_raw_blogs(spark, sf_dir), "file_id", "content")
-    v = topics.word_vectors(segs)
+    v = topics.word_vectors(lda_topics.semantic_segments(st.english_blogs(spark, sf_dir)))
     return v.select("word", F.size("vec").alias("dims"),
                     F.round(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)), 6).alias("norm"))
 
@@ -298,7 +289,6 @@ QUERIES["m5_word_vectors"] = m5_word_vectors
 
 def m7_topic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7 + P16 on the TF-IDF topics (coherence 0.5 for every word, as on that path)."""
-    from ..operators import topics
     t = st.tfidf_topics_from_tokens(st.english_tokens(spark, sf_dir))
     coh = F.transform("words", lambda _: F.lit(0.5))
     return t.select("doc_id", tx.topic_label(F.col("words")).alias("label"),
@@ -306,3 +296,168 @@ def m7_topic_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["m7_topic_quality"] = m7_topic_quality
+
+
+# --- the model path's use half on topics that SQL can reproduce -------------------
+
+
+def _source_run(table: str, *columns: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return lda_topics.source_topic_run(spark, sf_dir)[table].selectExpr(*columns)
+    return run
+
+
+def a12_blog_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A12 + P18 of each blog's kept topics."""
+    s = topics.blog_summary(lda_topics.source_topic_run(spark, sf_dir)["kept"])
+    return s.select("doc_id", "num_topics", F.round("average_topic_quality", 6).alias("average_topic_quality"),
+                    F.array_join("words", " ").alias("words_text"), F.array_join("topic_labels", " ").alias("labels_text"))
+
+
+def _source_report(level: str, kind: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        docs = lda_topics.source_topic_run(spark, sf_dir)["docs"]
+        scores = segments.segment_scores(docs, segments.default_segments(), "scores", level)
+        out = (segments.rank_within(scores, "average_weighted_score") if kind == "score"
+               else segments.rank_within(segments.specificity(scores), "popularity_bias_score"))
+        return out.withColumn("rank", F.col("rank").cast("long"))
+    return run
+
+
+QUERIES.update({
+    "m3_topic_shares": _source_run("shares", "doc_id", "topic_id", "round(share, 6) AS share"),
+    "m6_reranked_words": _source_run("reranked", "topic_id", "array_join(words, ' ') AS words_text",
+                                     "array_join(transform(coherence_scores, x -> format_string('%.4f', round(x, 4))), ' ')"
+                                     " AS coherence_text"),
+    "m8_described_topics": _source_run("described", "topic_id", "label", "array_join(words, ' ') AS words_text",
+                                       "round(topic_quality, 6) AS topic_quality",
+                                       "round(semantic_coherence, 6) AS semantic_coherence"),
+    "w11_kept_topics": _source_run("kept", "doc_id", "topic_id"),
+    "a12_blog_summary": a12_blog_summary,
+    "x3_source_taxonomy": _source_run("classes", "doc_id", "classification", "pct", "CAST(rank AS BIGINT) AS rank"),
+    "r6_category_scores": _source_report("category", "score"),
+    "r6_category_specificity": _source_report("category", "specificity"),
+    "r6_subcategory_scores": _source_report("subcategory", "score"),
+    "r6_subcategory_specificity": _source_report("subcategory", "specificity"),
+})
+
+
+# --- raw files end to end, and the small operators ---------------------------------
+
+
+def _conversation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations written as raw blog files: date and post elements per turn, stray
+    ampersands left in, every seventh date unreadable, one date too many at the end."""
+    c = read_table(spark, sf_dir, "conversations")
+    month = F.get(F.array(*[F.lit(m) for m in lx.MONTH_NAMES["en"]]), F.col("turn").cast("int") % 12)
+    day = (F.col("conv_id") % 28 + 1).cast("string")
+    date = F.when(F.col("turn") % 7 == 6, F.lit("no date")).otherwise(F.concat_ws(",", day, month, F.lit("2004")))
+    element = F.concat(F.lit("<date>"), date, F.lit("</date><post>"), F.col("text"), F.lit(" & more</post>"))
+    rows = c.select("conv_id", F.struct("turn", element.alias("e")).alias("x"))
+    body = rows.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["e"]), "\n").alias("b"))
+    return body.select("conv_id", F.concat("b", F.lit("<date>1,may,2005</date>")).alias("body"))
+
+
+def s3_post_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 (Q4, Q5) + P1: dates and posts paired by position, stray ampersands, bad dates."""
+    posts = blogfiles.posts_from_text(_conversation_files(spark, sf_dir), "conv_id", "body")
+    return posts.select("file_id", F.col("pos").cast("long").alias("pos"), "date_text", "content",
+                        blogfiles.parse_day_first_date("date_text").alias("date"))
+
+
+def a1_dated_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 -> P1 -> J1 -> A1: posts of raw files, in date order, one blog per file, with the
+    file's metadata (here the order of that number) attached."""
+    posts = s3_post_pairs(spark, sf_dir)
+    files = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("long").alias("id"), F.col("c_mktsegment").alias("industry"))
+    blogs = attach_metadata(blogfiles.blogs_from_posts(require_columns(posts, "date", "content")), files)
+    return blogs.select("file_id", F.md5("content").alias("content_md5"), "post_count", "total_content_length",
+                        "earliest_post_date", "latest_post_date", "industry")
+
+
+def s8_taxonomy_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 on a taxonomy written from nations and regions: two header lines, short lines."""
+    n = read_table(spark, sf_dir, "nation").join(read_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    lines = n.select(F.col("n_nationkey").cast("int").alias("line_no"),
+                     F.when(F.col("n_nationkey") % 11 == 10, F.lit("short\tline")).otherwise(
+                         F.concat_ws("\t", F.col("n_nationkey").cast("string"), F.lit("x"),
+                                     F.concat("n_name", F.lit(" & Co")), "r_name")).alias("value"))
+    return taxonomy.parse_taxonomy_tsv(lines)
+
+
+def x1_subtopic_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 + P19 + J3 + A11 + Q16: vectors of part types as subtopics of brands; a type under
+    several brands goes to the last, words without a vector are left out."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    n = emb.select(F.count(F.lit(1))).scalar()
+    p = read_table(spark, sf_dir, "part")
+    tax = p.select(F.col("p_partkey").cast("int").alias("ord"), F.col("p_brand").alias("major"),
+                   F.translate("p_type", " ", "_").alias("subtopic"))
+    words = tax.select(F.explode(tx.phrase_words(tx.normalise_term("subtopic"))).alias("word")).distinct()
+    known = (words.where(F.length("word") > 4).withColumn("vec_id", testdata.word_index(F.col("word"), n))
+             .join(emb, "vec_id").select("word", F.col("embedding").alias("vec")))
+    v = taxonomy.subtopic_vectors(tax, known)
+    return v.select("ord", "major", "subtopic", F.round(F.get("vec", 0), 6).alias("v0"),
+                    F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 5).alias("v_sum"))
+
+
+def j2_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + A7: customers without an order yet."""
+    done = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return skip_processed(read_table(spark, sf_dir, "customer"), done, "c_custkey").select("c_custkey", "c_mktsegment")
+
+
+def u1_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and suppliers by column name, missing columns as NULL."""
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    s = read_table(spark, sf_dir, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"))
+    return union_results(c, s)
+
+
+def p14_first_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An ordered limit (the operator's feature): the 50 earliest orders."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey", "o_totalprice")
+    return first_rows(o, 50, "o_orderdate", "o_orderkey")
+
+
+def p4_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blogs per cleaned industry."""
+    b = testdata.blogs_with_demographics(spark, sf_dir)
+    return b.groupBy(tx.clean_industry("industry").alias("industry")).agg(F.count(F.lit(1)).alias("blogs"))
+
+
+def i3_row_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reason why a document yields no topic, NULL where it yields one."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = d.withColumn("tokens", terms.topic_tokens_of_clean(tx.clean_content("text")))
+    return st.with_error(d, "text", "tokens").select("doc_id", "error")
+
+
+def s11_topic_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 both ways: market segments' order counts as JSON text and back."""
+    c = read_table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    j = c.groupBy("c_nationkey").agg(F.map_from_entries(F.collect_list(F.struct("c_mktsegment", "n"))).alias("m"))
+    back = j.select("c_nationkey", F.explode(decode_json_map(encode_json("m"))).alias("segment", "customers"))
+    return back.select("c_nationkey", "segment", F.col("customers").cast("long").alias("customers"))
+
+
+def e6_topics_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly share of every order priority, its rank, and the change since its last month."""
+    from ..streaming.topic_stream import topics_over_time
+    return topics_over_time(read_table(spark, sf_dir, "orders"), "o_orderdate", "o_orderpriority")
+
+
+QUERIES.update({
+    "s3_post_pairs": s3_post_pairs,
+    "a1_dated_blogs": a1_dated_blogs,
+    "s8_taxonomy_tsv": s8_taxonomy_tsv,
+    "x1_subtopic_vectors": x1_subtopic_vectors,
+    "j2_unprocessed": j2_unprocessed,
+    "u1_union": u1_union,
+    "p14_first_orders": p14_first_orders,
+    "p4_industries": p4_industries,
+    "i3_row_errors": i3_row_errors,
+    "s11_topic_json": s11_topic_json,
+    "e6_topics_over_time": e6_topics_over_time,
+})

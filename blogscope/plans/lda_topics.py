@@ -1,56 +1,149 @@
-"""The LDA path end to end, at corpus level: English blogs -> semantic segments ->
-one online LDA over all segments -> re-ranked, scored topics -> each blog's
-mixture, thresholded and de-duplicated -> taxonomy (min similarity 0.50) ->
-segment reports on the same functions as the TF-IDF path.
+"""The topic-model path end to end, at corpus level.
 
-Results differ from per-blog fits by design (one shared topic space); tests
-check invariants (seeded, weights sum to 1, at most 3 topics per blog).
+Fit: English blogs -> semantic segments -> bigram/trigram phrases -> 1-3-gram TF-IDF weights
+-> number of topics by silhouette over segment vectors -> LDA over the weighted terms.
+Use: a topic-word table -> re-ranked, scored topics -> each blog's topics, thresholded and
+de-duplicated -> taxonomy -> segment reports on the same functions as the TF-IDF path.
+
+The two halves are separate: any (topic_id, words, weights) table can be used, and the
+registered queries of the second half take one that SQL can reproduce. Results differ from
+per-blog fits by design (one shared topic space).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.clustering import LDA
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import language, segments, taxonomy, topics
+from ..operators import phrases, segments, taxonomy, terms, topics
+from ..session import materialize
 from ..sources import testdata
 from ..sources.tables import read_table
-from .segment_topics import LDA_MIN_SIMILARITY
+from . import segment_topics as st
 
+SEGMENT_KEY = ["doc_id", "seg_id"]
 
-def english_raw_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English blogs with their raw text (sentences are split before clean-up, Q24)."""
-    from .segment_topics import keep_rows
-    b = testdata.blogs_with_demographics(spark, sf_dir)
-    return keep_rows(b, language.detect_language("content") == "en")
 
+def semantic_segments(blogs: DataFrame) -> DataFrame:
+    """W6 + W7 of the English blogs, written once."""
+    rows = blogs.select(F.col("file_id").alias("doc_id"), "sentences", "tokens")
+    return materialize(topics.segments_of(rows), "segments")
 
-def fit(spark: SparkSession, sf_dir: str, k: int = 6, max_iter: int = 20):
-    blogs = english_raw_blogs(spark, sf_dir)
-    segs = topics.semantic_segments(blogs, "file_id", "content")
-    # the model iterates over the segments: keep them (recomputed from lineage if lost)
-    segs = segs.persist()
-    cv_model, model, feats = topics.fit_lda(segs, k=k, max_iter=max_iter)
-    vecs = testdata.hashed_lookup(read_table(spark, sf_dir, "embeddings"))
-    described = topics.describe_topics(topics.rerank_topic_words(
-        topics.topic_words(spark, cv_model, model), vecs))
+
+def weighted_terms(segs: DataFrame) -> DataFrame:
+    """T4-T7 at corpus scope: (doc_id, seg_id, term, cnt, weight), phrases merged first. All
+    terms with the document-frequency bounds, up to the size of the topic matrix."""
+    phrased = materialize(phrases.detect_phrases(segs, SEGMENT_KEY, []).select(*SEGMENT_KEY, F.col("phrased").alias("tokens")),
+                          "phrased-segments")
+    return materialize(terms.segment_tfidf(phrased, SEGMENT_KEY, [], max_features=topics.CORPUS_VOCABULARY), "weighted-terms")
+
+
+def choose_topic_count(segs: DataFrame, vectors) -> int:
+    """M4 over segment vectors (the mean of a segment's word vectors)."""
+    words = segs.select(*SEGMENT_KEY, F.explode(F.array_distinct("tokens")).alias("word"))
+    hit = taxonomy.lookup_vectors(words, vectors)
+    dims = hit.select(F.size("vec").alias("n")).first()
+    if dims is None:
+        return topics.choose_k(segs.limit(0))[0]
+    means = hit.groupBy(*SEGMENT_KEY).agg(*[F.avg(F.get("vec", i)).alias(f"v{i}") for i in range(dims["n"])])
+    vecs = means.select(*SEGMENT_KEY, F.array(*[F.col(f"v{i}") for i in range(dims["n"])]).alias("v"))
+    return topics.choose_k(materialize(topics.as_vectors(vecs, "v"), "segment-vectors"), seeds=(42,))[0]
+
+
+def fit(spark: SparkSession, segs: DataFrame, vectors, max_iter: int = 20, words: int = 20, seed: int = 42):
+    """M1-M4: (topic-word table, blog topics (doc_id, topic_id), k). Every mini-batch is the
+    whole corpus, so ``max_iter`` iterations are as many passes. A blog's topics are those
+    that lead one of its segments."""
+    weighted = weighted_terms(segs)
+    indexer = StringIndexer(inputCol="term", outputCol="idx", stringOrderType="frequencyDesc").fit(weighted)
+    size = len(indexer.labels)
+    to_vector = F.udf(lambda pairs: Vectors.sparse(size, [int(p[0]) for p in pairs], [p[1] for p in pairs]), VectorUDT())
+    feats = materialize(indexer.transform(weighted).groupBy(*SEGMENT_KEY).agg(
+        F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("p"))
+        .select("doc_id", "seg_id", to_vector("p").alias("features")), "features")
+    k = choose_topic_count(segs, vectors)
+    model = LDA(k=k, maxIter=max_iter, optimizer="online", docConcentration=[0.1] * k, topicConcentration=0.01,
+                learningOffset=50.0, subsamplingRate=1.0, seed=seed, featuresCol="features").fit(feats)
+    described = model.describeTopics(words).collect()  # k rows of ``words`` terms
+    table = spark.createDataFrame([(r["topic"], [indexer.labels[i] for i in r["termIndices"]], list(r["termWeights"]))
+                                   for r in described], "topic_id int, words array<string>, weights array<double>")
     mixture = topics.blog_mixture(model, feats)
-    return described, topics.blog_topics(mixture, described, k), vecs
+    return table, mixture.select("doc_id", F.explode("leading").alias("topic_id")), k
+
+
+def describe(topic_words: DataFrame, vectors) -> DataFrame:
+    """M6-M8 + P16 of a topic-word table."""
+    return topics.describe_topics(topics.rerank_topic_words(topic_words, vectors))
+
+
+def classify(blog_topics: DataFrame, described: DataFrame, vectors, spark: SparkSession,
+             min_similarity: float = st.LDA_MIN_SIMILARITY, top_n: int = 25) -> DataFrame:
+    """The k described topics are scored against the taxonomy once, then joined to the
+    blogs that kept them; the best value per key, the ``top_n`` best keys."""
+    once = described.select(F.lit(0).cast("long").alias("doc_id"), "topic_id", "words", "weights", "coherence_scores", "topic_quality")
+    tv = taxonomy.topic_vectors(taxonomy.select_topic_words(once), vectors)
+    sv = taxonomy.subtopic_vectors(taxonomy.fallback_taxonomy(spark), vectors)
+    scored = taxonomy.score_subtopics(tv, sv, min_similarity).select(
+        "topic_id", "ord", F.concat_ws(":", "major", "subtopic").alias("classification"),
+        F.round(F.col("weighted_similarity") * 100, 2).alias("pct"))
+    best = (blog_topics.select("doc_id", "topic_id").join(scored, "topic_id").groupBy("doc_id", "classification")
+            .agg(F.max("pct").alias("pct"), F.min("ord").alias("ord")))
+    w = Window.partitionBy("doc_id").orderBy(F.col("pct").desc(), F.col("ord").asc())
+    return (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
+                .select("doc_id", "classification", "pct", "rank"))
+
+
+def fitted(spark: SparkSession, sf_dir: str):
+    """(described topics, kept blog topics, vectors) of the fitted model."""
+    segs = semantic_segments(st.english_blogs(spark, sf_dir))
+    vecs = testdata.hashed_lookup(read_table(spark, sf_dir, "embeddings"))
+    table, shares, _ = fit(spark, segs, vecs)
+    described = materialize(describe(table, vecs), "described")
+    return described, topics.blog_topics(shares, described), vecs
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described, kept, vecs = fitted(spark, sf_dir)
+    return classify(kept, described, vecs, spark)
+
+
+# --- the same use-path on topics that SQL can reproduce ---------------------------
+
+SOURCE_TOPIC_WORDS = 20
 
 
-def classified(spark: SparkSession, sf_dir: str, k: int = 6) -> DataFrame:
-    _, bt, vecs = fit(spark, sf_dir, k)
-    return taxonomy.classify_topics(bt, taxonomy.fallback_taxonomy(spark), vecs,
-                                    min_similarity=LDA_MIN_SIMILARITY)
+def source_topics(blogs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Topic-word table and blog shares without a model: a source's topic are the 20 terms
+    with the highest TF-IDF over sources (T9); a blog has every topic that holds one of its
+    terms, with the share of its tokens that it covers."""
+    counts = terms.exploded_counts(blogs, ["source", "file_id"], "tokens")
+    per_source = materialize(counts.groupBy("source", "term").agg(F.sum("cnt").alias("cnt")), "source-terms")
+    top = materialize(terms.corpus_tfidf_top(per_source, ["source"], top_n=SOURCE_TOPIC_WORDS)
+                      .withColumn("topic_id", F.substring("source", 4, 10).cast("int")), "source-topics")
+    words = top.groupBy("topic_id").agg(F.sort_array(F.collect_list(F.struct("rank", "term", "weight"))).alias("w"))
+    table = words.select("topic_id", F.transform("w", lambda x: x["term"]).alias("words"),
+                         F.transform("w", lambda x: x["weight"]).alias("weights"))
+    n = F.sum("cnt").over(Window.partitionBy("doc_id"))
+    own = counts.select(F.col("file_id").alias("doc_id"), "term", "cnt").withColumn("n", n)
+    shares = (own.join(top.select("topic_id", "term"), "term").groupBy("doc_id", "topic_id")
+              .agg((F.sum("cnt") / F.max("n")).alias("share")))
+    return table, shares
 
 
-def segment_report(spark: SparkSession, sf_dir: str, level: str = "category", k: int = 6) -> DataFrame:
-    """R6 for the LDA column: ranked category scores per segment."""
-    blogs = english_raw_blogs(spark, sf_dir)
-    maps = taxonomy.classification_map(classified(spark, sf_dir, k))
-    demo = segments.prepare_demographics(blogs.select("file_id", "gender", "age", "industry")
-                                              .withColumn("industry", F.replace("industry", F.lit("indUnknown"),
-                                                                                F.lit("unknown"))))
-    docs = demo.join(maps.withColumnRenamed("doc_id", "file_id"), "file_id", "left")
-    return segments.rank_within(segments.segment_scores(docs, segments.default_segments(), "scores", level),
-                                "average_weighted_score")
+def source_topic_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All tables of the use-path on source topics, over letter vectors (a word takes the
+    vector of its first letter, so that topics and subtopics can come close)."""
+    blogs = st.english_blogs(spark, sf_dir)
+    vecs = testdata.hashed_lookup(read_table(spark, sf_dir, "embeddings"), letters=1)
+    table, shares = source_topics(blogs)
+    reranked = materialize(topics.rerank_topic_words(table, vecs), "reranked")
+    described = materialize(topics.describe_topics(reranked), "described")
+    kept = materialize(topics.blog_topics(shares, described), "blog-topics")
+    classes = classify(kept, described, vecs, spark)
+    demo = segments.prepare_demographics(blogs.select("file_id", "gender", "age", "industry"))
+    docs = demo.join(taxonomy.classification_map(classes).withColumnRenamed("doc_id", "file_id"), "file_id", "left")
+    return {"topics": table, "shares": shares, "reranked": reranked, "described": described, "kept": kept,
+            "classes": classes, "docs": docs}

@@ -25,39 +25,30 @@ LDA_MIN_SIMILARITY = 0.50
 
 
 def prepare_blogs(blogs: DataFrame, english_only: bool = True) -> DataFrame:
-    """P2 (vote) on the raw text, P3 clean-up, P4 industry, P6 English filter.
-
-    The vote is a projected column and rows leave through ``keep_rows``: a plain
-    filter would be pushed below the repartition that spreads the text over the
-    cores, back into the scan task."""
+    """P2 (vote) on the raw text, P3 clean-up, P4 industry, P6 English filter."""
     out = language.with_language(blogs, "content")
     if english_only:
-        out = keep_rows(out, F.col("content_language") == "en")
+        out = out.where(F.col("content_language") == "en")
     return (out.withColumn("content", tx.clean_content("content"))
                .withColumn("industry", tx.clean_industry("industry")))
 
 
-def keep_rows(df: DataFrame, cond) -> DataFrame:
-    """``where(cond)`` that stays where it is written: rows leave through ``explode``
-    of a 0/1-element array, which predicate pushdown cannot move (the session
-    excludes InferFiltersFromGenerate, which would add a pushable copy)."""
-    cols = df.columns
-    keep = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
-    return df.select(*cols, F.explode(keep).alias("_k")).drop("_k")
+def english_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English blogs as later stages read them: (file_id, gender, age, industry, source,
+    tokens, sentences). The raw text is read once, voted on, cleaned and cut here, and the
+    stage is written to the shared checkpoint folder; whatever reads it prunes to the columns
+    it needs, and a lost executor re-reads files instead of repeating text work."""
+    blogs = language.with_language(testdata.blogs_with_demographics(spark, sf_dir), "content")
+    english = F.col("content_language") == "en"
+    return materialize_stage(blogs.where(english).select(
+        "file_id", "gender", "age", tx.clean_industry("industry").alias("industry"), "source",
+        terms.topic_tokens_of_clean(tx.clean_content("content")).alias("tokens"),
+        terms.sentences("content").alias("sentences")), "english-blogs")
 
 
-def english_tokens(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
-    """English blogs reduced to what later stages read: (file_id, gender, age,
-    industry, tokens). With ``materialize`` the stage is written once (parquet) to the
-    shared checkpoint folder (``spark.checkpoint.dir``) and lineage is cut, so
-    the language vote and tokenisation run once even when two branches read it,
-    and a lost executor re-reads files instead of recomputing text work."""
-    blogs = prepare_blogs(testdata.blogs_with_demographics(spark, sf_dir))
-    toks = blogs.select("file_id", "gender", "age", "industry",
-                        terms.topic_tokens_of_clean("content").alias("tokens"))
-    if materialize:
-        toks = materialize_stage(toks, "english-tokens")
-    return toks
+def english_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_id, gender, age, industry, tokens) of the English blogs."""
+    return english_blogs(spark, sf_dir).select("file_id", "gender", "age", "industry", "tokens")
 
 
 def tfidf_topics_from_tokens(toks: DataFrame, top_n: int = 5, max_features: int = 1000) -> DataFrame:
@@ -73,12 +64,6 @@ def tfidf_topics_from_tokens(toks: DataFrame, top_n: int = 5, max_features: int
                     F.col("t.topic_quality").alias("topic_quality"))
 
 
-def tfidf_topics(blogs: DataFrame, top_n: int = 5, max_features: int = 1000) -> DataFrame:
-    """T2 + T8 per prepared blog."""
-    toks = blogs.select("file_id", terms.topic_tokens_of_clean("content").alias("tokens"))
-    return tfidf_topics_from_tokens(toks, top_n, max_features)
-
-
 def classify_tokens(spark: SparkSession, sf_dir: str, toks: DataFrame,
                     min_similarity: float = TFIDF_MIN_SIMILARITY, top_n: int = 25) -> DataFrame:
     """X4 per blog: (doc_id, classification, pct, rank)."""
@@ -96,7 +81,7 @@ def classified(spark: SparkSession, sf_dir: str, min_similarity: float = TFIDF_M
 def blogs_with_scores(spark: SparkSession, sf_dir: str,
                       min_similarity: float = TFIDF_MIN_SIMILARITY) -> DataFrame:
     """English blogs with demographics and their classification map (NULL if none)."""
-    toks = english_tokens(spark, sf_dir, materialize=True)
+    toks = english_tokens(spark, sf_dir)
     maps = taxonomy.classification_map(classify_tokens(spark, sf_dir, toks, min_similarity))
     demo = segments.prepare_demographics(toks.select("file_id", "gender", "age", "industry"))
     return demo.join(maps.withColumnRenamed("doc_id", "file_id"), "file_id", "left")

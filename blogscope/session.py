@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -17,24 +17,22 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # explode() otherwise gets an inferred size(...) > 0 filter that is pushed below
-    # the projection, evaluating the generator's (array-heavy) input twice
-    "spark.sql.optimizer.excludedRules":
-        "org.apache.spark.sql.catalyst.optimizer.InferFiltersFromGenerate",
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                 app_name: str = "blogscope", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
-    On a cluster ``master`` comes from spark-submit; pass ``master=None`` to keep it.
+    On a cluster ``master`` comes from spark-submit; pass ``master=None`` to keep it. The
+    number of shuffle partitions is the cluster's too unless it is given.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -48,39 +46,43 @@ def apply_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    rule = DEFAULT_CONF["spark.sql.optimizer.excludedRules"]
-    current = spark.conf.get("spark.sql.optimizer.excludedRules", "") or ""
-    if rule not in current.split(","):
-        spark.conf.set("spark.sql.optimizer.excludedRules", ",".join(x for x in [current, rule] if x))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is unset (local tests) a private folder is created and
-    registered, so lineage can still be cut with ``DataFrame.checkpoint()``.
+    Where it is unset, a session on one machine gets a private folder (tests); on a cluster
+    that folder would be a different one on every executor, so it is an error there.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="blogscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+_STAGES: list[str] = []
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it
     back: the work runs once (``checkpoint(eager=True)`` on an unpersisted plan
     computes it twice: once to count, once to write), lineage is cut, and a lost
-    executor re-reads files instead of recomputing."""
-    import uuid
+    executor re-reads files instead of recomputing. ``drop_stages`` deletes them."""
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    _STAGES.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stages written so far (at the end of a job); returns how many."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _STAGES:
+        p = jvm.org.apache.hadoop.fs.Path(_STAGES.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n

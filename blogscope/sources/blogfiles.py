@@ -77,12 +77,6 @@ def posts_from_text(df: DataFrame, id_col: str, text_col: str,
               .select("file_id", "pos", F.col("_x.d").alias("date_text"), F.col("_x.p").alias("content")))
 
 
-def month_table(spark: SparkSession) -> DataFrame:
-    """P1 dimension: (name, month) for every language's month names (lower case)."""
-    rows = sorted({(name, i + 1) for names in lx.MONTH_NAMES.values() for i, name in enumerate(names)})
-    return spark.createDataFrame(rows, "name STRING, month INT")
-
-
 def month_number(name_col) -> Column:
     """Month name (any listed language, any case) -> 1..12, NULL if unknown.
     The dimension is a fixed 48-entry list, so it is inlined as a literal map."""

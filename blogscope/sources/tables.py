@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 from typing import Callable
 
@@ -12,34 +13,22 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-# tables whose rows carry whole texts: per-row work dominates, so they must be spread
+# tables whose rows carry whole texts, and the setting that deals them out
 TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+DEAL_SETTING = "spark.blogscope.textTasks"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a scale-factor folder (column pruning and filter
-    pushdown are left to the scan). Text tables are spread over the cluster."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if name in TEXT_TABLES else df
-
+    pushdown are left to the scan).
 
-def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Give row-heavy work at least ``factor`` tasks per core.
-
-    A scan yields one task per file split and a split never cuts a parquet row
-    group, so a small table (or one large row group) can leave every core but
-    one idle during expensive per-row expressions. Only then the rows are dealt
-    round-robin (deterministic across retries: Spark sorts before it deals).
-    On a large input the scan already has more splits than cores: nothing happens.
+    A split never cuts a parquet row group. For text tables laid out as one large row
+    group (the bench's), the session may name a number of tasks in ``DEAL_SETTING`` to deal
+    the rows to; unset, as on a cluster whose files have many row groups, nothing moves.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave the scan as it is
-        return df
-    if parts >= cores:
-        return df
-    return df.repartition(cores * factor)
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    tasks = spark.conf.get(DEAL_SETTING, None)
+    return df.repartition(int(tasks)) if tasks and name in TEXT_TABLES else df
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
@@ -64,11 +53,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_report(df: DataFrame, path: str, sort_cols: list[str] | None = None) -> None:
-    """R1-R4 sinks: parquet plus a CSV twin (``path`` without extension + .csv)."""
-    out = df.orderBy(*sort_cols) if sort_cols else df
-    write_parquet(out, path)
+    """R1-R4 sinks: parquet plus a CSV twin (``path`` without extension + .csv), the CSV
+    from the parquet just written."""
+    write_parquet(df.orderBy(*sort_cols) if sort_cols else df, path)
     base, _ = os.path.splitext(path)
-    write_csv(out, base + ".csv")
+    write_csv(df.sparkSession.read.parquet(path), base + ".csv")
 
 
 def stage_exists(spark: SparkSession, path: str) -> bool:
@@ -80,11 +69,15 @@ def stage_exists(spark: SparkSession, path: str) -> bool:
 
 
 def cached_stage(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-                 partition_by: list[str] | None = None) -> DataFrame:
+                 partition_by: list[str] | None = None, key: tuple = ()) -> DataFrame:
     """Read the stage output when it is complete, else compute, write and read it.
 
-    Reading back the written table also cuts the lineage for later stages.
+    Reading back the written table also cuts the lineage for later stages. ``key`` holds
+    what the output depends on (input folder, parameters); its digest is part of the path,
+    so that another input or parameter never meets an old output.
     """
+    if key:
+        path = f"{path}-{hashlib.md5(repr(key).encode()).hexdigest()[:12]}"
     if not stage_exists(spark, path):
         write_parquet(build(), path, partition_by=partition_by)
     return spark.read.parquet(path)

@@ -49,25 +49,15 @@ def word_index(word: Column, n_vectors: Column) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long"), n_vectors)
 
 
-def hashed_word_vectors(words: DataFrame, embeddings: DataFrame, word_col: str = "word") -> DataFrame:
-    """(word, vec) for the given distinct words, drawn from ``embeddings``.
-
-    ``n`` is a scalar subquery (one tiny aggregate), the lookup an equi-join on
-    ``vec_id``; the vector table is a bounded dimension next to the words.
-    """
-    n = embeddings.select(F.count(F.lit(1))).scalar()
-    keyed = words.select(F.col(word_col).alias("word")).distinct().withColumn("vec_id", word_index(F.col("word"), n))
-    return keyed.join(embeddings.select("vec_id", F.col("embedding").alias("vec")), "vec_id").select("word", "vec")
-
-
-def hashed_lookup(embeddings: DataFrame):
-    """S10/J3 as a lookup function: rows get the vector of ``pmod(md5 prefix, n)``.
+def hashed_lookup(embeddings: DataFrame, letters: int | None = None):
+    """S10/J3 as a lookup function: rows get the vector of ``pmod(md5 prefix, n)``, of the
+    word or of its first ``letters``.
     The embedding table is a dimension (thousands of rows); AQE broadcasts it."""
     n = embeddings.select(F.count(F.lit(1))).scalar()
     dim = embeddings.select("vec_id", F.col("embedding").alias("vec"))
 
     def lookup(df: DataFrame, word_col: str = "word") -> DataFrame:
-        keyed = df.withColumn("_vec_id", word_index(F.col(word_col), n))
+        keyed = df.withColumn("_vec_id", word_index(F.substring(word_col, 1, letters) if letters else F.col(word_col), n))
         return keyed.join(dim.withColumnRenamed("vec_id", "_vec_id"), "_vec_id").drop("_vec_id")
     return lookup
 

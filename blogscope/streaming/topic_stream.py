@@ -12,7 +12,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import terms
@@ -33,6 +33,18 @@ def event_windows(events: DataFrame, window: str = "1 hour", watermark: str | No
                     key, "events", "value")
 
 
+def topics_over_time(rows: DataFrame, ts: str, topic: str) -> DataFrame:
+    """Per month and topic the rows, their share of the month, the topic's rank in it
+    (ties by name) and the change of its share since the month before it appeared in."""
+    month = F.date_format(F.date_trunc("month", F.col(ts).cast("timestamp")), "yyyy-MM")
+    n = rows.groupBy(month.alias("month"), F.col(topic).alias("topic")).agg(F.count(F.lit(1)).alias("n"))
+    n = n.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("month")))
+    rank = F.row_number().over(Window.partitionBy("month").orderBy(F.col("n").desc(), "topic"))
+    change = F.col("share") - F.lag("share").over(Window.partitionBy("topic").orderBy("month"))
+    return n.select("month", "topic", "n", F.round("share", 6).alias("share"), rank.cast("long").alias("rank"),
+                    F.round(change, 6).alias("change"))
+
+
 def start_event_windows(spark: SparkSession, source_dir: str, schema, sink_dir: str, checkpoint: str,
                         window: str = "1 hour", watermark: str = "10 minutes", available_now: bool = True):
     """E5 as a stream: parquet files arriving in ``source_dir`` -> windowed counts

@@ -143,10 +143,10 @@ classified AS MATERIALIZED (SELECT doc_id, classification, pct,
 
 
 SEGMENTS = [
-    ("Male", "gender = 'male'"), ("Female", "gender = 'female'"),
-    ("Age <=20", "age_group = '<=20'"), ("Age >20", "age_group = '>20'"),
-    ("Students", "is_student = true"), ("Non-Students", "is_student = false"),
-    ("Everyone", "true"),
+    (lx.SEGMENT_MALE, "gender = 'male'"), (lx.SEGMENT_FEMALE, "gender = 'female'"),
+    (lx.SEGMENT_AGE_LE20, f"age_group = '{lx.AGE_LE20}'"), (lx.SEGMENT_AGE_GT20, f"age_group = '{lx.AGE_GT20}'"),
+    (lx.SEGMENT_STUDENTS, "is_student = true"), (lx.SEGMENT_NON_STUDENTS, "is_student = false"),
+    (lx.SEGMENT_EVERYONE, "true"),
 ]
 
 
@@ -195,8 +195,8 @@ FROM spec"""
 
 
 def summary_sql(level: str) -> str:
-    none, second = (("No categories found", "No second category") if level == "category"
-                    else ("No topics found", "No second topic"))
+    none, second = ((lx.NO_CATEGORIES, lx.NO_SECOND_CATEGORY) if level == "category"
+                    else (lx.NO_TOPICS, lx.NO_SECOND_TOPIC))
     return _with(blogs_cte(), tfidf_cte(), classification_cte(), segments_cte(), scores_cte(level)) + f""",
 ranked AS (SELECT *, row_number() OVER (PARTITION BY demographic
                   ORDER BY round(average_weighted_score, 6) DESC, classification) AS rank FROM scores),
@@ -395,8 +395,7 @@ ss AS (SELECT doc_id, list_filter(list_transform(string_split({marked}, chr(1)),
 sent AS (SELECT doc_id, CAST(generate_subscripts(ss, 1) - 1 AS BIGINT) AS sent_id, unnest(ss) AS s FROM ss),
 tk AS MATERIALIZED (SELECT doc_id, sent_id, list_filter(string_split({clean_content('s')}, ' '), lambda t: t <> '') AS toks
        FROM sent),""" + _phrase_pass("tk", "a_", 2, 8.0) + "," + _phrase_pass("a_new", "b_", 1, 10.0) + """
-SELECT doc_id, sent_id, array_to_string(toks, ' ') AS phrased FROM b_new
-WHERE len(list_filter(toks, lambda t: contains(t, '_'))) > 0"""
+SELECT doc_id, sent_id, array_to_string(toks, ' ') AS phrased FROM b_new"""
 
 
 
@@ -440,9 +439,28 @@ k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY t
       WHERE r <= 1000),
 w AS (SELECT c.doc_id, c.seg_id, c.term, (1.0 + ln(c.cnt)) * (ln((1.0 + k.n) / (1.0 + k.df)) + 1.0) AS raw
       FROM c JOIN k USING (doc_id, term)),
-nw AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id, seg_id)) AS weight FROM w),
-rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id, seg_id ORDER BY weight DESC, term) AS rank FROM nw)
-SELECT doc_id, seg_id, rank, term, round(weight, 6) AS weight FROM rk WHERE rank <= 3"""
+nw AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id, seg_id)) AS weight FROM w)
+{MATRIX_DIGEST}"""
+
+
+MATRIX_DIGEST = """SELECT doc_id, seg_id, count(*) AS n_terms, round(sum(weight), 5) AS weight_sum,
+  md5(string_agg(term, ',' ORDER BY term)) AS terms_md5 FROM nw GROUP BY 1, 2"""
+
+
+def corpus_segment_tfidf_sql() -> str:
+    grams = " || ".join(
+        f"[array_to_string(toks[i + 1:i + {n}], ' ') FOR i IN range(0, len(toks) - {n} + 1)]" for n in (1, 2, 3))
+    return f"""
+WITH sg AS MATERIALIZED ({semantic_segments_sql()}),
+segs AS (SELECT doc_id, seg_id, list_filter(string_split(tokens_text, ' '), lambda t: t <> '') AS toks FROM sg),
+g AS (SELECT doc_id, seg_id, unnest({grams}) AS term FROM segs),
+c AS (SELECT doc_id, seg_id, term, count(*) AS cnt FROM g GROUP BY 1, 2, 3),
+ns AS (SELECT count(*) AS n FROM segs),
+k AS (SELECT term, count(*) AS df, any_value(ns.n) AS n FROM c CROSS JOIN ns GROUP BY 1 HAVING df >= 2 AND df <= 0.85 * any_value(ns.n)),
+w AS (SELECT c.doc_id, c.seg_id, c.term, (1.0 + ln(c.cnt)) * (ln((1.0 + k.n) / (1.0 + k.df)) + 1.0) AS raw
+      FROM c JOIN k USING (term)),
+nw AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id, seg_id)) AS weight FROM w)
+{MATRIX_DIGEST}"""
 
 
 def top_term_sentences_sql() -> str:
@@ -452,13 +470,11 @@ top AS (SELECT demographic, term FROM (
 pair AS (SELECT demographic, list(term) AS pair FROM top GROUP BY 1),
 raw AS (SELECT doc_id AS file_id, {_sentence_list('text')} AS ss FROM documents
         WHERE doc_id IN (SELECT file_id FROM blogs)),
-sents AS (SELECT file_id, unnest(ss) AS s FROM raw),
-st AS (SELECT file_id, {topic_tokens(clean_content('s'))} AS toks FROM sents)
-SELECT p.demographic, count(*) AS sentences, count(DISTINCT st.file_id) AS blogs
+sents AS (SELECT file_id, unnest(ss) AS s, CAST(generate_subscripts(ss, 1) - 1 AS BIGINT) AS sent_id FROM raw),
+st AS (SELECT file_id, sent_id, s, {topic_tokens(clean_content('s'))} AS toks FROM sents)
+SELECT p.demographic, st.file_id, st.sent_id, st.s AS text
 FROM st JOIN seg ON seg.file_id = st.file_id JOIN pair p ON p.demographic = seg.demographic
-WHERE len(list_intersect(st.toks, p.pair)) = len(p.pair)
-GROUP BY 1"""
-
+WHERE len(list_intersect(st.toks, p.pair)) = len(p.pair)"""
 
 
 def method_agreement_sql() -> str:
@@ -492,3 +508,176 @@ SELECT wl.doc_id,
              + 0.3 * CASE WHEN e.n > 1 AND e.total > 0 THEN 1 - e.h / ln(e.n) ELSE 0.0 END
              + 0.2 * least(1.0, coalesce(st.s, 0) / 4.0), 6) AS topic_quality
 FROM wl JOIN ent e USING (doc_id) LEFT JOIN stems st USING (doc_id)"""
+
+
+# --- the model path's use half on source topics ------------------------------------
+
+
+def _source_topics_cte() -> str:
+    vec = "('0x' || substr(md5(substr({w}, 1, 1)), 1, 8))::BIGINT % nvec.n"
+    return _english_tokens_cte() + f""",
+nvec AS (SELECT count(*) AS n FROM embeddings),
+stc AS MATERIALIZED (SELECT d.source, c.term, sum(c.cnt) AS cnt FROM ecnt c JOIN documents d USING (doc_id) GROUP BY 1, 2),
+sdf AS (SELECT term, count(*) AS df FROM stc GROUP BY term),
+sn AS (SELECT count(DISTINCT source) AS n FROM stc),
+sraw AS (SELECT s.source, s.term, s.cnt * (ln((1.0 + sn.n) / (1.0 + sdf.df)) + 1.0) AS raw
+         FROM stc s JOIN sdf USING (term) CROSS JOIN sn),
+snw AS (SELECT source, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY source)) AS weight FROM sraw),
+stop AS MATERIALIZED (SELECT CAST(substr(source, 4, 10) AS INTEGER) AS topic_id, term, weight,
+         row_number() OVER (PARTITION BY source ORDER BY weight DESC, term DESC) AS rank FROM snw QUALIFY rank <= 20),
+bn AS (SELECT doc_id, sum(cnt) AS n FROM ecnt GROUP BY 1),
+shares AS MATERIALIZED (SELECT c.doc_id, t.topic_id, sum(c.cnt) / max(bn.n) AS share
+         FROM ecnt c JOIN stop t USING (term) JOIN bn USING (doc_id) GROUP BY 1, 2),
+tv6 AS (SELECT t.topic_id, t.rank - 1 AS pos, t.term, t.weight, CAST(e.embedding AS DOUBLE[]) AS v
+        FROM stop t CROSS JOIN nvec JOIN embeddings e ON e.vec_id = {vec.format(w='t.term')}),
+cen_l AS (SELECT topic_id, i, avg(x) AS x FROM (
+          SELECT topic_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM tv6 WHERE pos < 8) GROUP BY 1, 2),
+cen AS (SELECT topic_id, list(x ORDER BY i) AS c FROM cen_l GROUP BY 1),
+sim AS (SELECT t.topic_id, t.pos, t.term, t.weight,
+               list_dot_product(v, c) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(c, c))) AS sim
+        FROM tv6 t JOIN cen USING (topic_id)),
+kept6 AS (SELECT * FROM sim WHERE (sim > 0.25 AND pos < 15) OR sim > 0.35),
+nk AS (SELECT topic_id, count(*) AS nk FROM kept6 GROUP BY 1),
+rr AS (SELECT k.topic_id, k.pos, k.term, k.weight, k.sim AS coh FROM kept6 k JOIN nk USING (topic_id) WHERE nk >= 5
+       UNION ALL
+       SELECT s.topic_id, s.rank - 1, s.term, s.weight, 0.5 FROM stop s LEFT JOIN nk USING (topic_id)
+       WHERE coalesce(nk, 0) < 5 AND s.rank <= 8),
+rl AS MATERIALIZED (SELECT topic_id, list(term ORDER BY pos) AS words, list(weight ORDER BY pos) AS ws,
+                           list(coh ORDER BY pos) AS cs, list(coh ORDER BY coh DESC) AS best FROM rr GROUP BY 1),
+dq AS (SELECT topic_id, words, ws, cs, list_avg(cs) AS semantic_coherence,
+         least(1.0, CASE WHEN len(cs) >= 3 THEN 0.5 * best[1] + 0.3 * best[2] + 0.2 * best[3] ELSE list_avg(cs) END) AS coh_part,
+         list_transform(ws[1:8], lambda x: x / list_sum(ws[1:8])) AS p8,
+         len(list_distinct(list_transform(list_filter(words[1:6], lambda w: length(w) > 3), lambda w: substr(w, 1, 4)))) AS stems,
+         list_filter(words[1:4], lambda w: length(w) > 3) AS named FROM rl),
+described AS MATERIALIZED (SELECT topic_id, words[1:10] AS words, ws[1:10] AS ws, cs[1:10] AS cs, semantic_coherence,
+         array_to_string(CASE WHEN len(named) > 0 THEN named[1:2] ELSE words[1:2] END, '_') AS label,
+         0.5 * coh_part
+         + 0.3 * CASE WHEN len(p8) > 1 THEN 1 + list_sum(list_transform(p8, lambda x: x * ln(x + 1e-10))) / ln(len(p8)) ELSE 0.0 END
+         + 0.2 * least(1.0, stems / 4.0) AS q FROM dq),
+dups AS (SELECT coalesce(list(a.topic_id * 100000 + b.topic_id), []) AS d FROM described a, described b
+         WHERE len(list_intersect(a.words[1:5], b.words[1:5])) / least(len(a.words[1:5]), len(b.words[1:5])) > 0.6),
+cand AS (SELECT s.doc_id, s.topic_id, d.q, max(d.q) OVER (PARTITION BY s.doc_id) AS mx, avg(d.q) OVER (PARTITION BY s.doc_id) AS mean
+         FROM (SELECT DISTINCT doc_id, topic_id FROM shares) s JOIN described d USING (topic_id)),
+above AS (SELECT doc_id, list([topic_id] ORDER BY q DESC, topic_id) AS ids FROM cand
+          WHERE q >= greatest(CASE WHEN mx > 0.3 THEN 0.7 * mx ELSE greatest(0.8 * mx, mean) END, 0.01) GROUP BY 1),
+kept AS MATERIALIZED (SELECT doc_id, unnest(list_reduce(ids, lambda acc, x: CASE
+            WHEN len(list_filter(acc, lambda a: list_contains(d, a * 100000 + x[1]))) > 0 THEN acc ELSE list_concat(acc, x) END)[1:3]) AS topic_id
+         FROM above CROSS JOIN dups),
+dw AS (SELECT topic_id, q, unnest(words) AS word, unnest(ws) AS weight, unnest(cs) AS coh, generate_subscripts(words, 1) AS pos FROM described),
+dthr AS (SELECT topic_id, CASE WHEN count(*) > 3 THEN quantile_cont(weight, 0.6) ELSE min(weight) END AS t FROM dw GROUP BY 1),
+dpass AS (SELECT dw.topic_id, count(*) FILTER (WHERE weight >= t) AS n FROM dw JOIN dthr USING (topic_id) GROUP BY 1),
+dord AS (SELECT *, row_number() OVER (PARTITION BY topic_id ORDER BY weight DESC, pos) AS r FROM dw),
+dsel AS (SELECT o.* FROM dord o JOIN dthr USING (topic_id) JOIN dpass USING (topic_id)
+         WHERE (dpass.n >= 3 AND o.weight >= dthr.t) OR (dpass.n < 3 AND o.r <= 3)),
+dv AS (SELECT s.topic_id, s.q, s.weight * (s.coh + 0.2) AS cw, CAST(e.embedding AS DOUBLE[]) AS v
+       FROM dsel s CROSS JOIN nvec JOIN embeddings e ON e.vec_id = {vec.format(w='s.word')}),
+dvl AS (SELECT topic_id, q, cw, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM dv),
+dvs AS (SELECT topic_id, any_value(q) AS q, i, sum(cw * x) / sum(cw) AS x FROM dvl GROUP BY topic_id, i),
+dvec AS (SELECT topic_id, any_value(q) AS q, list(x ORDER BY i) AS vec FROM dvs GROUP BY 1),
+tax AS (SELECT * FROM ({taxonomy_values()}) t(ord, major, subtopic)),
+sv AS (SELECT t.ord, t.major, t.subtopic, CAST(e.embedding AS DOUBLE[]) AS vec
+       FROM tax t CROSS JOIN nvec JOIN embeddings e ON e.vec_id = {vec.format(w='t.subtopic')}),
+tkey AS (SELECT dvec.topic_id, sv.ord, sv.major || ':' || sv.subtopic AS classification,
+                list_dot_product(dvec.vec, sv.vec) / (sqrt(list_dot_product(dvec.vec, dvec.vec))
+                  * sqrt(list_dot_product(sv.vec, sv.vec))) * (0.5 + 0.5 * dvec.q) AS ws FROM dvec CROSS JOIN sv),
+xbest AS (SELECT kept.doc_id, classification, max(round(ws * 100, 2)) AS pct, min(ord) AS ord
+          FROM kept JOIN tkey USING (topic_id) WHERE ws >= 0.5 GROUP BY 1, 2),
+classified AS MATERIALIZED (SELECT doc_id, classification, pct,
+          row_number() OVER (PARTITION BY doc_id ORDER BY pct DESC, ord ASC) AS rank FROM xbest QUALIFY rank <= 25)"""
+
+
+def source_topics_sql(select: str) -> str:
+    return _with(blogs_cte(), _source_topics_cte()) + "\n" + select
+
+
+SOURCE_TOPIC_SELECTS = {
+    "m3_topic_shares": "SELECT doc_id, topic_id, round(share, 6) AS share FROM shares",
+    "m6_reranked_words": """SELECT topic_id, array_to_string(words, ' ') AS words_text,
+       array_to_string(list_transform(cs, lambda x: printf('%.4f', round(x, 4))), ' ') AS coherence_text FROM rl""",
+    "m8_described_topics": """SELECT topic_id, label, array_to_string(words, ' ') AS words_text,
+       round(q, 6) AS topic_quality, round(semantic_coherence, 6) AS semantic_coherence FROM described""",
+    "w11_kept_topics": "SELECT doc_id, topic_id FROM kept",
+    "a12_blog_summary": """SELECT doc_id, count(*) AS num_topics, round(avg(q), 6) AS average_topic_quality,
+       array_to_string(list_sort(list_distinct(list_filter(flatten(list(words)), lambda w: length(w) > 2))), ' ') AS words_text,
+       array_to_string(list_sort(list_distinct(list_filter(flatten(list(string_split(label, '_'))), lambda p: length(p) > 2))), ' ') AS labels_text
+       FROM kept JOIN described USING (topic_id) GROUP BY doc_id""",
+    "x3_source_taxonomy": "SELECT doc_id, classification, pct, CAST(rank AS BIGINT) AS rank FROM classified",
+}
+
+
+def source_report_sql(level: str, kind: str) -> str:
+    """The reports on the classification of the source topics."""
+    usual = report_sql(level, kind)
+    head = _with(blogs_cte(), tfidf_cte(), classification_cte(), segments_cte(), scores_cte(level))
+    assert usual.startswith(head)
+    return _with(blogs_cte(), _source_topics_cte(), segments_cte(), scores_cte(level)) + usual[len(head):]
+
+
+# --- raw files, taxonomy files and the small operators -----------------------------
+
+
+def post_pairs_sql() -> str:
+    months = ", ".join(f"'{m}'" for m in lx.MONTH_NAMES["en"])
+    return f"""
+SELECT conv_id AS file_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
+  CASE WHEN turn % 7 = 6 THEN 'no date'
+       ELSE concat_ws(',', conv_id % 28 + 1, ([{months}])[turn % 12 + 1], '2004') END AS date_text,
+  trim({_replace_chain("regexp_replace(text || ' & more', '<[^>]*>', '', 'g')", lx.XML_ENTITY_REPLACEMENTS)}, {TRIM_WS}) AS content,
+  CASE WHEN turn % 7 = 6 THEN NULL ELSE make_timestamp(2004, turn % 12 + 1, conv_id % 28 + 1, 0, 0, 0.0) END AS date
+FROM conversations"""
+
+
+def dated_blogs_sql() -> str:
+    return f"""
+WITH p AS ({post_pairs_sql()}),
+b AS (SELECT file_id, md5(string_agg(content, chr(10) || chr(10) ORDER BY date NULLS FIRST, pos)) AS content_md5,
+        count(*) AS post_count, CAST(sum(length(content)) AS BIGINT) AS total_content_length,
+        min(date) AS earliest_post_date, max(date) AS latest_post_date FROM p GROUP BY 1)
+SELECT b.*, c.c_mktsegment AS industry FROM b LEFT JOIN customer c ON c.c_custkey = b.file_id"""
+
+
+def taxonomy_tsv_sql() -> str:
+    return """
+SELECT CAST(n_nationkey AS INTEGER) AS ord, replace(replace(lower(r_name), ' ', '_'), '&', 'and') AS major,
+       replace(replace(lower(n_name || ' & Co'), ' ', '_'), '&', 'and') AS subtopic
+FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey >= 2 AND n_nationkey % 11 <> 10"""
+
+
+def subtopic_vectors_sql() -> str:
+    return """
+WITH t AS (SELECT CAST(p_partkey AS INTEGER) AS ord, p_brand AS major, p_type AS subtopic FROM part),
+last AS (SELECT subtopic, major, min(ord) OVER (PARTITION BY subtopic) AS first_ord,
+                row_number() OVER (PARTITION BY subtopic ORDER BY ord DESC) AS r FROM t),
+d AS (SELECT first_ord AS ord, major, subtopic FROM last WHERE r = 1),
+n AS (SELECT count(*) AS n FROM embeddings),
+w AS (SELECT ord, major, subtopic, unnest(string_split(lower(subtopic), ' ')) AS word FROM d),
+v AS (SELECT w.*, CAST(e.embedding AS DOUBLE[]) AS v FROM w CROSS JOIN n
+      JOIN embeddings e ON e.vec_id = ('0x' || substr(md5(word), 1, 8))::BIGINT % n.n WHERE length(word) > 4),
+l AS (SELECT ord, major, subtopic, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM v),
+m AS (SELECT ord, major, subtopic, i, avg(x) AS x FROM l GROUP BY 1, 2, 3, 4)
+SELECT ord, major, subtopic, round(max(x) FILTER (WHERE i = 1), 6) AS v0, round(sum(x), 5) AS v_sum FROM m GROUP BY 1, 2, 3"""
+
+
+def row_errors_sql() -> str:
+    return f"""
+SELECT doc_id, CASE WHEN text IS NULL OR length(trim(text, {TRIM_WS})) = 0 THEN 'empty content'
+  WHEN len({topic_tokens(clean_content('text'))}) = 0 THEN 'no terms' END AS error FROM documents"""
+
+
+def industries_sql() -> str:
+    return _with(blogs_cte()) + """
+SELECT replace(industry, 'indUnknown', 'unknown') AS industry, count(*) AS blogs FROM blogs_raw GROUP BY 1"""
+
+
+SMALL_SQL = {
+    "j2_unprocessed": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "u1_union": """SELECT c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance FROM customer
+UNION ALL SELECT s_name, NULL, s_acctbal FROM supplier""",
+    "p14_first_orders": "SELECT o_orderdate, o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 50",
+    "s11_topic_json": """SELECT c_nationkey, c_mktsegment AS segment, count(*) AS customers FROM customer GROUP BY 1, 2""",
+    "e6_topics_over_time": """
+WITH n AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority AS topic, count(*) AS n FROM orders GROUP BY 1, 2),
+s AS (SELECT *, n / sum(n) OVER (PARTITION BY month) AS share FROM n)
+SELECT month, topic, n, round(share, 6) AS share, row_number() OVER (PARTITION BY month ORDER BY n DESC, topic) AS rank,
+  round(share - lag(share) OVER (PARTITION BY topic ORDER BY month), 6) AS change FROM s""",
+}

@@ -1,5 +1,6 @@
 """Sources, sinks, stage reuse, TSV taxonomy, phrase merge, small helpers."""
 
+import glob
 import os
 
 import pytest
@@ -82,18 +83,42 @@ def test_batch_job_writes_and_reuses_stages(spark, tmp):
                             "tfidf_subcategory_scores", "tfidf_subcategory_specificity"}
     r = spark.read.parquet(written["tfidf_category_specificity"])
     assert r.count() > 0 and "Everyone" not in [x.demographic for x in r.select("demographic").distinct().collect()]
-    before = os.path.getmtime(os.path.join(out, "blogs_en", "_SUCCESS"))
+    before = [os.path.getmtime(p) for p in glob.glob(os.path.join(out, "blogs_en-*", "_SUCCESS"))]
     batch_job.run(spark, "/root/testdata/sf0.001", out, methods=("tfidf",))
-    assert os.path.getmtime(os.path.join(out, "blogs_en", "_SUCCESS")) == before
+    assert [os.path.getmtime(p) for p in glob.glob(os.path.join(out, "blogs_en-*", "_SUCCESS"))] == before
 
 
-def test_spread_keeps_rows_and_is_a_noop_when_parallel(spark):
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = tables.spread(one)
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism * 2
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))
-    many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert tables.spread(many) is many
+def test_text_tables_are_dealt_out_only_on_request(spark):
+    plain = tables.read_table(spark, "/root/testdata/sf0.001", "documents")
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(tables.DEAL_SETTING, "6")
+    try:
+        dealt = tables.read_table(spark, "/root/testdata/sf0.001", "documents")
+        assert dealt.rdd.getNumPartitions() == 6 and dealt.count() == plain.count()
+    finally:
+        spark.conf.unset(tables.DEAL_SETTING)
+
+
+def test_cached_stage_depends_on_its_key(spark, tmp):
+    got = [tables.cached_stage(spark, tmp + "/s", lambda n=n: spark.range(n), key=("in", n)).count() for n in (3, 5, 3)]
+    assert got == [3, 5, 3]
+
+
+def test_stages_are_dropped(spark):
+    from blogscope.session import drop_stages, materialize
+    drop_stages(spark)
+    m = materialize(spark.range(5), "gone")
+    path = m.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and drop_stages(spark) == 1 and not os.path.exists(path)
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from blogscope.session import checkpoint_dir
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=context))
 
 
 def test_materialize_reads_back_same_rows(spark):
