@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-# Rows of an Arrow batch handed to Python; long texts make batches large, so it is
-# kept well under Spark's default of 10,000.
+# Rows and bytes of an Arrow batch handed to Python, well under Spark's defaults: rows
+# here are whole texts or blobs of postings.
 BATCH_ROWS = 2048
+BATCH_BYTES = 8 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches that whole texts travel in (rows per batch)."""
+    """Bound the Arrow batches that whole texts travel in."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
