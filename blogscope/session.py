@@ -67,14 +67,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _STAGES: list[str] = []
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, compression: str = "snappy"):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it
     back: the work runs once (``checkpoint(eager=True)`` on an unpersisted plan
     computes it twice: once to count, once to write), lineage is cut, and a lost
     executor re-reads files instead of recomputing. ``drop_stages`` deletes them."""
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     _STAGES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
