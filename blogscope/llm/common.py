@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialize
 
 # Rows and bytes of an Arrow batch handed to Python, well under Spark's defaults: rows
 # here are whole texts or blobs of postings.
@@ -31,10 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back:
-    cuts lineage, and a lost executor costs a re-read instead of a recomputation."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    cuts lineage, and a lost executor costs a re-read instead of a recomputation.
+    ``session.drop_stages`` deletes such tables at the end of a job."""
+    return materialize(df, name, "zstd")
 
 
 def texts(docs: DataFrame, *more) -> DataFrame:
