@@ -78,15 +78,22 @@ def subtopic_vectors(taxonomy: DataFrame, vectors: DataFrame) -> DataFrame:
     return mean_vectors(lookup_vectors(words, vectors), ["ord", "major", "subtopic"], "vec")
 
 
-def lookup_vectors(df: DataFrame, vectors, word_col: str = "word") -> DataFrame:
+def lookup_vectors(df: DataFrame, vectors, word_col: str = "word", original_col: str | None = None) -> DataFrame:
     """Attach ``vec`` to rows by word; unknown words dropped (inner join).
 
     ``vectors`` is a (word, vec) table or a function ``(df, word_col) -> df + vec``
     (e.g. a hashed lookup). A plain table join is left to AQE: broadcast when the
-    measured vector side is small, shuffle join with skew splitting otherwise."""
+    measured vector side is small, shuffle join with skew splitting otherwise. With
+    ``original_col`` a word that is unknown is looked up a second time by its original form."""
     if callable(vectors):
         return vectors(df, word_col)
-    return df.join(vectors.select(F.col("word").alias(word_col), "vec"), word_col)
+    if original_col is None:
+        return df.join(vectors.select(F.col("word").alias(word_col), "vec"), word_col)
+    first = vectors.select(F.col("word").alias(word_col), F.col("vec").alias("_v1"))
+    second = vectors.select(F.col("word").alias(original_col), F.col("vec").alias("_v2"))
+    both = df.join(first, word_col, "left").join(second, original_col, "left")
+    return (both.withColumn("vec", F.coalesce("_v1", "_v2")).where(F.col("vec").isNotNull())
+                .select(*df.columns, "vec"))
 
 
 def mean_vectors(df: DataFrame, keys: list[str], vec_col: str, weight_col: str | None = None) -> DataFrame:

@@ -95,6 +95,17 @@ def encode_json(col):
     return F.to_json(c)
 
 
+def read_word_vectors(spark: SparkSession, path: str, dims: int) -> DataFrame:
+    """A text file of word vectors (word, then numbers, separated by spaces) as
+    (word, vec ARRAY<FLOAT>); lines with another number of fields or a field that is no
+    number are left out."""
+    f = F.split("value", " ")
+    rows = spark.read.text(path).where(F.size(f) == dims + 1)
+    vec = F.transform(F.slice(f, 2, dims), lambda x: x.try_cast("float"))
+    return (rows.select(F.get(f, 0).alias("word"), vec.alias("vec"))
+                .where((F.col("word") != "") & F.forall("vec", lambda x: x.isNotNull())))
+
+
 def attach_metadata(facts: DataFrame, files: DataFrame, fact_key: str = "file_id",
                     file_key: str = "id") -> DataFrame:
     """Left join of posts/blogs to file metadata. The files table (one row per

@@ -6,6 +6,7 @@
 * ``incremental_topics``: I1(b), the resumable extraction as a file-source stream
   with ``trigger(availableNow=True)``: each run processes only files it has not
   seen (the checkpoint records them) and appends results; re-running adds nothing.
+* ``incremental_blog_topics``: the same for the topic model, from a fixed topic table.
 * ``resume_batch``: I1(a), the same contract for a plain batch job: skip ids that
   already have output (left anti join), append the rest.
 """
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import terms
+from ..operators import terms, topics
 from ..functions import text as tx
 from ..sources.tables import skip_processed, stage_exists
 
@@ -74,6 +75,25 @@ def incremental_topics(spark: SparkSession, source_dir: str, schema, out_dir: st
     return q
 
 
+def incremental_blog_topics(spark: SparkSession, source_dir: str, schema, described: DataFrame, out_dir: str,
+                            checkpoint: str):
+    """I1 for the topic model: blogs of files not processed before get their topics from a
+    fixed, described topic table (a topic is a candidate if it holds one of the blog's terms),
+    thresholded and de-duplicated. Each micro-batch overwrites its own folder, so that a batch
+    which is run again after a failure adds nothing."""
+    words = described.select("topic_id", F.explode("words").alias("term"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        toks = batch.select("doc_id", F.explode(F.array_distinct(terms.topic_tokens_of_clean(tx.clean_content("text")))).alias("term"))
+        shares = toks.join(words, "term").select("doc_id", "topic_id")
+        topics.blog_topics(shares, described).write.mode("overwrite").parquet(f"{out_dir}/batch={number}")
+
+    q = (spark.readStream.schema(schema).parquet(source_dir).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 def resume_batch(spark: SparkSession, todo: DataFrame, out_dir: str, key: str = "doc_id") -> DataFrame:
     """I1(a) + J2 + U1: compute topics only for ids without output yet, append them,
     and return previous + new results."""

@@ -127,3 +127,14 @@ def test_materialize_reads_back_same_rows(spark):
     m = materialize(df, "t")
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in df.collect())
     assert "Range" not in m._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_vector_file_and_second_lookup(spark, tmp):
+    with open(os.path.join(tmp, "v.txt"), "w") as f:
+        f.write("river 0.5 1\nParis 2 3\nbad 1\nworse 1 x\n")
+    vecs = tables.read_word_vectors(spark, os.path.join(tmp, "v.txt"), 2)
+    assert {r["word"]: list(r["vec"]) for r in vecs.collect()} == {"river": [0.5, 1.0], "Paris": [2.0, 3.0]}
+    df = spark.createDataFrame([("river", "River"), ("paris", "Paris"), ("none", "None")], "word string, original string")
+    assert {r["word"] for r in taxonomy.lookup_vectors(df, vecs).collect()} == {"river"}
+    got = taxonomy.lookup_vectors(df, vecs, original_col="original")
+    assert got.columns == ["word", "original", "vec"] and {r["word"] for r in got.collect()} == {"river", "paris"}

@@ -44,3 +44,26 @@ def test_resume_batch(spark, tmp):
     ts.resume_batch(spark, docs.where("doc_id < 50"), out)
     all_ = ts.resume_batch(spark, docs, out)
     assert all_.count() == docs.count() and all_.select("doc_id").distinct().count() == docs.count()
+
+
+def test_incremental_blog_topics(spark, tmp):
+    import os
+
+    from blogscope.streaming.topic_stream import incremental_blog_topics
+    described = spark.createDataFrame(
+        [(0, 0.9, "river_stone", ["river", "stone"], [0.6, 0.4], [0.5, 0.5], 0.5), (1, 0.8, "cloud_storm", ["cloud", "storm"], [0.6, 0.4], [0.5, 0.5], 0.5)],
+        "topic_id int, topic_quality double, label string, words array<string>, weights array<double>, coherence_scores array<double>, semantic_coherence double")
+    src, out = os.path.join(tmp, "in"), os.path.join(tmp, "out")
+
+    def put(rows):
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.mode("append").parquet(src)
+
+    def run():
+        incremental_blog_topics(spark, src, "doc_id long, text string", described, out, os.path.join(tmp, "ck"))
+        return sorted((r["doc_id"], r["topic_id"]) for r in spark.read.parquet(out).collect())
+
+    put([(1, "the river bank"), (2, "nothing here")])
+    assert run() == [(1, 0)]
+    put([(3, "storm over a stone")])
+    assert run() == [(1, 0), (3, 0), (3, 1)]
+    assert run() == [(1, 0), (3, 0), (3, 1)]
