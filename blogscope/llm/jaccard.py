@@ -5,8 +5,8 @@ order, rarest first by counts over all documents, so that two sets can only be s
 they share one of their first few elements. The steps, none of which holds more than a
 bucket of postings, a sketch or a slice of one group in a task:
 
-1. Read all texts: set size, a 64-bit key of the set (copies share it), and a sketch of how
-   often each hash occurs, which fixes the order.
+1. Read all texts: set size, a 64-bit key of the set (copies share it), a histogram of its
+   hashes, and a sketch of how often each hash occurs, which fixes the order.
 2. Read again: postings (element, key, size, place in the order) of each set's prefix, dealt
    by buckets of elements; sets that repeat inside a task are posted once. Elements of one
    set only are dropped there.
@@ -17,8 +17,9 @@ bucket of postings, a sketch or a slice of one group in a task:
    size and place allow are verified too. No link is lost: a similar pair always passes at
    its first common element.
 
-To verify, sets of candidates are made again from their texts and gathered by probe, at most
-``SLICE`` to a prefix tree. Elements run from the most common here, so that near copies share
+Before sets are gathered, a pair's histograms bound its overlap (the sum of the smaller
+counts), which settles nearly all pairs that only chance brought together. To verify the rest,
+sets are made again from their texts and gathered by probe, at most ``SLICE`` to a prefix tree. Elements run from the most common here, so that near copies share
 long paths; a traversal carries the overlap down and leaves a subtree when the elements that
 remain on either side cannot reach what its sizes require.
 """
@@ -37,10 +38,11 @@ from .common import stage, table, text_list, texts, without
 WORDS, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_PARTS = 21, 16
 FILTER_BITS = 23
+BINS = 256  # of a set's histogram
 FLUSH = 1 << 20  # postings buffered in a task
 SLICE = 256  # sets in one prefix tree
 
-READ_SCHEMA = "doc_id long, n long, key long, part int, counts binary"
+READ_SCHEMA = "doc_id long, n long, key long, bins binary, part int, counts binary"
 POST_SCHEMA = "bucket int, tokens binary, keys binary, sizes binary, places binary"
 GROUP_SCHEMA = "bucket int, token long, key long, n int, place int"
 
@@ -65,6 +67,11 @@ def set_key(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def histogram(s: np.ndarray) -> bytes:
+    """How many elements fall into each of ``BINS`` bins."""
+    return np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes()
+
+
 def slot(s: np.ndarray) -> np.ndarray:
     return (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -83,23 +90,24 @@ def rare_first(s: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 
 def read_rows(batches, size: int):
     """A row per document, then the task's sketch in parts."""
-    names = ["doc_id", "n", "key", "part", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["doc_id", "n", "key", "bins", "part", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
     counts, any_rows = np.zeros(1 << SKETCH_BITS, np.int64), False
     for b in batches:
-        ns, keys = [], []
+        ns, keys, bins = [], [], []
         for raw in text_list(b.column("text")):
             s = ngram_set(raw, size)
             ns.append(len(s))
             keys.append(set_key(s) if len(s) else None)
+            bins.append(histogram(s) if len(s) else None)
             np.add.at(counts, slot(s), 1)
         m = len(ns)
         any_rows = any_rows or m > 0
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64()),
-                                          pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
+                                          pa.array(bins, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
     if any_rows:
         for k, part in enumerate(np.split(counts, SKETCH_PARTS)):
-            row = [[None], [None], [None], [k], [part.astype(np.uint32).tobytes()]]
+            row = [[None], [None], [None], [None], [k], [part.astype(np.uint32).tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds)], names=names)
 
 
@@ -354,16 +362,33 @@ def filter_bits(ids: DataFrame) -> np.ndarray:
     words = (ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).alias("s")).select(
         F.shiftright("s", 5).alias("w"), F.expr("shiftleft(1L, CAST(s & 31 AS INT))").alias("b"))
         .groupBy("w").agg(F.bit_or("b").alias("b")))
+    got = words.toArrow()  # the filter's words (2 ** 18 at most), however many ids
     out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    for r in words.toLocalIterator():  # the filter's words, however many ids
-        out[r["w"]] = r["b"]
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy().astype(np.uint32)
     return out.view(np.uint8)
 
 
+def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (probe, key) whose histograms allow the overlap that their sizes need."""
+
+    def run(batches):
+        for b in batches:
+            n = [b.column(c).to_numpy() for c in ("n1", "n2")]
+            h = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, BINS) for c in ("h1", "h2")]
+            fine = np.minimum(h[0], h[1]).sum(axis=1) >= least_overlap(n[0], n[1], percent)
+            yield b.select(["probe", "key"]).filter(pa.array(fine, pa.bool_()))
+
+    first = classes.select(F.col("key").alias("probe"), F.col("n").alias("n1"), F.col("bins").alias("h1"))
+    second = classes.select("key", F.col("n").alias("n2"), F.col("bins").alias("h2"))
+    return pairs.join(first, "probe").join(second, "key").select("probe", "key", "n1", "n2", "h1", "h2").mapInArrow(
+        run, "probe long, key long")
+
+
 def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
     """Links (a, b) among candidate ``pairs`` (probe, key). Only texts of candidates are made
     into sets again (a bit filter picks them at the scan); a probe with many partners is
     dealt over slices."""
+    pairs = stage(possible(pairs, classes, percent), "jaccard-possible")
     wanted = stage(pairs.select("probe").union(pairs.select("key")).distinct()
                    .join(classes.select(F.col("key").alias("probe"), "first_id"), "probe")
                    .select(F.col("probe").alias("key"), F.col("first_id").alias("doc_id")), "jaccard-wanted")
@@ -400,7 +425,7 @@ def components(links: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).where("a <> b")
@@ -426,10 +451,10 @@ def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PE
     spark = docs.sparkSession
     buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     read = stage(texts(docs).mapInArrow(lambda batches: read_rows(batches, words), READ_SCHEMA), "jaccard-read")
-    rows = read.where("part is null").select("doc_id", "n", "key")
+    rows = read.where("part is null").select("doc_id", "n", "key", "bins")
     ranks = sketch_ranks(read)
     classes = stage(rows.where("key is not null and doc_id is not null").groupBy("key")
-                    .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n")), "jaccard-classes")
+                    .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bins").alias("bins")), "jaccard-classes")
 
     posted = (texts(docs).where("doc_id is not null")
               .mapInArrow(lambda batches: posting_rows(batches, ranks, buckets, words, percent), POST_SCHEMA))
