@@ -9,7 +9,8 @@ are folded into one table, so a text costs two look-ups a word.
 
 Thresholds are calibrated by language: the fitted model guesses a text's language from its
 own words (never from a column), and shifts the logit by the threshold chosen for that
-language on a held part of the sample, so that 0.7 is every language's threshold.
+language, so that 0.7 is every language's threshold. Only the fit is sampled: the languages'
+word statistics count all training documents, and the thresholds all labelled ones.
 """
 
 from __future__ import annotations
@@ -31,23 +32,29 @@ SAMPLE_ROWS = 4_000  # labelled texts to fit on, at most
 SAMPLE_BYTES = 24 << 20
 EPOCHS = 3
 CUT = 0.7
+BINS = 256  # of logits, to a unit
+LEAST = 10  # toxic texts for a threshold of the language's own
+OPEN_LANGUAGES = 64  # whose counts a task holds before it hands them on
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
+def word_buckets(h: np.ndarray, mult: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    return ((mix(h, mult) * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
 def encode(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of words and of word starts, each text followed by ``PAD`` empty places
     (bucket ``2 ** BITS``), and the offsets of the texts with their padding."""
     docs = [words(x) for x in raw]
     h, offsets = word_hashes(docs)
     p, _ = word_hashes([[w[:PREFIX] for w in d] for d in docs])
-    shift = np.uint64(64 - BITS)
     n = np.diff(offsets)
     place = np.arange(len(h)) + np.repeat(PAD * np.arange(len(docs)), n)
     out = []
-    for x, m in ((h, 0x9E3779B97F4A7C15), (p, 0xBF58476D1CE4E5B9)):
+    for x in (word_buckets(h), word_buckets(p, 0xBF58476D1CE4E5B9)):
         at = np.full(len(h) + PAD * len(docs), 1 << BITS, np.int64)
-        at[place] = ((mix(x, m) * np.uint64(0x94D049BB133111EB)) >> shift).astype(np.int64)
+        at[place] = x
         out.append(at)
     return out[0], out[1], offsets + PAD * np.arange(len(docs) + 1)
 
@@ -123,10 +130,11 @@ class ToxicModel:
         self.conv[0, :FILTERS] = np.abs(self.conv[0, :FILTERS])
 
     def fit(self, sample: list, epochs: int = EPOCHS, batch: int = 64, seed: int = 11) -> "ToxicModel":
-        """``sample``: (text, (label, language or None)); the last fifth sets thresholds."""
+        """``sample``: (text, label); the last fifth is not learned from, so that thresholds
+        over a table no larger than the sample see texts that are new to the model."""
         if not sample:
             return self.fold()
-        y = np.array([lab[0] for _, lab in sample], np.int64)
+        y = np.array([lab for _, lab in sample], np.int64)
         cut = max(1, len(sample) * 4 // 5)
         coded = [encode([t]) for t, _ in sample]
         joined = (np.concatenate([c[0] for c in coded[:cut]]), np.concatenate([c[1] for c in coded[:cut]]),
@@ -167,7 +175,7 @@ class ToxicModel:
                 self.adam("emb", ge[keep], state, t, rows[keep])
                 for k in ("conv", "bias", "out", "c"):
                     self.adam(k, grad[k], state, t)
-        return self.calibrate(sample, cut).fold()
+        return self.fold()
 
     def adam(self, name: str, g, state, t: int, at=None, rate: float = 0.01) -> None:
         m, v = state[name]
@@ -185,30 +193,26 @@ class ToxicModel:
         else:
             self.emb[at] -= step.astype(np.float32)
 
-    def calibrate(self, sample, cut: int) -> "ToxicModel":
-        """Language word statistics, then one threshold per language on the held part (or,
-        where that holds too few of either label, on all texts of that language)."""
-        langs = sorted({lab[1] for _, lab in sample if lab[1] is not None})
-        self.languages = langs
-        count = np.full(((1 << BITS) + 1, len(langs)), 0.1)
-        for k, lang in enumerate(langs):
-            for t, lab in sample:
-                if lab[1] == lang:
-                    count[:, k] += np.bincount(encode([t])[0], minlength=len(count))
-        self.lang_logp = (np.log(count / count.sum(0)) if langs else count).astype(np.float32)
+    def know(self, counts: dict[str, np.ndarray]) -> "ToxicModel":
+        """Word statistics by language, from the counts of every word bucket."""
+        self.languages = sorted(counts)
+        count = np.full(((1 << BITS) + 1, len(counts)), 0.1)
+        for k, lang in enumerate(self.languages):
+            count[:-1, k] += counts[lang]
+        self.lang_logp = np.log(count / count.sum(0)).astype(np.float32)
         self.lang_logp[-1] = 0
-        self.shift = np.zeros(len(langs) + 1)
-        self.fold()
-        y = np.array([lab[0] for _, lab in sample])
-        z, guess = self.logits([t for t, _ in sample])
-        overall = best_cut(z, y)
-        for k in range(len(langs) + 1):
-            for own in ((np.arange(len(y)) >= cut) & (guess == k), guess == k):
-                if 10 <= y[own].sum() < own.sum():
-                    self.shift[k] = best_cut(z[own], y[own])
-                    break
-            else:
-                self.shift[k] = overall
+        self.shift = np.zeros(len(counts) + 1)
+        return self
+
+    def calibrate(self, guess: np.ndarray, z: np.ndarray, y: np.ndarray, n: np.ndarray) -> "ToxicModel":
+        """One threshold per language from counts ``n`` of (guessed language, logit, label);
+        a language with too few of either label gets that of all."""
+        if len(n):
+            overall = best_cut(z, y, n)
+            for k in range(len(self.shift)):
+                own = guess == k
+                toxic = n[own] @ y[own]
+                self.shift[k] = best_cut(z[own], y[own], n[own]) if LEAST <= toxic < n[own].sum() else overall
         return self
 
     def fold(self) -> "ToxicModel":
@@ -249,27 +253,86 @@ def groups(raw: list[bytes], size: int):
         yield part
 
 
-def best_cut(z: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the widest-margin cut with the fewest errors."""
-    order = np.argsort(z, kind="stable")
-    z, y = z[order], y[order]
-    errors = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
+def best_cut(z: np.ndarray, y: np.ndarray, n: np.ndarray | None = None) -> float:
+    """The middle of the widest-margin cut with the fewest errors; ``n`` are row counts."""
+    n = np.ones(len(z)) if n is None else n
+    z, at = np.unique(z, return_inverse=True)
+    one, zero = np.bincount(at, n * y), np.bincount(at, n * (1 - y))
+    errors = np.concatenate([[0], np.cumsum(one)]) + np.concatenate([np.cumsum(zero[::-1])[::-1], [0]])
     edges = np.concatenate([[z[0] - 2], z, [z[-1] + 2]])
     best = np.flatnonzero(errors == errors.min())
     k = best[np.argmax(edges[best + 1] - edges[best])]
     return float((edges[k] + edges[k + 1]) / 2)
 
 
+def word_counts(docs: DataFrame) -> dict[str, np.ndarray]:
+    """Occurrences of every word bucket by language, over all rows with one: each task adds
+    up its own rows, so at most ``2 ** BITS`` rows per task and language are shuffled."""
+
+    def rows(open_counts):
+        for lang, c in open_counts.items():
+            at = np.flatnonzero(c)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(c[at], pa.int64())],
+                                             names=["lang", "bucket", "n"])
+
+    def run(batches):
+        held = {}
+        for b in batches:
+            langs, raw = b.column("lang").to_pylist(), text_list(b.column("text"))
+            for lang in set(langs):
+                if lang not in held and len(held) >= OPEN_LANGUAGES:
+                    yield from rows(held)
+                    held = {}
+                count = held.setdefault(lang, np.zeros(1 << BITS, np.int64))
+                for part in groups([t for t, own in zip(raw, langs) if own == lang], 1 << 20):
+                    count += np.bincount(word_buckets(word_hashes([words(t) for t in part])[0]), minlength=1 << BITS)
+        yield from rows(held)
+
+    own = docs.where("lang is not null and text is not null")
+    got = (texts(own, F.col("lang").cast("string").alias("lang")).select("lang", "text").mapInArrow(run, "lang string, bucket long, n long")
+           .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
+    out = {}
+    for b in got.toArrow().to_batches():  # 2 ** BITS rows per language at most
+        langs = b.column("lang").dictionary_encode()
+        bucket, n = b.column("bucket").to_numpy(), b.column("n").to_numpy()
+        for k, lang in enumerate(langs.dictionary.to_pylist()):
+            at = np.flatnonzero(langs.indices.to_numpy() == k)
+            out.setdefault(lang, np.zeros(1 << BITS, np.int64))[bucket[at]] += n[at]
+    return out
+
+
+def logit_counts(docs: DataFrame, labels: DataFrame, model: ToxicModel) -> tuple[np.ndarray, ...]:
+    """Guessed languages, logits (middles of bins), labels and numbers of all rows of ``docs``
+    with a label. Texts are scored where they are read; ids and bins meet the labels."""
+
+    def run(batches):
+        for b in batches:
+            z, guess = model.logits(text_list(b.column("text")))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(guess, pa.int32()), pa.array(np.rint(z * BINS).astype(np.int64), pa.int64())],
+                                             names=["doc_id", "guess", "bin"])
+
+    scored = texts(docs.where("doc_id is not null and text is not null")).mapInArrow(run, "doc_id long, guess int, bin long")
+    got = scored.join(labels, "doc_id").groupBy("guess", "bin", "label").agg(F.count("*").alias("n")).toArrow()
+    guess, at, y, n = (got.column(c).to_numpy() for c in ("guess", "bin", "label", "n"))
+    return guess, at / BINS, y, n
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, held_out, max_rows: int = SAMPLE_ROWS,
                  max_bytes: int = SAMPLE_BYTES) -> ToxicModel:
-    """Fit on at most ``max_rows`` labelled texts; ``labels`` is (doc_id, label 0/1). The
-    language column of ``docs``, if there is one, only groups the sample for thresholds."""
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    names = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang")).groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    train = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("y"))
-             .where(~held_out).where("y is not null").join(names, "doc_id")
-             .select("doc_id", F.struct("y", "lang").alias("label")))
-    return ToxicModel().fit(bounded_sample(docs, train, max_rows, max_bytes))
+    """Fit on at most ``max_rows`` labelled texts; ``labels`` is (doc_id, label 0/1). Languages
+    (the column of ``docs``, if there is one) and thresholds are learned from all rows that
+    are not held out, in a pass each."""
+    train = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label"))
+             .where(~held_out).where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label")))
+    model = ToxicModel()
+    sample = bounded_sample(docs, train, max_rows, max_bytes)
+    if not sample:
+        return model.fold()
+    model.fit(sample)
+    learned = docs.where(~held_out).where("doc_id is not null")
+    if "lang" in docs.columns:
+        model.know(word_counts(learned))
+    return model.calibrate(*logit_counts(learned, train, model))
 
 
 def toxicity(docs: DataFrame, model: ToxicModel, held_out) -> DataFrame:

@@ -457,6 +457,30 @@ def test_toxicity(spark, docs, empty):
     assert kept.schema == d.schema and kept.count() == toxicity.toxicity(d, model, held).where("predicted = 0").count()
 
 
+def test_toxic_thresholds_and_languages_see_all_labelled_rows(spark):
+    rng = random.Random(9)
+    rows = [(k, "en", " ".join(rng.choice(VOCAB) for _ in range(20)) + (" idiot" if k % 2 else ""), k % 2) for k in range(300)]
+    odd = ["uno", "dos", "tres", "casa", "perro"]
+    rows += [(k, "es", " ".join(rng.choice(odd) for _ in range(20)) + (" tonto" if k % 2 else ""), k % 2) for k in range(300, 330)]
+    d = spark.createDataFrame([(i, x, t) for i, x, t, _ in rows], "doc_id long, lang string, text string")
+    lab = spark.createDataFrame([(i, y) for i, _, _, y in rows], "doc_id long, label int")
+    held = F.col("doc_id") < 0
+    # the sample holds no text of the rare language
+    order = [r["doc_id"] for r in d.orderBy(F.xxhash64("doc_id", F.lit(17))).collect()]
+    size = min(k for k, i in enumerate(order) if i >= 300)
+    model = toxicity.fit_toxicity(d, lab, held, max_rows=size)
+    assert model.languages == ["en", "es"]
+    z, guess = model.logits([t.encode() for _, _, t, _ in rows])
+    assert [model.languages[g] for g in guess] == [x for _, x, _, _ in rows]
+    y = np.array([r[3] for r in rows])
+    for k in (0, 1):  # no cut of the language's rows errs less than its threshold
+        own = guess == k
+        binned = np.rint(z[own] * toxicity.BINS) / toxicity.BINS
+        wrong = ((binned >= model.shift[k]) != y[own]).sum()
+        assert wrong == min(((binned >= c) != y[own]).sum() for c in [*binned, np.inf])
+    assert model.shift[0] != model.shift[1]
+
+
 def test_pooling_keeps_the_two_largest():
     m = toxicity.ToxicModel()
     rng = np.random.default_rng(1)
