@@ -64,7 +64,7 @@ def decode(raw: bytes) -> str:
 
 
 def bounded_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes: int,
-                   seed: int = 17) -> list[tuple[bytes, object]]:
+                   seed: int = 17, quota: int = 0) -> list[tuple[bytes, object]]:
     """(whole text, label) of at most ``max_rows`` rows and ``max_bytes`` of text.
 
     ``labels`` has (doc_id, label), one row per trainable document. Rows are taken in
@@ -73,19 +73,38 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes:
     passes: ids and lengths first (``limit`` after ``orderBy`` keeps ``max_rows`` small
     rows per task), then the texts of the chosen ids by a broadcast of at most
     ``max_rows`` ids.
+
+    With a ``quota``, each distinct label first takes its own first ``quota`` rows (within
+    half of both bounds, dealt evenly over the labels, but one row each in any case), so
+    that every label of the table is in the sample.
     """
     spark = docs.sparkSession
     ids = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     size = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"),
                                                  F.octet_length(F.col("text").cast("string")).alias("size"))
     order = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    rows = (size.join(ids, "doc_id").groupBy("doc_id").agg(F.max("size").alias("size"), F.first("label").alias("label"))
-            .withColumn("o", order).orderBy("o", "doc_id").limit(max_rows).collect())
-    chosen, used = {}, 0
-    for r in sorted(rows, key=lambda r: (r["o"], r["doc_id"])):
-        if used + r["size"] <= max_bytes or not chosen:
+    sized = (size.join(ids, "doc_id").groupBy("doc_id").agg(F.max("size").alias("size"), F.first("label").alias("label"))
+             .withColumn("o", order))
+    rows = sorted(sized.orderBy("o", "doc_id").limit(max_rows).collect(), key=lambda r: (r["o"], r["doc_id"]))
+    own, used = set(), 0
+    if quota:
+        number = {r["label"]: r["n"] for r in sized.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        most = max(1, min(quota, max_rows // (2 * max(len(number), 1))))
+        first = first_rows(sized, number, most)
+        rows = sorted({r["doc_id"]: r for r in [*rows, *first]}.values(), key=lambda r: (r["o"], r["doc_id"]))
+        taken = {k: [0, 0] for k in number}
+        for r in rows:
+            t = taken[r["label"]]
+            if not t[0] or t[0] < most and t[1] + r["size"] <= max_bytes // (2 * len(number)):
+                own.add(r["doc_id"])
+                t[0], t[1], used = t[0] + 1, t[1] + r["size"], used + r["size"]
+    chosen, left = {}, max_rows - len(own)
+    for r in rows:
+        if r["doc_id"] in own:
+            chosen[r["doc_id"]] = (len(chosen), r["label"])
+        elif left > 0 and (used + r["size"] <= max_bytes or not chosen and not own):
             chosen[r["doc_id"]] = (len(chosen), r["label"])
-            used += r["size"]
+            used, left = used + r["size"], left - 1
     if not chosen:
         return []
     pick = spark.createDataFrame([(k,) for k in chosen], "doc_id long")
@@ -95,6 +114,18 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes:
     return [(got[k], chosen[k][1]) for k in sorted(got, key=lambda k: chosen[k][0])]
 
 
+def first_rows(sized: DataFrame, number: dict, most: int) -> list:
+    """At least the ``most`` first rows of every label in the order of the hash ``o``: those
+    below a bound that several times as many are expected under (all, of a rare label)."""
+    if not number:
+        return []
+    bounds = [(k, int(min(-2**63 + 2**64 * (4 * most + 40) // n, 2**63 - 1))) for k, n in number.items()]
+    spark = sized.sparkSession
+    kind = sized.schema["label"].dataType.simpleString()
+    return (sized.join(F.broadcast(spark.createDataFrame(bounds, f"label {kind}, bound long")), "label")
+            .where("o <= bound").drop("bound").collect())
+
+
 # ASCII bytes that are no letter or digit become a space; upper case becomes lower case;
 # bytes of other alphabets stay. ``split`` then cuts words at ASCII white space.
 WORD_TABLE = bytes((c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32)

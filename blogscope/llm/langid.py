@@ -2,8 +2,9 @@
 
 Character 1- to 3-grams of the lower-cased text are hashed into ``2 ** BITS`` buckets and
 weighted by (1 + log tf) * idf, scaled to length 1. Document frequencies are counted over
-every training document; the weights are fitted with follow-the-regularised-leader and
-elastic-net penalties on a bounded sample, a fifth of which sets the softmax temperature.
+every training document, and so are the languages; the weights are fitted with
+follow-the-regularised-leader and elastic-net penalties on a bounded sample in which every
+language has rows of its own, a fifth of which sets the softmax temperature.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ BITS = 15
 ORDERS = (1, 2, 3)
 SAMPLE_ROWS = 4_000  # texts to fit the weights on, at most
 SAMPLE_BYTES = 16 << 20
+QUOTA = 100  # texts that a language has in the sample before others fill it up
 EPOCHS = 2
 UNKNOWN = "und"
 LETTER = r"[^\W\d_]"
@@ -80,12 +82,16 @@ class LanguageModel:
         self.temperature = 1.0
 
     def fit(self, sample: list[tuple[bytes, str]], epochs: int = EPOCHS) -> "LanguageModel":
+        """Every fifth text of a language is held for the temperature, the others fit."""
         number = {k: i for i, k in enumerate(self.languages)}
-        rows = [(*vector(decode(t), self.idf), number[y]) for t, y in sample if y in number]
-        cut = max(1, len(rows) * 4 // 5)
+        rows, held, seen = [], [], [0] * len(number)
+        for t, y in sample:
+            if y in number:
+                seen[number[y]] += 1
+                (held if seen[number[y]] % 5 == 0 else rows).append((*vector(decode(t), self.idf), number[y]))
         if rows:
-            self.w = Ftrl(1 << BITS, len(self.languages), alpha=1.0, l1=0.01, l2=0.01).fit(rows[:cut], epochs).weights()
-            held = rows[cut:] or rows
+            self.w = Ftrl(1 << BITS, len(self.languages), alpha=1.0, l1=0.01, l2=0.01).fit(rows, epochs).weights()
+            held = held or rows
             logits = np.stack([x @ self.w[at] + self.w[-1] for at, x, _ in held])
             y = np.array([r[2] for r in held])
             grid = np.exp(np.linspace(np.log(0.05), np.log(20), 121))
@@ -112,12 +118,13 @@ class LanguageModel:
 
 def fit_language(docs: DataFrame, held_out, max_rows: int = SAMPLE_ROWS, max_bytes: int = SAMPLE_BYTES) -> LanguageModel:
     """Learn from ``docs`` (doc_id, text, lang) without the held-out rows and those without
-    a language or text. Document frequencies cover all of them; the weights are fitted on at
-    most ``max_rows`` whole texts of ``max_bytes`` together."""
+    a language or text. Document frequencies and languages cover all of them; the weights are
+    fitted on at most ``max_rows`` whole texts of ``max_bytes`` together, the first ``QUOTA``
+    of each language among them (one of each even where that is more)."""
     train = docs.where(~held_out).where("lang is not null and text is not null and doc_id is not null")
     df, n = document_frequencies(train)
     sample = bounded_sample(train, train.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("label")),
-                            max_rows, max_bytes)
+                            max_rows, max_bytes, quota=QUOTA)
     idf = np.log((1.0 + n) / (1.0 + df)) + 1.0
     return LanguageModel(sorted({y for _, y in sample}), idf).fit(sample)
 

@@ -429,6 +429,25 @@ def test_language(spark, docs, empty):
     assert j.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.98
 
 
+def test_rare_languages_are_learned_from_a_bounded_sample(spark):
+    rng = random.Random(4)
+    words = {"en": VOCAB, "es": ["uno", "dos", "casa", "perro", "jugo"], "xx": ["жук", "дом", "лес", "мир"]}
+    rows = [(k, "xx" if k % 500 == 7 else "es" if k % 100 == 3 else "en") for k in range(2000)]
+    rows = [(k, x, " ".join(rng.choice(words[x]) for _ in range(30))) for k, x in rows]
+    d = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    held = F.col("doc_id") % 7 == 6
+    train = d.where(~held)
+    ids = train.select("doc_id", F.col("lang").alias("label"))
+    sample = common.bounded_sample(train, ids, 60, 1 << 20, quota=8)
+    n = collections.Counter(y for _, y in sample)
+    assert len(sample) == 60 and n["xx"] == 3 and n["es"] >= 8
+    assert sorted(y for _, y in common.bounded_sample(train, ids, 2, 1, quota=8)) == ["en", "es", "xx"]
+    model = langid.fit_language(d, held, max_rows=60)
+    assert model.languages == ["en", "es", "xx"]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.language(d, model, held).collect()}
+    assert all(got[k] == x for k, x, _ in rows)
+
+
 def test_quality(spark, docs, empty):
     held = common.fold(4) == 2
     got = quality.quality(docs, labels_of(spark), held)
