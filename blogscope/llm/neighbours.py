@@ -8,7 +8,8 @@ ranked by the exact cosine in double precision.
 
 The index is dealt over shards by a hash of the id, so that a crowded cell is shared out
 evenly; each shard holds its own tables. Queries stream past every shard in blocks, and a
-shard answers with its best few, so no pairs are ever written out.
+shard answers with its best few, so no pairs are ever written out. Queries for which all
+shards together found too few are ranked again, against every vector.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import stage, table
 
 TABLES, PROJECTIONS, WIDTH, PROBES = 16, 5, 1.0, 100
 SHARD_ROWS = 4_096  # aimed at, while that makes no more shards than shuffle partitions
@@ -61,17 +62,18 @@ class Hashes:
 
 
 class Shard:
-    """Hash tables over one shard's vectors of one dimension."""
+    """Hash tables over one shard's vectors of one dimension; without ``hashes`` every
+    vector is a candidate."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, hashes: Hashes):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, hashes: Hashes | None):
         self.ids, self.vectors, self.hashes = ids, vectors, hashes
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.unit = vectors / self.norms[:, None]
-        self.cells = [np.unique(hashes.keys(self.unit, t), return_inverse=True) for t in range(hashes.tables)]
+        self.cells = [np.unique(hashes.keys(self.unit, t), return_inverse=True) for t in range(hashes.tables)] if hashes else []
 
     def candidates(self, unit: np.ndarray) -> np.ndarray:
         """(queries, vectors): whether any table yields the vector for the query."""
-        mask = np.zeros((len(unit), len(self.ids)), bool)
+        mask = np.full((len(unit), len(self.ids)), self.hashes is None)
         for t, (keys, cell) in enumerate(self.cells):
             probe = self.hashes.probe_keys(unit, t)
             at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
@@ -112,7 +114,7 @@ def matrix(column) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.diff(column.offsets.to_numpy())
 
 
-def shard_answers(batches, k: int, options: dict):
+def shard_answers(batches, k: int, options: dict, exact: bool = False):
     """Rows of one or more shards, each with its index rows before its queries."""
     shard, held, built, families = None, [], None, {}
 
@@ -126,7 +128,7 @@ def shard_answers(batches, k: int, options: dict):
                 by_dim.setdefault(int(dim), []).append((ids[rows], values[at]))
         out = {}
         for dim, parts in by_dim.items():
-            families.setdefault(dim, Hashes(dim, **options))
+            families.setdefault(dim, None if exact else Hashes(dim, **options))
             out[dim] = Shard(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), families[dim])
         return out
 
@@ -158,7 +160,9 @@ def shard_answers(batches, k: int, options: dict):
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding",
             **options) -> DataFrame:
-    """The ``k`` nearest found of every query: query_id, rank (from 1), vec_id, score.
+    """The ``k`` nearest found of every query: query_id, rank (from 1), vec_id, score. Every
+    query has ``k`` rows, or all its candidates: where the tables yield fewer, the query is
+    ranked exactly.
 
     Only vectors of the query's own dimension and another id are its candidates. Rows that
     cannot take part (see ``usable``) are in no result; ties go to the smaller id; rows that
@@ -174,13 +178,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     shards = max(1, min(-(-n // SHARD_ROWS), partitions), -(-n // SHARD_MOST))
     dealt = index.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
                          F.lit(False).alias("is_query"), "vec_id", "v")
-    asked = usable(queries, id_col, vec_col).dropDuplicates(["vec_id"]).select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("is_query"), "vec_id", "v")
-    found = (dealt.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "is_query", "vec_id")
-             .mapInArrow(lambda batches: shard_answers(batches, k, options), SCHEMA))
+    asked = usable(queries, id_col, vec_col).dropDuplicates(["vec_id"])
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+    def answers(asked: DataFrame, exact: bool) -> DataFrame:
+        copies = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("is_query"), "vec_id", "v")
+        found = (dealt.unionByName(copies).repartition(shards, "shard").sortWithinPartitions("shard", "is_query", "vec_id")
+                 .mapInArrow(lambda batches: shard_answers(batches, k, options, exact), SCHEMA))
+        return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+                .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+
+    probed = stage(answers(asked, False), "neighbours-probed")
+    full = probed.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = stage(asked.join(full, "vec_id", "left_anti"), "neighbours-short")
+    if short.isEmpty():
+        return probed
+    ranked = probed.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").select(probed.columns)
+    return ranked.unionByName(answers(short, True))
 
 
 def op6_neighbours(spark, sf_dir):

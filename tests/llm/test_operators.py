@@ -547,6 +547,29 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shards", [1, 3])
+def test_neighbours_of_small_tables_and_outliers_are_whole(spark, monkeypatch, shards):
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(64)
+    tight = centre + 0.05 * rng.standard_normal((40, 64))
+    far = [*(-centre + 0.05 * rng.standard_normal((2, 64))), *rng.standard_normal((4, 64))]
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", -(-46 // shards))
+    for vectors in (rng.standard_normal((6, 64)), rng.standard_normal((3, 64)), np.array([*tight, *far])):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        got = collections.defaultdict(list)
+        for r in neighbours.nearest(df, df).orderBy("query_id", "rank").collect():
+            got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+        unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+        cosine = unit @ unit.T
+        for q in range(len(vectors)):
+            others = [i for i in range(len(vectors)) if i != q]
+            assert [r for r, _, _ in got[q]] == list(range(1, min(5, len(others)) + 1))
+            assert all(abs(s - cosine[q, i]) < 1e-9 for _, i, s in got[q])
+        if len(vectors) == 46:  # no vector but its twin is near an opposite query
+            for q in (40, 41):
+                assert [i for _, i, _ in got[q]] == sorted((i for i in range(46) if i != q), key=lambda i: -cosine[q, i])[:5]
+
+
 # --- the pipeline -------------------------------------------------------------------
 
 
