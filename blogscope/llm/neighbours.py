@@ -27,6 +27,7 @@ TABLES, PROJECTIONS, WIDTH, PROBES = 16, 5, 1.0, 100
 SHARD_ROWS = 4_096  # aimed at, while that makes no more shards than shuffle partitions
 SHARD_MOST = 1 << 19  # rows of a shard whatever the number of partitions
 QUERY_BLOCK = 256
+BLOCK_PAIRS = 1 << 22  # queries times rows of a shard scored at a time
 
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -85,7 +86,8 @@ class Shard:
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
         """(query_id, vec_id, score) of the best ``k`` candidates of each query, ties to the
-        smaller id. A fast product picks them with a margin, then scores are exact."""
+        smaller id. A fast product with the whole shard, masked to the candidates, picks them
+        with a margin, then scores are exact."""
         norms = np.sqrt((queries * queries).sum(axis=1))
         unit = queries / norms[:, None]
         mask = self.candidates(unit)
@@ -149,8 +151,9 @@ def shard_answers(batches, k: int, options: dict, exact: bool = False):
             ends = np.cumsum(sizes)
             for dim, index in built.items():
                 rows = np.flatnonzero(sizes == dim)
-                for lo in range(0, len(rows), QUERY_BLOCK):
-                    own = rows[lo:lo + QUERY_BLOCK]
+                step = max(1, min(QUERY_BLOCK, BLOCK_PAIRS // len(index.ids)))
+                for lo in range(0, len(rows), step):
+                    own = rows[lo:lo + step]
                     at = (ends[own] - dim)[:, None] + np.arange(dim)
                     got = list(zip(*index.nearest(ids[own], values[at], k)))
                     if got:

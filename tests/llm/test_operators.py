@@ -547,6 +547,21 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_neighbour_blocks_are_bounded_by_the_rows_of_the_shard(monkeypatch):
+    import pyarrow as pa
+    v = np.random.default_rng(3).standard_normal((120, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 120, pa.int32()), pa.array([i >= 100 for i in range(120)]), pa.array(range(120), pa.int64()),
+                                        pa.array(v.tolist(), pa.list_(pa.float64()))], names=["shard", "is_query", "vec_id", "v"])
+
+    def rows():
+        return [tuple(r.values()) for b in neighbours.shard_answers(iter([batch]), 5, {}) for r in b.to_pylist()]
+
+    whole, sizes, nearest = rows(), [], neighbours.Shard.nearest
+    monkeypatch.setattr(neighbours, "BLOCK_PAIRS", 700, raising=False)
+    monkeypatch.setattr(neighbours.Shard, "nearest", lambda self, ids, *a: (sizes.append(len(ids) * len(self.ids)), nearest(self, ids, *a))[1])
+    assert rows() == whole and whole and max(sizes) <= 700
+
+
 @pytest.mark.parametrize("shards", [1, 3])
 def test_neighbours_of_small_tables_and_outliers_are_whole(spark, monkeypatch, shards):
     rng = np.random.default_rng(8)
