@@ -10,13 +10,16 @@ postings of its rarest term there, moving them back by the term's offset to poss
 starts, and intersecting these with the moved postings of the next rarer terms until none
 is left. With a slack, terms may stand up to that many places off (proximity matches).
 
-Only terms of the test set get postings: no other term can match. Test sets are handled in
-blocks of bounded bytes, each shipped to every task, so a test set may be of any size.
+Only terms of the test set get postings, under its numbers of the terms: no other term can
+match, and an index serves the one test set that it was stored for. Test sets are handled in
+blocks of bounded bytes, each shipped to every task and its matches written before the next
+is read, so a test set may be of any size.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -118,7 +121,8 @@ def search(segment: dict, windows: dict, slack: int = 0):
 
 
 def store_index(docs: DataFrame, test: TestSet) -> DataFrame:
-    """Build and store the index of all documents for the terms of ``test``."""
+    """Build and store the index of all documents for the terms of ``test``, which alone may
+    be searched on it."""
     vocabulary = test.vocabulary
 
     def run(batches):
@@ -197,9 +201,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
     blocks' matches are gathered per document (each task's rows are numbered by segment and
     place, so that repeated ids stay apart).
     """
-    blocks = list(item_blocks(items, block_bytes)) if block_bytes else []
-    if len(blocks) <= 1:
-        test = TestSet(blocks[0] if blocks else [], window)
+    blocks = item_blocks(items, block_bytes) if block_bytes else iter(())
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        test = TestSet(first, window)
         windows = test.windows
 
         def run(batches):
@@ -213,7 +218,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
                     yield result_batch(s, spans, found)
 
         return store_index(docs, test).mapInArrow(run, RESULT_SCHEMA)
-    return by_blocks(docs, blocks, window)
+    return by_blocks(docs, itertools.chain([first, second], blocks), window)
 
 
 def result_batch(s: dict, spans: dict, found: dict) -> pa.RecordBatch:
@@ -226,16 +231,16 @@ def result_batch(s: dict, spans: dict, found: dict) -> pa.RecordBatch:
                                       names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
 
-def by_blocks(docs: DataFrame, blocks: list, window: int) -> DataFrame:
+def by_blocks(docs: DataFrame, blocks, window: int) -> DataFrame:
     """Several blocks: one stored copy of the texts numbered by row, an index and a search
-    per block, then all matches of a row together (a row's matches are bounded by its words
-    times the items they touch)."""
+    per block, its matches written before the next block is taken, then all matches of a row
+    together (a row's matches are bounded by its words times the items they touch)."""
     base = stage(texts(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
     keyed = base.select(F.col("row").alias("doc_id"), "text")
     found = None
     for block in blocks:
         test = TestSet(block, window)
-        part = phrase_matches(store_index(keyed, test), test)
+        part = stage(phrase_matches(store_index(keyed, test), test), "matches")
         found = part if found is None else found.unionByName(part)
     per_row = found.groupBy(F.col("doc_id").alias("row")).agg(
         F.collect_set(F.struct("start", "length")).alias("spans"), F.sort_array(F.collect_set("item_id")).alias("items"))

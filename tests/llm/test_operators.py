@@ -337,6 +337,25 @@ def test_contamination_equals_brute_force(spark, docs, empty, block_bytes):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == sorted(r[0] for r in brute_contamination(rows, ITEMS) if r[0] and not r[5])
 
 
+def test_benchmark_blocks_are_taken_one_at_a_time(spark, monkeypatch):
+    log, blocks, stage = [], decontaminate.item_blocks, decontaminate.stage
+    items = spark.createDataFrame([(k, f"item {k} " + sentence(12)) for k in range(5)], "item_id long, text string")
+
+    def logged(*args):
+        for b in blocks(*args):
+            log.append("block")
+            yield b
+
+    monkeypatch.setattr(decontaminate, "item_blocks", logged)
+    monkeypatch.setattr(decontaminate, "stage", lambda df, name: (stage(df, name), log.append(name))[0])
+    got = decontaminate.contamination(frame(spark, [(r["item_id"], r["text"]) for r in items.collect()]), items, block_bytes=1)
+    assert got.where("contaminated").count() == 5
+    taken = [k for k, x in enumerate(log) if x == "block"]
+    written = [k for k, x in enumerate(log) if x == "matches"]
+    # two blocks tell that there are several; from then on one is written before another is taken
+    assert len(taken) == len(written) == 5 and all(w < t for w, t in zip(written[1:], taken[2:]))
+
+
 def test_proximity_matches(spark):
     test = decontaminate.TestSet([("q", b"red green blue")])
     docs = frame(spark, [(1, "red green blue"), (2, "red very green blue"), (3, "red a b c d green blue"), (4, "red green")])
