@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -52,11 +52,40 @@ def text_list(column) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
-def without(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``ids``; rows without an id stay. The ids are
-    written out first, so that their measured size decides how they are joined."""
-    gone = stage(ids.where("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct(), name)
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+def measured_stage(df: DataFrame, name: str, **measures) -> tuple[DataFrame, dict]:
+    """``stage``, and aggregates over the rows that it writes, without a job of their own."""
+    seen = Observation()
+    out = stage(df.observe(seen, *[c.alias(k) for k, c in measures.items()]), name)
+    return out, seen.get
+
+
+def text_hash():
+    """64-bit hash of a row's text: what a decision about a text is keyed by (beside the id,
+    which different texts may share)."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, rows: DataFrame, name: str) -> DataFrame:
+    """Rows of ``docs`` whose columns differ from all ``rows``, which has the values of
+    (doc_id, text hash) or of the text hash alone, as doc_id and hash or only hash; a null
+    id equals none. ``rows`` are written first, so that their measured size decides the join."""
+    by_id = "doc_id" in rows.columns
+    gone = stage(rows.select(*([F.col("doc_id").cast("long").alias("gone_id")] if by_id else []),
+                             F.col("hash").alias("gone_hash")).distinct(), name)
+    own = fresh(docs, "own_hash")
+    hashed = docs.withColumn(own, text_hash())
+    same = hashed[own] == gone["gone_hash"]
+    if by_id:
+        same &= hashed["doc_id"].cast("long") == gone["gone_id"]
+    return hashed.join(gone, same, "left_anti").drop(own)
 
 
 def decode(raw: bytes) -> str:

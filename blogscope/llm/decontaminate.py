@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, table, text_list, texts, without, words
+from .common import stage, table, text_hash, text_list, texts, without, words
 
 WINDOW = 10
 SEGMENT_BYTES = 4 << 20  # of text in a segment (a longer document is a segment alone)
@@ -258,8 +258,11 @@ def by_blocks(docs: DataFrame, blocks, window: int) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of ``docs`` in which no window of any item occurs."""
-    return without(docs, contamination(docs, items).where("contaminated").select("doc_id"), "contaminated")
+    """Rows of ``docs`` in which no window of any item occurs. A text decides for itself, so
+    rows go by their text's hash: of two rows with one id only the contaminated one goes, and
+    rows without an id are judged, too."""
+    found = contamination(docs.select(text_hash().alias("doc_id"), "text"), items)
+    return without(docs, found.where("contaminated").select(F.col("doc_id").alias("hash")), "contaminated")
 
 
 def op2_decontamination(spark, sf_dir):

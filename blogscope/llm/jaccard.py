@@ -33,16 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, table, text_list, texts, without
+from .common import fresh, measured_stage, stage, table, text_hash, text_list, texts, without
 
 WORDS, PERCENT = 4, 85
+STAGE_WORDS, STAGE_PERCENT = 5, 80  # of the stage that removes near duplicates
 SKETCH_BITS, SKETCH_PARTS = 21, 16
 FILTER_BITS = 23
 BINS = 256  # of a set's histogram
 FLUSH = 1 << 20  # postings buffered in a task
 SLICE = 256  # sets in one prefix tree
 
-READ_SCHEMA = "doc_id long, n long, key long, bins binary, part int, counts binary"
+READ_SCHEMA = "doc_id long, hash long, n long, key long, bins binary, part int, counts binary"
 POST_SCHEMA = "bucket int, tokens binary, keys binary, sizes binary, places binary"
 GROUP_SCHEMA = "bucket int, token long, key long, n int, place int"
 
@@ -90,8 +91,8 @@ def rare_first(s: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 
 def read_rows(batches, size: int):
     """A row per document, then the task's sketch in parts."""
-    names = ["doc_id", "n", "key", "bins", "part", "counts"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    names = ["doc_id", "hash", "n", "key", "bins", "part", "counts"]
+    kinds = [*[pa.int64()] * 4, pa.binary(), pa.int32(), pa.binary()]
     counts, any_rows = np.zeros(1 << SKETCH_BITS, np.int64), False
     for b in batches:
         ns, keys, bins = [], [], []
@@ -103,11 +104,11 @@ def read_rows(batches, size: int):
             np.add.at(counts, slot(s), 1)
         m = len(ns)
         any_rows = any_rows or m > 0
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64()),
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("hash"), pa.array(ns, pa.int64()), pa.array(keys, pa.int64()),
                                           pa.array(bins, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
     if any_rows:
         for k, part in enumerate(np.split(counts, SKETCH_PARTS)):
-            row = [[None], [None], [None], [None], [k], [part.astype(np.uint32).tobytes()]]
+            row = [*[[None]] * 5, [k], [part.astype(np.uint32).tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds)], names=names)
 
 
@@ -384,18 +385,18 @@ def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         run, "probe long, key long")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ranks: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Links (a, b) among candidate ``pairs`` (probe, key). Only texts of candidates are made
+def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ranks, size: int, percent: int) -> tuple[DataFrame, int]:
+    """Links (a, b), written out, and their number, among candidate ``pairs`` (probe, key). Only texts of candidates are made
     into sets again (a bit filter picks them at the scan); a probe with many partners is
-    dealt over slices."""
+    dealt over slices. ``ranks`` is a broadcast."""
     pairs = stage(possible(pairs, classes, percent), "jaccard-possible")
     wanted = stage(pairs.select("probe").union(pairs.select("key")).distinct()
                    .join(classes.select(F.col("key").alias("probe"), "first_id"), "probe")
                    .select(F.col("probe").alias("key"), F.col("first_id").alias("doc_id")), "jaccard-wanted")
-    bits = filter_bits(wanted)
+    bits = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted))
     slotted = texts(docs, F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << FILTER_BITS)).alias("slot"))
     # both ends of a candidate's text agree on its key, so rows that repeat an id count once
-    sets = stage(slotted.where("doc_id is not null").mapInArrow(lambda batches: set_rows(batches, bits, size),
+    sets = stage(slotted.where("doc_id is not null").mapInArrow(lambda batches: set_rows(batches, bits.value, size),
                                                                 "doc_id long, key long, elements binary")
                  .join(wanted, ["key", "doc_id"]).select("key", "elements").dropDuplicates(["key"]), "jaccard-sets")
     slices = pairs.groupBy("probe").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("slices"))
@@ -404,25 +405,28 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ranks: np.ndar
     probes = (slices.join(sets.withColumnRenamed("key", "probe"), "probe")
               .select("probe", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
                       F.lit(None).cast("long").alias("key"), "elements"))
-    return (probes.unionByName(members).repartition("probe", "slice").sortWithinPartitions("probe", "slice", "key")
-            .mapInArrow(lambda batches: link_rows(batches, ranks, percent), "a long, b long"))
+    links = (probes.unionByName(members).repartition("probe", "slice").sortWithinPartitions("probe", "slice", "key")
+             .mapInArrow(lambda batches: link_rows(batches, ranks.value, percent), "a long, b long"))
+    found, seen = measured_stage(links, "jaccard-links", n=F.count("*"))
+    bits.destroy()
+    return found, seen["n"]
 
 
 # --- components --------------------------------------------------------------------
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b), the root being the smallest node that
-    is reachable. Large-star and small-star steps in turn, each written out, until nothing
-    changes; a node with many links is met by partial minima and skew-split joins only."""
-    edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-
-    def mark(e):
-        r = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % (1 << 30)).alias("h")).first()
-        return r["n"], r["h"]
-
-    before = mark(edges)
-    while before[0]:
+    is reachable; ``known`` (node, root) holds what earlier links gave and is built upon.
+    Large-star and small-star steps in turn, each written out, until nothing changes; a node
+    with many links is met by partial minima and skew-split joins only."""
+    given = links.select("a", "b")
+    if known is not None:
+        given = given.union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    mark = {"n": F.count("*"), "h": F.sum(F.xxhash64("a", "b") % (1 << 30))}
+    edges, before = measured_stage(given.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+                                   "links", **mark)
+    while before["n"]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -430,8 +434,7 @@ def components(links: DataFrame) -> DataFrame:
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(low.select("a", F.col("m").alias("b"))).where("a <> b")
                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        edges = stage(small, "links")
-        after = mark(edges)
+        edges, after = measured_stage(small, "links", **mark)
         if after == before:
             break
         before = after
@@ -439,25 +442,20 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
-def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
-
-    Documents link where 100 * intersection >= percent * union of their n-gram sets;
-    component_id is the smallest doc_id reachable. Null texts and texts without words have
-    empty sets, link with nothing and are their own component. Repeated rows and copies are
-    one class. Rows without an id take the component of their copies that have one (null
-    where none has), and neither name nor join others. An empty table gives an empty result.
-    """
+def linked_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, hash of the text, n, key, root, component_id) of every row of ``docs``: key
+    names the set (null without words), root the component of sets, component_id its
+    smallest doc_id."""
     spark = docs.sparkSession
     buckets = max(16, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    read = stage(texts(docs).mapInArrow(lambda batches: read_rows(batches, words), READ_SCHEMA), "jaccard-read")
-    rows = read.where("part is null").select("doc_id", "n", "key", "bins")
-    ranks = sketch_ranks(read)
+    read = stage(texts(docs, text_hash().alias("hash")).mapInArrow(lambda batches: read_rows(batches, words), READ_SCHEMA), "jaccard-read")
+    rows = read.where("part is null").select("doc_id", "hash", "n", "key", "bins")
+    ranks = spark.sparkContext.broadcast(sketch_ranks(read))  # 2 ** SKETCH_BITS bytes
     classes = stage(rows.where("key is not null and doc_id is not null").groupBy("key")
                     .agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bins").alias("bins")), "jaccard-classes")
 
     posted = (texts(docs).where("doc_id is not null")
-              .mapInArrow(lambda batches: posting_rows(batches, ranks, buckets, words, percent), POST_SCHEMA))
+              .mapInArrow(lambda batches: posting_rows(batches, ranks.value, buckets, words, percent), POST_SCHEMA))
     groups = stage(posted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(group_rows, GROUP_SCHEMA), "jaccard-groups")
 
     def candidates(labelled: DataFrame, pivots: bool, name: str) -> DataFrame:
@@ -465,36 +463,58 @@ def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PE
         return stage(dealt.mapInArrow(lambda batches: pair_rows(batches, percent, pivots), "probe long, key long").distinct(), name)
 
     stars = candidates(groups.withColumn("comp", F.col("key")), True, "jaccard-stars")
-    links = stage(verify(docs, stars, classes, ranks, words, percent), "jaccard-links")
-    known = components(links)
-    labelled = (groups.join(known.withColumnRenamed("node", "key"), "key", "left")
+    links, _ = verify(docs, stars, classes, ranks, words, percent)
+    joined = stage(components(links), "jaccard-components")
+    labelled = (groups.join(joined.withColumnRenamed("node", "key"), "key", "left")
                 .select("bucket", "token", "key", "n", "place", F.coalesce("root", "key").alias("comp")))
     tried = stars.select(F.least("probe", "key").alias("probe"), F.greatest("probe", "key").alias("key"))
-    rest = stage(candidates(labelled, False, "jaccard-rest").join(tried, ["probe", "key"], "left_anti"), "jaccard-untried")
-    more = verify(docs, rest, classes, ranks, words, percent)
-    joined = stage(components(links.union(more)), "jaccard-components")
+    rest = candidates(labelled, False, "jaccard-rest").join(tried, ["probe", "key"], "left_anti")
+    more, found = verify(docs, rest, classes, ranks, words, percent)
+    ranks.destroy()
+    if found:
+        joined = stage(components(more, joined), "jaccard-components")
 
     named = joined.join(classes.select(F.col("key").alias("node"), "first_id"), "node")
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     by_key = (classes.select("key", "first_id").join(joined.withColumnRenamed("node", "key"), "key", "left")
-              .join(smallest, "root", "left").select("key", F.coalesce("component_id", "first_id").alias("component_id")))
-    return (rows.join(by_key, "key", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with the smallest doc_id of each group of linked documents; rows that
-    repeat an id count as one document and the first in text order stays. Rows without an
-    id stay."""
-    found = stage(similarity_components(docs).where("doc_id is not null"), "jaccard-found")
-    left = without(docs, found.where("component_id <> doc_id").select("doc_id"), "jaccard-removed")
-    again = stage(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "jaccard-repeated")
-    if again.isEmpty():
+              .join(smallest, "root", "left").select("key", F.coalesce("root", "key").alias("root"),
+                                                     F.coalesce("component_id", "first_id").alias("component_id")))
+    return (rows.drop("bins").join(by_key, "key", "left")
+            .select("doc_id", "hash", "n", "key", "root", F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def similarity_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
+
+    Documents link where 100 * intersection >= percent * union of their n-gram sets;
+    component_id is the smallest doc_id reachable. Null texts and texts without words have
+    empty sets, link with nothing and are their own component. Repeated rows and copies are
+    one class. Rows without an id take the component of their copies that have one (null
+    where none has), and neither name nor join others. An empty table gives an empty result.
+    """
+    return linked_rows(docs, words, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = STAGE_WORDS, percent: int = STAGE_PERCENT) -> DataFrame:
+    """Rows of ``docs`` without the near duplicates: of each group of linked documents the row
+    with the smallest doc_id stays (of several texts under that id the one with the smallest
+    hash). Documents are told apart by id and text: where an id repeats with different texts,
+    each text is judged for itself, and rows that repeat id and text count as one, of which
+    one stays. Rows without an id stay, and so do empty texts under different ids."""
+    found = stage(linked_rows(docs, words, percent).where("doc_id is not null").select("doc_id", "hash", "root"), "jaccard-found")
+    own = F.struct("doc_id", "hash")
+    first = found.where("root is not null").groupBy("root").agg(F.min(own).alias("first"))
+    copies = found.where("root is not null").join(first, "root").where(own != F.col("first")).select("doc_id", "hash")
+    left = without(docs, copies, "jaccard-removed")
+    again, seen = measured_stage(found.groupBy("doc_id", "hash").count().where("count > 1").select("doc_id", "hash"),
+                                 "jaccard-repeated", n=F.count("*"))
+    if not seen["n"]:
         return left
-    first = Window.partitionBy("doc_id").orderBy("text")
-    once = (left.join(again, "doc_id", "left_semi").withColumn("__n", F.row_number().over(first))
-            .where("__n = 1").drop("__n").select(*docs.columns))
-    return without(left, again, "jaccard-again").unionByName(once)
+    h, n = fresh(docs, "own_hash"), fresh(docs, "own_number")
+    hashed = left.withColumn(h, text_hash())
+    same = (hashed["doc_id"].cast("long") == again["doc_id"]) & (hashed[h] == again["hash"])
+    once = hashed.join(again, same, "left_semi").withColumn(n, F.row_number().over(Window.partitionBy("doc_id", h).orderBy("text")))
+    return without(left, again, "jaccard-again").unionByName(once.where(F.col(n) == 1).select(*docs.columns))
 
 
 def op9_similarity_components(spark, sf_dir):

@@ -116,14 +116,15 @@ class ToxicModel:
             part[first, col] = kept
         return act[at, np.tile(col, 2)], at
 
-    def warm_start(self, coded, y: np.ndarray) -> None:
-        """First embedding direction: the log-odds of a bucket between the two labels."""
-        hw, hp, offsets = coded
-        doc = np.repeat(np.arange(len(y)), np.diff(offsets))
-        for at in (hw, hp):
-            both = np.unique(np.stack([doc, at]), axis=1)
-            seen = [np.bincount(both[1][y[both[0]] == v], minlength=(1 << BITS) + 1) for v in (0, 1)]
-            rate = [(s + 0.5) / (max(int((y == v).sum()), 1) + 1.0) for v, s in enumerate(seen)]
+    def warm_start(self, coded: list, y: np.ndarray) -> None:
+        """First embedding direction: the log-odds of a bucket between the two labels; one
+        text's buckets at a time."""
+        rows = [int((y == v).sum()) for v in (0, 1)]
+        for side in (0, 1):
+            seen = np.zeros((2, (1 << BITS) + 1))
+            for codes, label in zip(coded, y):
+                seen[label, np.unique(codes[side])] += 1
+            rate = [(s + 0.5) / (max(n, 1) + 1.0) for s, n in zip(seen, rows)]
             total = seen[0] + seen[1]
             self.emb[:, 0] += np.clip(0.25 * np.log(rate[1] / rate[0]) * total / (total + 10.0), -1, 1)
         self.emb[-1] = 0
@@ -136,10 +137,8 @@ class ToxicModel:
             return self.fold()
         y = np.array([lab for _, lab in sample], np.int64)
         cut = max(1, len(sample) * 4 // 5)
-        coded = [encode([t]) for t, _ in sample]
-        joined = (np.concatenate([c[0] for c in coded[:cut]]), np.concatenate([c[1] for c in coded[:cut]]),
-                  np.concatenate([[0], np.cumsum([len(c[0]) for c in coded[:cut]])]))
-        self.warm_start(joined, y[:cut])
+        coded = [tuple(c.astype(np.int32) for c in encode([t])) for t, _ in sample]
+        self.warm_start(coded[:cut], y[:cut])
         rng = np.random.default_rng(seed)
         state = {k: [np.zeros_like(getattr(self, k)) for _ in range(2)] for k in ("emb", "conv", "bias", "out", "c")}
         t = 0

@@ -230,12 +230,12 @@ def test_tagger_gradient_and_windows():
 # --- 9: n-gram Jaccard join ---------------------------------------------------------
 
 
-def brute_components(rows, percent=85):
+def brute_components(rows, size=4, percent=85):
     sets = {}
     for i, t in rows:
         w = re.split(r"[\x20\x09-\x0D]+", (t or "").translate({k: k + 32 for k in range(65, 91)}))
         w = [x for x in w if x]
-        sets.setdefault(i, set()).update([tuple(w[k:k + 4]) for k in range(max(1, len(w) - 3))] if w else [])
+        sets.setdefault(i, set()).update([tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))] if w else [])
     ids = [i for i in sets if i is not None]
     root = {i: i for i in ids}
 
@@ -277,9 +277,25 @@ def test_similarity_components_equal_brute_force(spark, rows):
     for r in got.collect():
         if r["doc_id"] is not None:
             assert (r["n_shingles"], r["component_id"]) == want[r["doc_id"]]
-    kept = jaccard.keep_one(frame(spark, rows))
-    assert kept.columns == frame(spark, rows).columns
-    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted({c for _, c in want.values()})
+    for words, percent in ((4, 85), (5, 80)):
+        want = brute_components(rows, words, percent)
+        kept = jaccard.keep_one(frame(spark, rows), words, percent)
+        assert kept.columns == frame(spark, rows).columns
+        assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted({c for _, c in want.values()})
+
+
+def test_removals_tell_texts_apart_that_share_an_id(spark):
+    fine, other, bench = sentence(30), " ".join(f"q{k}" for k in range(40)), " ".join(f"b{k}" for k in range(12))
+    rows = [(1, fine), (2, fine), (2, other), (2, other), (3, bench), (3, "clean " + other), (None, fine), (None, bench), (4, ""), (5, None)]
+    docs = frame(spark, rows).withColumn("own_hash", F.lit(1)).withColumn("own_number", F.lit(2)).withColumn("gone_id", F.lit(3))
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(
+        [(1, fine), (2, other), (3, bench), (None, fine), (None, bench), (4, ""), (5, None)], key=repr)
+    items = spark.createDataFrame([(1, bench)], "item_id long, text string")
+    left = decontaminate.drop_contaminated(docs, items)
+    assert left.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=repr) == sorted([r for r in rows if r[1] != bench], key=repr)
 
 
 def test_similarity_of_an_empty_table(empty):
