@@ -9,8 +9,6 @@ language has rows of its own, a fifth of which sets the softmax temperature.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,7 +24,6 @@ SAMPLE_BYTES = 16 << 20
 QUOTA = 100  # texts that a language has in the sample before others fill it up
 EPOCHS = 2
 UNKNOWN = "und"
-LETTER = r"[^\W\d_]"
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
@@ -107,7 +104,7 @@ class LanguageModel:
         return self
 
     def predict(self, text: str) -> tuple[str, float]:
-        if not self.languages or not re.search(LETTER, text):
+        if not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         at, x = vector(text, self.idf)
         z = (x @ self.w[at] + self.w[-1]) / self.temperature

@@ -433,10 +433,40 @@ def test_attention_model_is_a_distribution_and_its_windows_agree():
     m.finish(rng.integers(0, 9, (lm.CLASSES + 1, 60)).astype(float))
     for k in (0, 5, lm.CLASSES):
         assert np.bincount(m.class_of, np.exp(m.logp_id[k]), lm.CLASSES)[np.unique(m.class_of)] == pytest.approx(1.0, abs=1e-4)
-    starts = [np.arange(len(p)) for p in pieces]
-    together = m.score(pieces, starts)
-    assert together == pytest.approx([m.score([p], [s])[0] for p, s in zip(pieces, starts)], rel=1e-4)
-    assert together == pytest.approx(m.score(pieces, starts, group=3), rel=1e-4)
+    sizes, shares = [np.ones(len(p) + 1, int) for p in pieces], [np.zeros(len(p) + 1) for p in pieces]
+    together = m.score(pieces, sizes, shares, 0.1)
+    assert together == pytest.approx([m.score([p], [s], [c], 0.1)[0] for p, s, c in zip(pieces, sizes, shares)], rel=1e-4)
+    assert together == pytest.approx(m.score(pieces, sizes, shares, 0.1, group=3), rel=1e-4)
+
+
+def test_probabilities_of_all_next_ids_sum_to_one():
+    rng = np.random.default_rng(1)
+    begins = np.arange(60) % 3 == 0
+    pieces = [rng.integers(3, 60, 70) for _ in range(40)]
+    m = lm.AttentionModel(60, begins)
+    m.fit(pieces, epochs=2)
+    assert not set(m.class_of[m.begins]) & set(m.class_of[~m.begins])
+    m.finish(rng.integers(0, 9, (lm.CLASSES + 1, 60)).astype(float))
+    for at in (0, 1, 15, 16, 17, 40, 69):
+        before = pieces[0][:at]
+        others = [i for i in range(60) if i != lm.END]
+        rows, offsets = m.id_scores([np.append(before, i) for i in others] + [before])
+        flat = rows.reshape(-1)
+        total = sum(math.exp(flat[o * lm.BLOCK + at]) for o in offsets[:-1])
+        assert total == pytest.approx(1.0, abs=1e-4)
+
+
+def test_word_scores_mix_ids_and_shares():
+    rng = np.random.default_rng(2)
+    m = lm.AttentionModel(60, np.arange(60) % 2 == 0)
+    m.finish(rng.integers(0, 9, (lm.CLASSES + 1, 60)).astype(float))
+    pieces, sizes = np.array([4, 5, 7, 8, 10, 11]), np.array([3, 0, 1, 2, 1])
+    shares = np.array([0.1, 0.0, 0.02, 0.0, 0.3])
+    rows, _ = m.id_scores([pieces])
+    ids = rows.reshape(-1)[:7].astype(float)
+    parts = [ids[:3].sum(), math.log(0.01), ids[3], ids[4:6].sum(), ids[6]]
+    want = sum(math.log10(lm.MIX * c + (1 - lm.MIX) * math.exp(p)) for c, p in zip(shares, parts))
+    assert m.score([pieces], [sizes], [shares], 0.01)[0] == pytest.approx(want)
 
 
 # --- 4, 5, 7: classifiers -----------------------------------------------------------
@@ -464,6 +494,28 @@ def test_language(spark, docs, empty):
     assert j.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("double"))).first()[0] > 0.98
 
 
+def test_a_text_without_letters_has_no_language():
+    m = langid.LanguageModel(["en", "fr"], np.ones(1 << langid.BITS))
+    for text in ("", " \n", "½ ② ² Ⅷ 12 _!", "🙂 ٣"):
+        assert m.predict(text) == ("und", 0.0)
+    for text in ("a", "12 é", "日", "ª"):
+        assert m.predict(text)[0] in ("en", "fr")
+
+
+def test_language_scores_equal_a_naive_softmax():
+    """One text's score from the weights, one n-gram at a time."""
+    rng = np.random.default_rng(4)
+    m = langid.LanguageModel(["en", "fr", "de"], rng.uniform(1, 3, 1 << langid.BITS))
+    m.w = rng.standard_normal(m.w.shape)
+    m.temperature = 1.7
+    for text in ("The river", "a", "Été, l'été 日本"):
+        at, x = langid.vector(text, m.idf)
+        z = [m.w[-1][k] + sum(float(v) * m.w[int(b)][k] for b, v in zip(at, x)) for k in range(3)]
+        e = [math.exp(v / m.temperature) for v in z]
+        best = max(range(3), key=e.__getitem__)
+        assert m.predict(text) == (m.languages[best], pytest.approx(e[best] / sum(e)))
+
+
 def test_rare_languages_are_learned_from_a_bounded_sample(spark):
     rng = random.Random(4)
     words = {"en": VOCAB, "es": ["uno", "dos", "casa", "perro", "jugo"], "xx": ["жук", "дом", "лес", "мир"]}
