@@ -1,17 +1,15 @@
 """Topic models at corpus level.
 
 The original fits a tiny model per blog inside a Python loop. Here one model is
-fitted over the semantic segments of the whole corpus with ``pyspark.ml``
-(distributed online LDA on a bounded vocabulary), every blog gets its topic
-mixture, and the per-topic steps (re-rank, quality, labels) and per-blog steps
-(threshold, de-duplication) are column expressions.
+fitted over the semantic segments of the whole corpus (``topic_factors``), every
+blog gets its topics, and the per-topic steps (re-rank, quality, labels) and
+per-blog steps (threshold, de-duplication) are column expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,36 +56,6 @@ def segments_of(blogs: DataFrame, min_topic_size: int = 5, window: int = 30, ste
                 .select("doc_id", "seg_id", terms.topic_tokens_of_clean(tx.clean_content(F.col("_t"))).alias("tokens")))
 
 
-# Terms of the corpus model at most: the k x terms topic matrix lives on the driver.
-CORPUS_VOCABULARY = 1 << 18
-
-
-def fit_lda(segments: DataFrame, k: int = 6, max_iter: int = 20, vocab_size: int = CORPUS_VOCABULARY,
-            min_df: float = 2.0, max_df: float = 0.85, seed: int = 42):
-    """M1: term counts over all terms with df >= ``min_df`` and <= ``max_df`` (the most
-    frequent ``vocab_size`` of them: the topic matrix is the model's size), online LDA with
-    alpha 0.1, eta 0.01, learning offset 50. Every mini-batch is the whole corpus
-    (``subsamplingRate`` 1), so ``max_iter`` iterations are as many full passes.
-    Returns (count model, lda model, features)."""
-    cv = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_size,
-                         minDF=min_df, maxDF=max_df)
-    cv_model = cv.fit(segments)
-    feats = cv_model.transform(segments).where(F.size("tokens") > 0)
-    lda = LDA(k=k, maxIter=max_iter, optimizer="online", docConcentration=[0.1] * k,
-              topicConcentration=0.01, learningOffset=50.0, subsamplingRate=1.0, seed=seed, featuresCol="features")
-    return cv_model, lda.fit(feats), feats
-
-
-def topic_words(spark, cv_model, lda_model, n: int = 20) -> DataFrame:
-    """M2: the ``n`` heaviest words per topic, (topic_id, words, weights).
-    The vocabulary is bounded by ``vocab_size`` (1000), so it travels as a literal."""
-    vocab = F.array(*[F.lit(w) for w in cv_model.vocabulary])
-    d = lda_model.describeTopics(n)
-    return d.select(F.col("topic").alias("topic_id"),
-                    F.transform("termIndices", lambda i: F.get(vocab, i)).alias("words"),
-                    F.col("termWeights").alias("weights"))
-
-
 def cosine(u: Column, v: Column) -> Column:
     """M9: cosine similarity of two equally long arrays."""
     dot = F.aggregate(F.zip_with(u, v, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
@@ -157,17 +125,6 @@ def describe_topics(reranked: DataFrame, num_words: int = 10) -> DataFrame:
          F.size("coherence_scores")).alias("semantic_coherence"))
 
 
-def blog_mixture(lda_model, feats: DataFrame) -> DataFrame:
-    """M3: a blog's topic mixture = mean of its segments' topic distributions, and the
-    topics that lead one of its segments."""
-    dist = lda_model.transform(feats).select("doc_id", vector_to_array("topicDistribution").alias("d"))
-    k = lda_model.getK()
-    lead = F.array_position("d", F.array_max("d")).cast("int") - 1
-    return dist.groupBy("doc_id").agg(*[F.avg(F.get("d", i)).alias(f"t{i}") for i in range(k)],
-                                      F.array_sort(F.collect_set(lead)).alias("leading")).select(
-        "doc_id", F.array(*[F.col(f"t{i}") for i in range(k)]).alias("mixture"), "leading")
-
-
 def filter_meaningful(candidates: Column, max_topics: int = 3, overlap: float = 0.6) -> Column:
     """W11 + W10 + U2 over a blog's candidate topics (ARRAY<STRUCT<topic_quality,
     words, ...>>, bounded by k): adaptive threshold (max > 0.3 -> 0.7 max, else

@@ -6,16 +6,18 @@ rounding match its SQL twin in ``oracle_sql.py``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
-from ..operators import language, phrases, segments, taxonomy, terms, topics
+from ..operators import language, phrases, segments, taxonomy, terms, topic_factors, topics
 from ..sources import blogfiles, testdata
 from ..sources.tables import (attach_metadata, decode_json_map, encode_json, first_rows, read_table, require_columns,
                               skip_processed, union_results)
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
 from . import lda_topics
 from . import segment_topics as st
 
@@ -229,6 +231,16 @@ def e1_top_term_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("demographic", "file_id", F.col("sent_id").cast("long").alias("sent_id"), "text")
 
 
+def m1_incremental_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 x I1: the 20 likeliest words of every topic after the blogs were learned in four
+    mini-batches (rows only)."""
+    segs = lda_topics.semantic_segments(st.english_blogs(spark, sf_dir))
+    model = lda_topics.learn_in_batches(segs, f"{checkpoint_dir(spark).rstrip('/')}/topic-state-{uuid.uuid4().hex}")
+    return topic_factors.top_words(model).select("topic_id", F.array_join("words", " ").alias("words_text"),
+                                                 F.lit(model.segments).alias("segments"))
+
+
+QUERIES["m1_incremental_topics"] = m1_incremental_topics
 QUERIES["w6_semantic_segments"] = w6_semantic_segments
 QUERIES["e1_top_term_sentences"] = e1_top_term_sentences
 

@@ -12,13 +12,10 @@ per-blog fits by design (one shared topic space).
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import StringIndexer
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import phrases, segments, taxonomy, terms, topics
+from ..operators import phrases, segments, taxonomy, terms, topic_factors, topics
 from ..session import materialize
 from ..sources import testdata
 from ..sources.tables import read_table
@@ -35,10 +32,10 @@ def semantic_segments(blogs: DataFrame) -> DataFrame:
 
 def weighted_terms(segs: DataFrame) -> DataFrame:
     """T4-T7 at corpus scope: (doc_id, seg_id, term, cnt, weight), phrases merged first. All
-    terms with the document-frequency bounds, up to the size of the topic matrix."""
+    terms within the document-frequency bounds, however many."""
     phrased = materialize(phrases.detect_phrases(segs, SEGMENT_KEY, []).select(*SEGMENT_KEY, F.col("phrased").alias("tokens")),
                           "phrased-segments")
-    return materialize(terms.segment_tfidf(phrased, SEGMENT_KEY, [], max_features=topics.CORPUS_VOCABULARY), "weighted-terms")
+    return materialize(terms.segment_tfidf(phrased, SEGMENT_KEY, [], max_features=None), "weighted-terms")
 
 
 def choose_topic_count(segs: DataFrame, vectors) -> int:
@@ -50,28 +47,31 @@ def choose_topic_count(segs: DataFrame, vectors) -> int:
         return topics.choose_k(segs.limit(0))[0]
     means = hit.groupBy(*SEGMENT_KEY).agg(*[F.avg(F.get("vec", i)).alias(f"v{i}") for i in range(dims["n"])])
     vecs = means.select(*SEGMENT_KEY, F.array(*[F.col(f"v{i}") for i in range(dims["n"])]).alias("v"))
-    return topics.choose_k(materialize(topics.as_vectors(vecs, "v"), "segment-vectors"), seeds=(42,))[0]
+    return topics.choose_k(materialize(topics.as_vectors(vecs, "v"), "segment-vectors"))[0]
 
 
 def fit(spark: SparkSession, segs: DataFrame, vectors, max_iter: int = 20, words: int = 20, seed: int = 42):
-    """M1-M4: (topic-word table, blog topics (doc_id, topic_id), k). Every mini-batch is the
-    whole corpus, so ``max_iter`` iterations are as many passes. A blog's topics are those
-    that lead one of its segments."""
+    """M1-M4: (topic-word table, blog topics (doc_id, topic_id), k) of a model with a distributed
+    topic-word table and ``max_iter`` passes over the corpus. A blog's topics are those that
+    lead one of its segments."""
     weighted = weighted_terms(segs)
-    indexer = StringIndexer(inputCol="term", outputCol="idx", stringOrderType="frequencyDesc").fit(weighted)
-    size = len(indexer.labels)
-    to_vector = F.udf(lambda pairs: Vectors.sparse(size, [int(p[0]) for p in pairs], [p[1] for p in pairs]), VectorUDT())
-    feats = materialize(indexer.transform(weighted).groupBy(*SEGMENT_KEY).agg(
-        F.sort_array(F.collect_list(F.struct("idx", "weight"))).alias("p"))
-        .select("doc_id", "seg_id", to_vector("p").alias("features")), "features")
     k = choose_topic_count(segs, vectors)
-    model = LDA(k=k, maxIter=max_iter, optimizer="online", docConcentration=[0.1] * k, topicConcentration=0.01,
-                learningOffset=50.0, subsamplingRate=1.0, seed=seed, featuresCol="features").fit(feats)
-    described = model.describeTopics(words).collect()  # k rows of ``words`` terms
-    table = spark.createDataFrame([(r["topic"], [indexer.labels[i] for i in r["termIndices"]], list(r["termWeights"]))
-                                   for r in described], "topic_id int, words array<string>, weights array<double>")
-    mixture = topics.blog_mixture(model, feats)
-    return table, mixture.select("doc_id", F.explode("leading").alias("topic_id")), k
+    model = topic_factors.fit(weighted, SEGMENT_KEY, k, max_iter, seed)
+    table = materialize(topic_factors.top_words(model, words), "topic-words")
+    mixtures = topic_factors.segment_mixtures(weighted, model, SEGMENT_KEY)
+    leading = F.array_position("mixture", F.array_max("mixture")).cast("int") - 1
+    return table, mixtures.select("doc_id", leading.alias("topic_id")).distinct(), k
+
+
+def learn_in_batches(segs: DataFrame, state_dir: str, batches: int = 4, k: int = 6) -> topic_factors.Factors:
+    """M1 x I1 on a corpus at hand: its blogs dealt to mini-batches by a hash of the id and
+    learned one after the other, as ``incremental_topic_model`` does with arriving files."""
+    counts = materialize(terms.exploded_counts(segs, SEGMENT_KEY, "tokens"), "segment-counts")
+    model = None
+    for n in range(batches):
+        own = counts.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == n)
+        model = topic_factors.learn_batch(own.withColumn("weight", F.col("cnt").cast("double")), SEGMENT_KEY, state_dir, n, k)
+    return model
 
 
 def describe(topic_words: DataFrame, vectors) -> DataFrame:

@@ -7,6 +7,7 @@
   with ``trigger(availableNow=True)``: each run processes only files it has not
   seen (the checkpoint records them) and appends results; re-running adds nothing.
 * ``incremental_blog_topics``: the same for the topic model, from a fixed topic table.
+* ``incremental_topic_model``: the model itself learns file by file, its state durable.
 * ``resume_batch``: I1(a), the same contract for a plain batch job: skip ids that
   already have output (left anti join), append the rest.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import terms, topics
+from ..operators import terms, topic_factors, topics
 from ..functions import text as tx
 from ..sources.tables import skip_processed, stage_exists
 
@@ -94,6 +95,25 @@ def incremental_blog_topics(spark: SparkSession, source_dir: str, schema, descri
     return q
 
 
+def incremental_topic_model(spark: SparkSession, source_dir: str, schema, state_dir: str, checkpoint: str, k: int = 6,
+                            files_per_batch: int = 1):
+    """M1 x I1: the topic model learns from the files of ``source_dir`` not processed before,
+    ``files_per_batch`` to a mini-batch: blogs become segments (W6, W7), their term counts update
+    the factors in ``state_dir`` (``topic_factors.learn_batch``). A micro-batch that Spark runs
+    again finds its state complete, or makes it anew from the one before."""
+    key = ["doc_id", "seg_id"]
+
+    def learn(batch: DataFrame, number: int) -> None:
+        segs = topics.semantic_segments(batch, "doc_id", "text")
+        counts = terms.exploded_counts(segs, key, "tokens").withColumn("weight", F.col("cnt").cast("double"))
+        topic_factors.learn_batch(counts, key, state_dir, number, k)
+
+    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source_dir)
+         .writeStream.foreachBatch(learn).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 def resume_batch(spark: SparkSession, todo: DataFrame, out_dir: str, key: str = "doc_id") -> DataFrame:
     """I1(a) + J2 + U1: compute topics only for ids without output yet, append them,
     and return previous + new results."""

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-MODEL_QUERIES = {"m1_lda_topics", "w10_blog_topics", "x3_lda_taxonomy", "m4_choose_k",
+MODEL_QUERIES = {"m1_lda_topics", "m1_incremental_topics", "w10_blog_topics", "x3_lda_taxonomy", "m4_choose_k",
                  "m5_word_vectors", "p2b_language_bayes"}
 
 
