@@ -160,11 +160,12 @@ def segment_tfidf(segs: DataFrame, key: list[str], scope: list[str], tokens: str
     empty) with n-grams 1-3: df >= ``min_df`` and <= ``max_df`` x segments (falling back to
     df >= 1 when no term survives), the ``max_features`` terms with the highest total count
     (ties by term; None keeps all), tf = 1 + ln(count), idf = ln((1 + n) / (1 + df)) + 1, L2
-    per segment. Output (key..., term, cnt, weight). Shuffles: (segment, term) counts and
-    (scope, term) document frequencies, both partially aggregated. A corpus has no window
+    per segment. ``segs`` has one row per key. Output (key..., term, cnt, weight). Terms are
+    counted inside their row; what shuffles is (scope, term) document frequencies, partially
+    aggregated, and the terms that are kept. A corpus has no window
     over one partition: its counts are scalar aggregates and its cut an ordered limit."""
-    grams = segs.select(*key, F.explode(ngrams(F.col(tokens), *ngram)).alias("term"))
-    counts = grams.groupBy(*key, "term").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = exploded_counts(segs.select(*key, ngrams(F.col(tokens), *ngram).alias("grams")), key, "grams").withColumn(
+        "cnt", F.col("cnt").cast("long"))
     dfs = counts.groupBy(*scope, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("total"))
     if scope:
         j = dfs.join(segs.groupBy(*scope).agg(F.count(F.lit(1)).alias("n")), scope)

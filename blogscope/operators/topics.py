@@ -1,4 +1,4 @@
-"""Topic models at corpus level.
+"""Topic models at corpus level.
 
 The original fits a tiny model per blog inside a Python loop. Here one model is
 fitted over the semantic segments of the whole corpus (``topic_factors``), every
@@ -8,9 +8,7 @@ per-blog steps (threshold, de-duplication) are column expressions.
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -170,27 +168,6 @@ def blog_summary(topics: DataFrame) -> DataFrame:
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(tx.label_parts(F.col("label")))))).alias("topic_labels"))
 
 
-def choose_k(vectors: DataFrame, features: str = "features", k_min: int = 2, k_max: int = 6,
-             seeds=(42, 43, 44), default: int = 3) -> tuple[int, list]:
-    """M4: k in 2..min(n-1, k_max) with the best silhouette of KMeans (best of a few
-    seeds, since Spark runs one initialisation per fit); ``default`` if none."""
-    n = vectors.count()
-    top = min(n - 1, k_max)
-    ev = ClusteringEvaluator(featuresCol=features)
-    best_k, best_s, scores = default, -1.0, []
-    for k in range(k_min, top + 1):
-        s_k = max(ev.evaluate(KMeans(k=k, seed=s, featuresCol=features).fit(vectors).transform(vectors))
-                  for s in seeds)
-        scores.append((k, float(s_k)))
-        if s_k > best_s:
-            best_k, best_s = k, s_k
-    return best_k, scores
-
-
-def as_vectors(df: DataFrame, array_col: str, out: str = "features") -> DataFrame:
-    return df.withColumn(out, array_to_vector(F.col(array_col).cast("array<double>")))
-
-
 def word_vectors(segments: DataFrame, tokens: str = "tokens", size: int = 64, min_count: int = 2,
                  seed: int = 42, max_iter: int = 1) -> DataFrame:
     """M5: word vectors trained on the corpus (pyspark.ml Word2Vec) as a (word, vec)

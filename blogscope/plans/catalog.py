@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
-from ..operators import language, phrases, segments, taxonomy, terms, topic_factors, topics
+from ..operators import language, phrases, segments, split_tree, taxonomy, terms, topic_factors, topics
 from ..sources import blogfiles, testdata
 from ..sources.tables import (attach_metadata, decode_json_map, encode_json, first_rows, read_table, require_columns,
                               skip_processed, union_results)
@@ -170,9 +170,9 @@ def x3_lda_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def m4_choose_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: silhouette per k of KMeans on the embedding vectors."""
-    emb = topics.as_vectors(read_table(spark, sf_dir, "embeddings"), "embedding")
-    best, scores = topics.choose_k(emb)
+    """M4: silhouette of every stage of the splitting tree over the embedding vectors."""
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("embedding").cast("array<double>").alias("v"))
+    best, scores = split_tree.choose_k(emb)
     return spark.createDataFrame([(k, s, k == best) for k, s in scores], "k INT, silhouette DOUBLE, chosen BOOLEAN")
 
 

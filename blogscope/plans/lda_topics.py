@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import phrases, segments, taxonomy, terms, topic_factors, topics
+from ..operators import phrases, segments, split_tree, taxonomy, terms, topic_factors, topics
 from ..session import materialize
 from ..sources import testdata
 from ..sources.tables import read_table
@@ -44,10 +44,10 @@ def choose_topic_count(segs: DataFrame, vectors) -> int:
     hit = taxonomy.lookup_vectors(words, vectors)
     dims = hit.select(F.size("vec").alias("n")).first()
     if dims is None:
-        return topics.choose_k(segs.limit(0))[0]
+        return split_tree.choose_k(segs.limit(0).select(F.array(F.lit(0.0)).alias("v")))[0]
     means = hit.groupBy(*SEGMENT_KEY).agg(*[F.avg(F.get("vec", i)).alias(f"v{i}") for i in range(dims["n"])])
     vecs = means.select(*SEGMENT_KEY, F.array(*[F.col(f"v{i}") for i in range(dims["n"])]).alias("v"))
-    return topics.choose_k(materialize(topics.as_vectors(vecs, "v"), "segment-vectors"))[0]
+    return split_tree.choose_k(materialize(vecs.select("v"), "segment-vectors"))[0]
 
 
 def fit(spark: SparkSession, segs: DataFrame, vectors, max_iter: int = 20, words: int = 20, seed: int = 42):
