@@ -69,8 +69,8 @@ def set_key(s: np.ndarray) -> int:
 
 
 def histogram(s: np.ndarray) -> bytes:
-    """How many elements fall into each of ``BINS`` bins."""
-    return np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.uint32).tobytes()
+    """How many elements fall into each of ``BINS`` bins, a byte each (255: that or more)."""
+    return np.minimum(np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
 
 def slot(s: np.ndarray) -> np.ndarray:
@@ -370,13 +370,15 @@ def filter_bits(ids: DataFrame) -> np.ndarray:
 
 
 def possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (probe, key) whose histograms allow the overlap that their sizes need."""
+    """Candidate pairs (probe, key) whose histograms allow the overlap that their sizes need; a
+    bin that is full on both sides allows any."""
 
     def run(batches):
         for b in batches:
             n = [b.column(c).to_numpy() for c in ("n1", "n2")]
-            h = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(-1, BINS) for c in ("h1", "h2")]
-            fine = np.minimum(h[0], h[1]).sum(axis=1) >= least_overlap(n[0], n[1], percent)
+            h = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in ("h1", "h2")]
+            both = np.minimum(h[0], h[1])
+            fine = (both.sum(axis=1, dtype=np.int64) >= least_overlap(n[0], n[1], percent)) | (both == 255).any(axis=1)
             yield b.select(["probe", "key"]).filter(pa.array(fine, pa.bool_()))
 
     first = classes.select(F.col("key").alias("probe"), F.col("n").alias("n1"), F.col("bins").alias("h1"))
