@@ -43,8 +43,11 @@ def parse_taxonomy_tsv(lines: DataFrame, text_col: str = "value") -> DataFrame:
     Two header lines skipped; rows with < 4 fields dropped; field 4 is the major
     and field 3 the subtopic; empties and self-named headers dropped; names
     lower-cased, spaces to ``_``, ``&`` to ``and``; a subtopic kept once per major,
-    at its first position. ``lines`` must carry a line number column ``line_no``.
+    at its first position. ``lines`` must carry a line number column ``line_no``. A file of
+    fewer than three lines holds no taxonomy: ValueError.
     """
+    if lines.limit(3).count() < 3:
+        raise ValueError("a taxonomy file has two header lines and at least one row")
     f = F.split(F.col(text_col), "\t")
     rows = (lines.where(F.col("line_no") >= 2)
                  .select("line_no", f.alias("f"))

@@ -420,6 +420,14 @@ def j2_unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skip_processed(read_table(spark, sf_dir, "customer"), done, "c_custkey").select("c_custkey", "c_mktsegment")
 
 
+def j2_no_urgent_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + A7 with rows left: customers without an urgent order yet (a customer repeats in
+    ``orders``, and orders without a customer skip nobody)."""
+    o = read_table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    return skip_processed(read_table(spark, sf_dir, "customer"), o.select(F.col("o_custkey").alias("c_custkey")),
+                          "c_custkey").select("c_custkey", "c_mktsegment")
+
+
 def u1_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers by column name, missing columns as NULL."""
     c = read_table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
@@ -466,6 +474,7 @@ QUERIES.update({
     "s8_taxonomy_tsv": s8_taxonomy_tsv,
     "x1_subtopic_vectors": x1_subtopic_vectors,
     "j2_unprocessed": j2_unprocessed,
+    "j2_no_urgent_order": j2_no_urgent_order,
     "u1_union": u1_union,
     "p14_first_orders": p14_first_orders,
     "p4_industries": p4_industries,

@@ -671,6 +671,8 @@ SELECT replace(industry, 'indUnknown', 'unknown') AS industry, count(*) AS blogs
 
 SMALL_SQL = {
     "j2_unprocessed": "SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "j2_no_urgent_order": """SELECT c_custkey, c_mktsegment FROM customer
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""",
     "u1_union": """SELECT c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance FROM customer
 UNION ALL SELECT s_name, NULL, s_acctbal FROM supplier""",
     "p14_first_orders": "SELECT o_orderdate, o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 50",

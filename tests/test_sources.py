@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from blogscope.operators import phrases, taxonomy
 from blogscope.plans import segment_topics as st
-from blogscope.sources import tables
+from blogscope.sources import blogfiles, tables
 
 
 def test_taxonomy_tsv(spark):
@@ -138,3 +138,20 @@ def test_word_vector_file_and_second_lookup(spark, tmp):
     assert {r["word"] for r in taxonomy.lookup_vectors(df, vecs).collect()} == {"river"}
     got = taxonomy.lookup_vectors(df, vecs, original_col="original")
     assert got.columns == ["word", "original", "vec"] and {r["word"] for r in got.collect()} == {"river", "paris"}
+
+
+def test_a_taxonomy_file_needs_rows(spark):
+    lines = spark.createDataFrame([(0, "a\tb"), (1, "c\td")], "line_no int, value string")
+    with pytest.raises(ValueError):
+        taxonomy.parse_taxonomy_tsv(lines)
+
+
+def test_files_of_a_folder_are_listed(spark, tmp):
+    for name, body in (("12.male.25.Arts.Leo.xml", b"<Blog><date>1,may,2004</date><post>fine</post></Blog>"),
+                       ("13.female.17.indUnk.Virgo.xml", b"\xff\xfe broken")):
+        with open(f"{tmp}/{name}", "wb") as f:
+            f.write(body)
+    got = blogfiles.list_files(spark, tmp)
+    assert got.count() == 2
+    bodies = got.select("path", F.col("content").cast("string").alias("body"))
+    assert [r["content"] for r in blogfiles.posts_from_text(bodies, "path", "body").collect()] == ["fine"]
