@@ -122,3 +122,17 @@ MONTH_NAMES = {
     "es": ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio",
            "agosto", "septiembre", "octubre", "noviembre", "diciembre"],
 }
+
+# FIXED VALUES: plural endings and what they become, longest first when applied; None protects
+# the ending.
+NOUN_SUFFIX_RULES = {
+    "s": "", "ses": "s", "xes": "x", "zes": "z", "ches": "ch", "shes": "sh", "men": "man", "ies": "y", "ves": "f",
+    "ss": None, "us": None, "is": None,
+}
+
+# FIXED VALUES: irregular plurals.
+IRREGULAR_PLURALS = {
+    "children": "child", "feet": "foot", "teeth": "tooth", "geese": "goose", "mice": "mouse", "lice": "louse",
+    "oxen": "ox", "wives": "wife", "lives": "life", "knives": "knife", "criteria": "criterion",
+    "phenomena": "phenomenon", "indices": "index", "analyses": "analysis", "crises": "crisis", "theses": "thesis",
+}

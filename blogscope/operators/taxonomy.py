@@ -8,12 +8,14 @@ Shapes:
 
 The taxonomy is a bounded dimension (tens of majors, a few hundred subtopics).
 Topic x subtopic similarities are a dense matrix product, done per partition
-with numpy on Arrow batches against the subtopic matrix shipped once as a
-broadcast variable; nothing is joined pairwise. Its size is checked.
+with numpy on Arrow batches against the subtopic matrix shipped as a broadcast
+variable, in blocks of a fixed size; nothing is joined pairwise.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,9 +23,10 @@ from pyspark.sql import types as T
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
+from ..session import materialize
 
-# Subtopics a taxonomy may have: its vectors travel to every task (64 doubles each: 25 MB).
-MAX_SUBTOPICS = 50_000
+# Subtopics in a block of the taxonomy: their vectors travel to every task (64 doubles each: 25 MB).
+BLOCK = 50_000
 SLICE = 1 << 20  # cosines computed at a time in a task
 
 
@@ -195,23 +198,40 @@ SCORE_SCHEMA = T.StructType([
 ])
 
 
-def score_subtopics(tvecs: DataFrame, subvecs: DataFrame, min_similarity: float) -> DataFrame:
+def score_subtopics(tvecs: DataFrame, subvecs: DataFrame, min_similarity: float, block: int = BLOCK) -> DataFrame:
     """J4 + M9: cosine of every topic vector with every subtopic vector, times the
     quality multiplier 0.5 + 0.5 * quality; only pairs >= ``min_similarity`` leave
-    the task. The taxonomy is a dimension of checked size, shipped once as a broadcast
-    variable; one plan, whatever its size."""
+    the task. The taxonomy comes in blocks of at most ``block`` subtopics in the order of
+    (ord, major, subtopic), each fetched after the last key of the one before and shipped as a
+    broadcast variable. With several blocks each one's pairs are a stage, after which its
+    matrix is released, so the driver and a task hold one block whatever the taxonomy's size."""
     spark = tvecs.sparkSession
-    rows = subvecs.orderBy("ord", "major", "subtopic").limit(MAX_SUBTOPICS + 1).collect()
-    if len(rows) > MAX_SUBTOPICS:
-        raise ValueError(f"a taxonomy may have {MAX_SUBTOPICS} subtopics at most")
-    if not rows:
-        return spark.createDataFrame([], SCORE_SCHEMA)
-    mat = np.array([np.asarray(r["vec"], dtype=np.float64) for r in rows])
-    bc = spark.sparkContext.broadcast((
-        [r["ord"] for r in rows], [r["major"] for r in rows], [r["subtopic"] for r in rows], mat))
     src = tvecs.select(F.col("doc_id").cast("long"), F.col("topic_id").cast("int"),
                        F.col("topic_quality").cast("double"), "vec")
-    return src.mapInPandas(_broadcast_scorer(bc, min_similarity, SLICE), SCORE_SCHEMA)
+    key = F.struct("ord", "major", "subtopic")
+    todo, parts = subvecs, []
+    while True:
+        rows = todo.orderBy("ord", "major", "subtopic").limit(block + 1).collect()
+        more = len(rows) > block
+        rows = rows[:block]
+        if not rows:
+            break
+        mat = np.array([np.asarray(r["vec"], dtype=np.float64) for r in rows])
+        bc = spark.sparkContext.broadcast((
+            [r["ord"] for r in rows], [r["major"] for r in rows], [r["subtopic"] for r in rows], mat))
+        if more and not parts:  # vectors are scanned once a block: computed once
+            src, subvecs = materialize(src, "topic-vectors"), materialize(subvecs, "subtopic-vectors")
+        scored = src.mapInPandas(_broadcast_scorer(bc, min_similarity, SLICE), SCORE_SCHEMA)
+        if not more and not parts:
+            return scored
+        parts.append(materialize(scored, "subtopic-scores"))
+        bc.destroy()
+        if not more:
+            break
+        last = rows[-1]
+        after = F.struct(F.lit(last["ord"]).alias("ord"), F.lit(last["major"]).alias("major"), F.lit(last["subtopic"]).alias("subtopic"))
+        todo = subvecs.where(key > after)
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], SCORE_SCHEMA)
 
 
 def _broadcast_scorer(bc, min_similarity, slice_size):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
-from ..operators import language, phrases, segments, split_tree, taxonomy, terms, topic_factors, topics
+from ..operators import language, lemmas, phrases, report_state, segments, split_tree, taxonomy, terms, topic_factors, topics
 from ..sources import blogfiles, testdata
 from ..sources.tables import (attach_metadata, decode_json_map, encode_json, first_rows, read_table, require_columns,
                               skip_processed, union_results)
@@ -481,3 +481,38 @@ QUERIES.update({
     "s11_topic_json": s11_topic_json,
     "e6_topics_over_time": e6_topics_over_time,
 })
+
+
+def t1_lemma_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T1 with lemmas: how often, and in how many documents, each lemma occurs. Words that
+    occur themselves are the known ones that a suffix rule may lead to."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", terms.frequency_tokens("text").alias("toks"))
+    counts = materialize(terms.exploded_counts(d, ["doc_id"], "toks"), "word-counts")
+    words = materialize(counts.select(F.col("term").alias("word")).distinct(), "words")
+    table = lemmas.lemma_table(words, lemmas.irregular_forms(spark), lemmas.noun_rules(spark), words)
+    per_doc = lemmas.lemma_counts(counts, ["doc_id"], table)
+    return per_doc.groupBy(F.col("term").alias("lemma")).agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("documents"))
+
+
+def r1_incremental_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R1 kept up to date: the blogs arrive in four batches, in any order, one of them twice."""
+    docs = materialize(st.blogs_with_scores(spark, sf_dir), "scored-blogs")
+    state = f"{checkpoint_dir(spark).rstrip('/')}/report-state-{uuid.uuid4().hex}"
+    for number in (2, 0, 3, 0, 1):
+        batch = docs.where(F.pmod(F.crc32(F.col("file_id").cast("string")), F.lit(4)) == number)
+        report_state.add_batch(batch, segments.default_segments(), state, str(number))
+    return segments.rank_within(report_state.report(spark, state), "average_weighted_score")
+
+
+def e6_terms_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 on text: the terms that stand out in each month's posts against the months before."""
+    from ..streaming.topic_stream import terms_over_time
+    posts = materialize(s3_post_pairs(spark, sf_dir).select("date", terms.topic_tokens("content").alias("tokens")), "dated-tokens")
+    return terms_over_time(posts, "date", "tokens")
+
+
+QUERIES.update({
+    "t1_lemma_counts": t1_lemma_counts,
+    "r1_incremental_scores": r1_incremental_scores,
+    "e6_terms_over_time": e6_terms_over_time,
+})

@@ -3,6 +3,7 @@
 * ``event_windows``: E5, "real-time topic tracking" as tumbling-window counts per
   event type; the same function serves a static DataFrame (batch twin) and a
   streaming one (with a watermark, so state is dropped once a window is final).
+* ``topics_over_time``, ``terms_over_time``: E6, of topics and of texts.
 * ``incremental_topics``: I1(b), the resumable extraction as a file-source stream
   with ``trigger(availableNow=True)``: each run processes only files it has not
   seen (the checkpoint records them) and appends results; re-running adds nothing.
@@ -17,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import bags
 from ..operators import terms, topic_factors, topics
 from ..functions import text as tx
 from ..sources.tables import skip_processed, stage_exists
@@ -47,6 +49,33 @@ def topics_over_time(rows: DataFrame, ts: str, topic: str) -> DataFrame:
                     F.round(change, 6).alias("change"))
 
 
+def terms_over_time(rows: DataFrame, ts: str, tokens: str, top_n: int = 10) -> DataFrame:
+    """E6 on text: per month the ``top_n`` terms by count x idf, where the idf knows only the
+    months before, ``ln((1 + texts before) / (1 + texts before with the term)) + 1``, so that a
+    month's terms never change when later ones arrive. Weights are rounded to 6 digits, ties go
+    to the smaller term; texts without a date or a token count nothing.
+
+    Texts become (month, term, count, texts) inside partial aggregates; the running sum per
+    term sees at most one row a month, and the months themselves are one small array."""
+    month = F.date_format(F.date_trunc("month", F.col(ts).cast("timestamp")), "yyyy-MM")
+    docs = rows.where(F.col(ts).isNotNull() & (F.size(tokens) > 0)).select(
+        month.alias("month"), F.explode(bags.term_counts(F.col(tokens))).alias("b"))
+    n = docs.groupBy("month", F.col("b.term").alias("term")).agg(
+        F.sum(F.col("b.cnt")).cast("long").alias("cnt"), F.count(F.lit(1)).alias("texts"))
+    sizes = (rows.where(F.col(ts).isNotNull() & (F.size(tokens) > 0)).groupBy(month.alias("month"))
+                 .agg(F.count(F.lit(1)).alias("n")))
+    months = sizes.agg(F.sort_array(F.collect_list(F.struct("month", "n"))).alias("m"))  # one row a month
+    before = months.select(F.explode(F.transform("m", lambda x, i: F.struct(
+        x["month"].alias("month"), F.aggregate(F.slice("m", 1, i), F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("before")))).alias("x")).select("x.*")
+    earlier = Window.partitionBy("term").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    seen = n.withColumn("seen", F.coalesce(F.sum("texts").over(earlier), F.lit(0)))
+    weight = F.col("cnt") * (F.log((F.lit(1.0) + F.col("before")) / (F.lit(1.0) + F.col("seen"))) + 1)
+    weighed = seen.join(before, "month").withColumn("weight", F.round(weight, 6))
+    rank = F.row_number().over(Window.partitionBy("month").orderBy(F.col("weight").desc(), "term"))
+    return (weighed.withColumn("rank", rank).where(F.col("rank") <= top_n)
+                   .select("month", F.col("rank").cast("long").alias("rank"), "term", "cnt", "texts", "weight"))
+
+
 def start_event_windows(spark: SparkSession, source_dir: str, schema, sink_dir: str, checkpoint: str,
                         window: str = "1 hour", watermark: str = "10 minutes", available_now: bool = True):
     """E5 as a stream: parquet files arriving in ``source_dir`` -> windowed counts

@@ -683,3 +683,36 @@ s AS (SELECT *, n / sum(n) OVER (PARTITION BY month) AS share FROM n)
 SELECT month, topic, n, round(share, 6) AS share, row_number() OVER (PARTITION BY month ORDER BY n DESC, topic) AS rank,
   round(share - lag(share) OVER (PARTITION BY topic ORDER BY month), 6) AS change FROM s""",
 }
+
+
+def lemma_counts_sql() -> str:
+    """T1 tokens, then the tables of forms and suffix rules."""
+    rules = ", ".join(f"('{a}', {'NULL' if b is None else chr(39) + b + chr(39)})" for a, b in lx.NOUN_SUFFIX_RULES.items())
+    forms = ", ".join(f"('{a}', '{b}')" for a, b in lx.IRREGULAR_PLURALS.items())
+    return f"""
+WITH tok AS (SELECT doc_id, unnest(list_filter(regexp_extract_all(lower(text), '[a-z]+'),
+               lambda t: t NOT IN ({_q(lx.ENGLISH_STOP_WORDS)}) AND length(t) > 1)) AS word FROM documents),
+w AS (SELECT DISTINCT word FROM tok),
+r(suffix, replacement) AS (VALUES {rules}),
+f(form, lemma) AS (VALUES {forms}),
+cut AS (SELECT word, length(suffix) AS l, substr(word, 1, length(word) - length(suffix)) || replacement AS made
+        FROM w JOIN r ON ends_with(word, suffix) AND length(word) >= length(suffix) + 2),
+kept AS (SELECT word, max(l) AS kl FROM cut WHERE made IS NULL GROUP BY word),
+ok AS (SELECT c.word, c.l, c.made FROM cut c LEFT JOIN kept k ON k.word = c.word
+       WHERE c.made IS NOT NULL AND (k.kl IS NULL OR c.l > k.kl) AND c.made IN (SELECT word FROM w)),
+best AS (SELECT word, arg_max(made, l) AS made FROM ok GROUP BY word),
+lem AS (SELECT w.word, coalesce(f.lemma, b.made, w.word) AS lemma FROM w LEFT JOIN f ON f.form = w.word LEFT JOIN best b ON b.word = w.word)
+SELECT lemma, count(*) AS n, count(DISTINCT doc_id) AS documents FROM tok JOIN lem USING (word) WHERE length(lemma) > 1 GROUP BY lemma"""
+
+
+def terms_over_time_sql(top_n: int = 10) -> str:
+    return f"""
+WITH p AS ({post_pairs_sql()}),
+t AS (SELECT file_id, pos, strftime(date, '%Y-%m') AS month, unnest({topic_tokens('content')}) AS term FROM p WHERE date IS NOT NULL),
+n AS (SELECT month, term, count(*) AS cnt, count(DISTINCT (file_id, pos)) AS texts FROM t GROUP BY 1, 2),
+m AS (SELECT month, count(DISTINCT (file_id, pos)) AS n FROM t GROUP BY 1),
+b AS (SELECT month, coalesce(sum(n) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM m),
+s AS (SELECT n.*, coalesce(sum(texts) OVER (PARTITION BY term ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen FROM n),
+w AS (SELECT month, term, cnt, texts, round(cnt * (ln((1.0 + before) / (1.0 + seen)) + 1), 6) AS weight FROM s JOIN b USING (month)),
+r AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY weight DESC, term) AS rank FROM w)
+SELECT month, rank, term, cnt, texts, weight FROM r WHERE rank <= {top_n}"""
