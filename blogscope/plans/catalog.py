@@ -197,7 +197,7 @@ def t5_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-blog bigram then trigram phrases over all sentences of English blogs. A blog
     is a row, so all of it happens inside the row."""
     lists = F.transform("sentences", lambda x: F.filter(F.split(tx.clean_content(x), " "), lambda t: t != ""))
-    blogs = st.english_blogs(spark, sf_dir).select(F.col("file_id").alias("doc_id"), lists.alias("lists"))
+    blogs = st.english_sentences(spark, sf_dir).select(F.col("file_id").alias("doc_id"), lists.alias("lists"))
     out = phrases.phrases_in_rows(blogs, "lists").select("doc_id", F.explode("phrased").alias("p"))
     return out.select("doc_id", F.col("p.pos").cast("long").alias("sent_id"),
                       F.array_join("p.tokens", " ").alias("phrased"))

@@ -46,6 +46,14 @@ def english_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
         terms.sentences("content").alias("sentences")), "english-blogs")
 
 
+def english_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_id, sentences) of the English blogs, as a stage. What asks for sentences alone needs
+    no demographics, so the texts are not joined and never shuffled."""
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), F.col("text").alias("content"))
+    english = language.with_language(docs, "content").where(F.col("content_language") == "en")
+    return materialize_stage(english.select("file_id", terms.sentences("content").alias("sentences")), "english-blogs")
+
+
 def english_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file_id, gender, age, industry, tokens) of the English blogs."""
     return english_blogs(spark, sf_dir).select("file_id", "gender", "age", "industry", "tokens")
