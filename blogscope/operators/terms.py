@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import bags
 from ..functions import lexicon as lx
 from ..functions import text as tx
+from ..session import materialize
+from . import sketch
 
 
 def frequency_tokens(col, stop_words=lx.ENGLISH_STOP_WORDS, lemmas: dict | None = None) -> Column:
@@ -155,7 +157,8 @@ def ngrams(tokens: Column, n_min: int = 1, n_max: int = 3) -> Column:
 
 
 def segment_tfidf(segs: DataFrame, key: list[str], scope: list[str], tokens: str = "tokens",
-                  ngram=(1, 3), max_features: int | None = 1000, min_df: int = 2, max_df: float = 0.85) -> DataFrame:
+                  ngram=(1, 3), max_features: int | None = 1000, min_df: int = 2, max_df: float = 0.85,
+                  width: int = sketch.WIDTH) -> DataFrame:
     """TF-IDF over the segments of each scope (a blog, or the corpus when ``scope`` is
     empty) with n-grams 1-3: df >= ``min_df`` and <= ``max_df`` x segments (falling back to
     df >= 1 when no term survives), the ``max_features`` terms with the highest total count
@@ -163,25 +166,32 @@ def segment_tfidf(segs: DataFrame, key: list[str], scope: list[str], tokens: str
     per segment. ``segs`` has one row per key. Output (key..., term, cnt, weight). Terms are
     counted inside their row; what shuffles is (scope, term) document frequencies, partially
     aggregated, and the terms that are kept. A corpus has no window
-    over one partition: its counts are scalar aggregates and its cut an ordered limit."""
+    over one partition: its counts are scalar aggregates and its cut an ordered limit. Most
+    n-grams of a corpus occur in one segment only; they are left out by a sketch of ``width``
+    buckets before any string is shuffled (with the fallback, nothing is left out)."""
     counts = exploded_counts(segs.select(*key, ngrams(F.col(tokens), *ngram).alias("grams")), key, "grams").withColumn(
         "cnt", F.col("cnt").cast("long"))
-    dfs = counts.groupBy(*scope, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("total"))
-    if scope:
-        j = dfs.join(segs.groupBy(*scope).agg(F.count(F.lit(1)).alias("n")), scope)
-    else:
-        j = dfs.withColumn("n", segs.select(F.count(F.lit(1))).scalar())
     strict = (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n"))
     loose = (F.col("df") >= 1) & (F.col("df") <= F.lit(max_df) * F.col("n"))
+
+    def frequencies(counts):
+        return counts.groupBy(*scope, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("cnt").alias("total"))
+
     if scope:
+        j = frequencies(counts).join(segs.groupBy(*scope).agg(F.count(F.lit(1)).alias("n")), scope)
         any_strict = F.max(strict.cast("int")).over(Window.partitionBy(*scope)) == 1
         kept = j.withColumn("_any", any_strict).where(F.when(F.col("_any"), strict).otherwise(loose)).drop("_any")
         if max_features:
             rk = Window.partitionBy(*scope).orderBy(F.col("total").desc(), F.col("term").asc())
             kept = kept.withColumn("_r", F.row_number().over(rk)).where(F.col("_r") <= max_features)
     else:
-        kept = j.where(strict)
-        kept = j.where(loose) if kept.isEmpty() else kept
+        n = segs.select(F.count(F.lit(1))).scalar()
+        repeated = materialize(sketch.seen_often(counts, ["term"], min_df, width), "repeated-terms") if min_df > 1 else counts
+        kept = materialize(frequencies(repeated).withColumn("n", n).where(strict), "kept-terms")
+        if kept.isEmpty():
+            kept = frequencies(counts).withColumn("n", n).where(loose)
+        else:
+            counts = repeated
         if max_features:
             kept = kept.orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features)
     w = (counts.join(kept.select(*scope, "term", "df", "n"), scope + ["term"])
