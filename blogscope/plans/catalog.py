@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
-from ..operators import language, lemmas, phrases, report_state, segments, split_tree, taxonomy, terms, topic_factors, topics
+from ..operators import language, lemmas, phrases, report_state, segment_vectors, segments, split_tree, taxonomy, terms, topic_factors, topics
 from ..sources import blogfiles, testdata
 from ..sources.tables import (attach_metadata, decode_json_map, encode_json, first_rows, read_table, require_columns,
                               skip_processed, union_results)
@@ -263,6 +263,26 @@ def t7_corpus_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matrix_digest(terms.segment_tfidf(segs, lda_topics.SEGMENT_KEY, [], max_features=None))
 
 
+def m5_projected_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: the Gram matrix of the corpus matrix (T7) projected on 16 directions, the numbers
+    from which the truncated SVD starts."""
+    segs = lda_topics.semantic_segments(st.english_blogs(spark, sf_dir))
+    rows = segment_vectors.projected(terms.segment_tfidf(segs, lda_topics.SEGMENT_KEY, [], max_features=None),
+                                     lda_topics.SEGMENT_KEY, 16)
+    return segment_vectors.gram(rows, 16).select("i", "j", F.round("g", 4).alias("g"))
+
+
+def m5_segment_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + M4: every segment's vector by the truncated SVD of the corpus matrix, and the number
+    of topics that these vectors give (rows only)."""
+    segs = lda_topics.semantic_segments(st.english_blogs(spark, sf_dir))
+    vectors, k = lda_topics.segment_embeddings(segs)
+    return vectors.select("doc_id", F.col("seg_id").cast("long").alias("seg_id"),
+                          F.transform("v", lambda x: F.round(x, 6)).alias("v"), F.lit(k).cast("long").alias("topics"))
+
+
+QUERIES["m5_projected_gram"] = m5_projected_gram
+QUERIES["m5_segment_vectors"] = m5_segment_vectors
 QUERIES["t7_corpus_tfidf"] = t7_corpus_tfidf
 QUERIES["t7_segment_tfidf"] = t7_segment_tfidf
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import phrases, segments, split_tree, taxonomy, terms, topic_factors, topics
+from ..operators import phrases, segment_vectors, segments, split_tree, taxonomy, terms, topic_factors, topics
 from ..session import materialize
 from ..sources import testdata
 from ..sources.tables import read_table
@@ -50,6 +50,14 @@ def choose_topic_count(segs: DataFrame, vectors) -> int:
     return split_tree.choose_k(materialize(vecs.select("v"), "segment-vectors"))[0]
 
 
+def segment_embeddings(segs: DataFrame, dims: int = 8) -> tuple[DataFrame, int]:
+    """M5 -> M4 without word vectors: (doc_id, seg_id, v) by a truncated SVD of the corpus's term
+    matrix, and the number of topics that the vectors give."""
+    matrix = materialize(terms.segment_tfidf(segs, SEGMENT_KEY, [], max_features=None), "term-matrix")
+    vectors = materialize(segment_vectors.truncated_svd(matrix, SEGMENT_KEY, dims)[0], "segment-embeddings")
+    return vectors, split_tree.choose_k(vectors.select("v"))[0]
+
+
 def fit(spark: SparkSession, segs: DataFrame, vectors, max_iter: int = 20, words: int = 20, seed: int = 42):
     """M1-M4: (topic-word table, blog topics (doc_id, topic_id), k) of a model with a distributed
     topic-word table and ``max_iter`` passes over the corpus. A blog's topics are those that

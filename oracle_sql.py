@@ -448,6 +448,17 @@ MATRIX_DIGEST = """SELECT doc_id, seg_id, count(*) AS n_terms, round(sum(weight)
 
 
 def corpus_segment_tfidf_sql() -> str:
+    return _corpus_matrix_cte() + MATRIX_DIGEST
+
+
+def projected_gram_sql(r: int = 16) -> str:
+    return _corpus_matrix_cte() + f""",
+p AS (SELECT doc_id, seg_id, d.j, sum(CASE WHEN ascii(substr(md5(term), d.j + 1, 1)) % 2 = 1 THEN weight ELSE -weight END) AS y
+      FROM nw, (SELECT unnest(range({r})) AS j) d GROUP BY 1, 2, 3)
+SELECT a.j AS i, b.j AS j, round(sum(a.y * b.y), 4) AS g FROM p a JOIN p b USING (doc_id, seg_id) GROUP BY 1, 2"""
+
+
+def _corpus_matrix_cte() -> str:
     grams = " || ".join(
         f"[array_to_string(toks[i + 1:i + {n}], ' ') FOR i IN range(0, len(toks) - {n} + 1)]" for n in (1, 2, 3))
     return f"""
@@ -460,7 +471,7 @@ k AS (SELECT term, count(*) AS df, any_value(ns.n) AS n FROM c CROSS JOIN ns GRO
 w AS (SELECT c.doc_id, c.seg_id, c.term, (1.0 + ln(c.cnt)) * (ln((1.0 + k.n) / (1.0 + k.df)) + 1.0) AS raw
       FROM c JOIN k USING (term)),
 nw AS (SELECT *, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id, seg_id)) AS weight FROM w)
-{MATRIX_DIGEST}"""
+"""
 
 
 def top_term_sentences_sql() -> str:
