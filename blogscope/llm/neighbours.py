@@ -3,8 +3,8 @@
 Vectors of length one are hashed by ``TABLES`` tables of ``PROJECTIONS`` Gaussian projections,
 cut into cells of ``WIDTH``. A query visits, in each table, its own cell and the cells that
 differ by one step in some projections, in the order of their estimated success (least
-sum of squared distances to the crossed cell walls). What any table yields is merged and
-ranked by the exact cosine in double precision.
+sum of squared distances to the crossed cell walls). What any table yields is merged, gathered
+and ranked by the exact cosine in double precision; other vectors are not multiplied.
 
 The index is dealt over shards by a hash of the id, so that a crowded cell is shared out
 evenly; each shard holds its own tables. Queries stream past every shard in blocks, and a
@@ -27,7 +27,8 @@ TABLES, PROJECTIONS, WIDTH, PROBES = 16, 5, 1.0, 100
 SHARD_ROWS = 4_096  # aimed at, while that makes no more shards than shuffle partitions
 SHARD_MOST = 1 << 19  # rows of a shard whatever the number of partitions
 QUERY_BLOCK = 256
-BLOCK_PAIRS = 1 << 22  # queries times rows of a shard scored at a time
+BLOCK_PAIRS = 1 << 22  # queries times rows of a shard looked up at a time
+GATHERED = 1 << 15  # candidates whose vectors are gathered at a time
 
 SCHEMA = "query_id long, vec_id long, score double"
 
@@ -69,37 +70,44 @@ class Shard:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, hashes: Hashes | None):
         self.ids, self.vectors, self.hashes = ids, vectors, hashes
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        self.unit = vectors / self.norms[:, None]
-        self.cells = [np.unique(hashes.keys(self.unit, t), return_inverse=True) for t in range(hashes.tables)] if hashes else []
-
-    def candidates(self, unit: np.ndarray) -> np.ndarray:
-        """(queries, vectors): whether any table yields the vector for the query."""
-        mask = np.full((len(unit), len(self.ids)), self.hashes is None)
-        for t, (keys, cell) in enumerate(self.cells):
+        self.products = 0  # vectors multiplied with a query so far
+        self.tables = []  # per table: cell keys, where each cell begins, the vectors by cell
+        for t in range(hashes.tables if hashes else 0):
+            keys, cell = np.unique(hashes.keys(vectors / self.norms[:, None], t), return_inverse=True)
+            edges = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=len(keys)))])
+            self.tables.append((keys, edges, np.argsort(cell, kind="stable")))
+
+    def candidates(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The (query, vector) pairs that any table yields, each once, by query."""
+        rows = len(self.ids)
+        marked = np.full(len(unit) * rows, self.hashes is None)
+        for t, (keys, edges, order) in enumerate(self.tables):
             probe = self.hashes.probe_keys(unit, t)
             at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
-            seen = np.zeros((len(unit), len(keys)), bool)
-            row, col = np.nonzero(keys[at] == probe)
-            seen[row, at[row, col]] = True
-            mask |= seen[:, cell]
-        return mask
+            query, col = np.nonzero(keys[at] == probe)
+            cell = at[query, col]
+            sizes = edges[cell + 1] - edges[cell]
+            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            marked[np.repeat(query, sizes) * rows + order[np.repeat(edges[cell], sizes) + inside]] = True
+        return np.divmod(np.flatnonzero(marked), rows)
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int):
-        """(query_id, vec_id, score) of the best ``k`` candidates of each query, ties to the
-        smaller id. A fast product with the whole shard, masked to the candidates, picks them
-        with a margin, then scores are exact."""
+        """(query_id, vec_id, score) arrays of the best ``k`` candidates of each query, ties to
+        the smaller id. Candidates' vectors are gathered and scored in blocks; no other vector
+        is multiplied."""
         norms = np.sqrt((queries * queries).sum(axis=1))
-        unit = queries / norms[:, None]
-        mask = self.candidates(unit)
-        mask &= query_ids[:, None] != self.ids[None, :]
-        fast = np.where(mask, unit @ self.unit.T, -9.0)
-        keep = min(k, len(self.ids))
-        least = np.partition(fast, len(self.ids) - keep, axis=1)[:, -keep]
-        for q in range(len(queries)):
-            at = np.flatnonzero(mask[q] & (fast[q] >= least[q] - 1e-9))
-            score = (self.vectors[at] * queries[q]).sum(axis=1) / (self.norms[at] * norms[q])
-            for j in np.lexsort((self.ids[at], -score))[:k]:
-                yield int(query_ids[q]), int(self.ids[at[j]]), float(score[j])
+        query, vector = self.candidates(queries / norms[:, None])
+        other = query_ids[query] != self.ids[vector]
+        query, vector = query[other], vector[other]
+        self.products += len(query)
+        score = np.empty(len(query))
+        for lo in range(0, len(query), GATHERED):
+            q, v = query[lo:lo + GATHERED], vector[lo:lo + GATHERED]
+            score[lo:lo + GATHERED] = (self.vectors[v] * queries[q]).sum(axis=1) / (self.norms[v] * norms[q])
+        order = np.lexsort((self.ids[vector], -score, query))
+        first = np.searchsorted(query[order], np.arange(len(queries)))
+        best = order[np.arange(len(order)) - first[query[order]] < k]
+        return query_ids[query[best]], self.ids[vector[best]], score[best]
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -155,8 +163,8 @@ def shard_answers(batches, k: int, options: dict, exact: bool = False):
                 for lo in range(0, len(rows), step):
                     own = rows[lo:lo + step]
                     at = (ends[own] - dim)[:, None] + np.arange(dim)
-                    got = list(zip(*index.nearest(ids[own], values[at], k)))
-                    if got:
+                    got = index.nearest(ids[own], values[at], k)
+                    if len(got[0]):
                         yield pa.RecordBatch.from_arrays([pa.array(got[0], pa.int64()), pa.array(got[1], pa.int64()),
                                                           pa.array(got[2], pa.float64())], names=["query_id", "vec_id", "score"])
 

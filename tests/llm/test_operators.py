@@ -649,6 +649,31 @@ def test_neighbour_blocks_are_bounded_by_the_rows_of_the_shard(monkeypatch):
     assert rows() == whole and whole and max(sizes) <= 700
 
 
+def test_only_candidates_are_multiplied():
+    """Clustered vectors: few products per query, the nearest found nonetheless, and the
+    candidates are those that a look-up of every vector's cell gives."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((40, 32))
+    vectors = np.repeat(centres, 50, axis=0) + 0.1 * rng.standard_normal((2000, 32))
+    ids = rng.permutation(2000).astype(np.int64)
+    shard = neighbours.Shard(ids, vectors, neighbours.Hashes(32, tables=8, projections=6, probes=10))
+    at = np.arange(0, 2000, 20)
+    query_id, vec_id, score = shard.nearest(ids[at], vectors[at], 5)
+    assert shard.products < 0.25 * len(at) * 2000
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    cosine = unit[at] @ unit.T
+    cosine[np.arange(len(at)), at] = -2
+    found = set(zip(query_id.tolist(), vec_id.tolist()))
+    want = {(int(ids[q]), int(ids[v])) for q, row in zip(at, cosine) for v in np.argsort(-row)[:5]}
+    assert len(found & want) >= 0.95 * len(want)
+    place = {int(i): n for n, i in enumerate(ids)}
+    assert all(abs(s - unit[place[q]] @ unit[place[v]]) < 1e-12 for q, v, s in zip(query_id.tolist(), vec_id.tolist(), score))
+    query, vector = shard.candidates(unit[at[:7]])
+    naive = {(q, v) for t in range(shard.hashes.tables) for q, probes in enumerate(shard.hashes.probe_keys(unit[at[:7]], t))
+             for v in np.flatnonzero(np.isin(shard.hashes.keys(unit, t), probes))}
+    assert set(zip(query.tolist(), vector.tolist())) == {(int(q), int(v)) for q, v in naive} and len(query) == len(naive)
+
+
 @pytest.mark.parametrize("shards", [1, 3])
 def test_neighbours_of_small_tables_and_outliers_are_whole(spark, monkeypatch, shards):
     rng = np.random.default_rng(8)
