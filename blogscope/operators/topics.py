@@ -8,7 +8,6 @@ per-blog steps (threshold, de-duplication) are column expressions.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -166,16 +165,3 @@ def blog_summary(topics: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("num_topics"), F.avg("topic_quality").alias("average_topic_quality"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(tx.valid_topic_words(F.col("words")))))).alias("words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list(tx.label_parts(F.col("label")))))).alias("topic_labels"))
-
-
-def word_vectors(segments: DataFrame, tokens: str = "tokens", size: int = 64, min_count: int = 2,
-                 seed: int = 42, max_iter: int = 1) -> DataFrame:
-    """M5: word vectors trained on the corpus (pyspark.ml Word2Vec) as a (word, vec)
-    table, usable wherever a vector table is expected (S10/J3)."""
-    from pyspark.ml.feature import Word2Vec
-    kept = segments.where(F.size(tokens) > 0)
-    # one training partition per input partition, not one for the whole corpus
-    w2v = Word2Vec(vectorSize=size, minCount=min_count, seed=seed, maxIter=max_iter,
-                   numPartitions=max(1, kept.rdd.getNumPartitions()), inputCol=tokens, outputCol="_v")
-    model = w2v.fit(kept)
-    return model.getVectors().select("word", vector_to_array("vector").alias("vec"))

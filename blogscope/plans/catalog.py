@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
-from ..operators import gram_blocks, language, lemmas, phrases, report_state, segment_vectors, segments, split_tree, taxonomy, terms, topic_factors, topics
+from ..operators import gram_blocks, language, lemmas, phrases, report_state, segment_vectors, segments, split_tree, taxonomy, terms, topic_factors, topics, word_vectors
 from ..sources import blogfiles, testdata
 from ..sources.tables import (attach_metadata, decode_json_map, encode_json, first_rows, read_table, require_columns,
                               skip_processed, union_results)
@@ -308,7 +308,7 @@ def p2b_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def m5_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5: Word2Vec vectors from the semantic segments (rows only)."""
-    v = topics.word_vectors(lda_topics.semantic_segments(st.english_blogs(spark, sf_dir)))
+    v = word_vectors.word_vectors(lda_topics.semantic_segments(st.english_blogs(spark, sf_dir)))
     return v.select("word", F.size("vec").alias("dims"),
                     F.round(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)), 6).alias("norm"))
 
