@@ -33,12 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, measured_stage, stage, table, text_hash, text_list, texts, without
+from .common import FILTER_BITS, fresh, maybe_in, measured_stage, stage, table, text_hash, text_list, texts, without
 
 WORDS, PERCENT = 4, 85
 STAGE_WORDS, STAGE_PERCENT = 5, 80  # of the stage that removes near duplicates
 SKETCH_BITS, SKETCH_PARTS = 21, 16
-FILTER_BITS = 23
 BINS = 256  # of a set's histogram
 FLUSH = 1 << 20  # postings buffered in a task
 SLICE = 256  # sets in one prefix tree
@@ -108,7 +107,7 @@ def read_rows(batches, size: int):
                                           pa.array(bins, pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names=names)
     if any_rows:
         for k, part in enumerate(np.split(counts, SKETCH_PARTS)):
-            row = [*[[None]] * 5, [k], [part.astype(np.uint32).tobytes()]]
+            row = [*[[None]] * 5, [k], [part.astype(np.min_scalar_type(int(part.max()))).tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, kinds)], names=names)
 
 
@@ -120,7 +119,8 @@ def sketch_ranks(read: DataFrame) -> np.ndarray:
         sums = {}
         for b in batches:
             for part, raw in zip(b.column("part").to_pylist(), b.column("counts").to_pylist()):
-                sums[part] = sums.get(part, 0) + np.frombuffer(raw, np.uint32).astype(np.int64)
+                counts = np.frombuffer(raw, f"u{len(raw) * SKETCH_PARTS >> SKETCH_BITS}")  # as narrow as the task's counts allow
+                sums[part] = sums.get(part, 0) + counts.astype(np.int64)
         for part, c in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([c.tobytes()], pa.binary())],
                                              names=["part", "counts"])
@@ -391,6 +391,8 @@ def verify(docs: DataFrame, pairs: DataFrame, classes: DataFrame, ranks, size: i
     """Links (a, b), written out, and their number, among candidate ``pairs`` (probe, key). Only texts of candidates are made
     into sets again (a bit filter picks them at the scan); a probe with many partners is
     dealt over slices. ``ranks`` is a broadcast."""
+    near, flag = maybe_in(classes, ["key"], pairs.select("probe").union(pairs.select("key")), ["probe"])
+    classes = near.where(flag).drop(flag)  # only their histograms are shuffled
     pairs = stage(possible(pairs, classes, percent), "jaccard-possible")
     wanted = stage(pairs.select("probe").union(pairs.select("key")).distinct()
                    .join(classes.select(F.col("key").alias("probe"), "first_id"), "probe")

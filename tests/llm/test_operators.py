@@ -723,3 +723,25 @@ def test_pipeline_stages(spark, tmp_path):
     assert set(ids[1]) - set(ids[2]) == {182} and ids[3] == ids[2]
     assert {r["doc_id"] for r in docs.collect() if r["doc_id"] is not None} == set(ids[3])
     assert corpus_pipeline.run(spark, str(tmp_path)).columns == docs.columns
+
+
+def test_removal_shuffles_only_rows_that_may_go(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 90}") for i in range(100)] + [(None, "text 1"), (5, None), (5, "other")], "doc_id long, text string")
+    hashed = docs.withColumn("hash", common.text_hash())
+    gone = hashed.where("doc_id % 10 = 5 or doc_id is null").select("doc_id", "hash")
+    held, flag = common.maybe_in(hashed, ["doc_id", "hash"], gone, ["doc_id", "hash"])
+    on = held.where(flag).count()
+    assert held.where(flag).join(gone, ["doc_id", "hash"], "left_semi").count() == 12 and 13 <= on < 20
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = common.without(docs, gone, "test-removed")
+        assert sorted(r["doc_id"] for r in left.where("doc_id is not null").collect()) == [i for i in range(100) if i % 10 != 5]
+        assert [r["text"] for r in left.where("doc_id is null").collect()] == ["text 1"]  # a null id equals none
+        assert left.columns == docs.columns
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        assert "Union" in plan and "own_flag" in plan  # rows without the bit pass beside the join
+        assert common.without(docs, gone.limit(0), "test-removed").count() == docs.count()
+        assert common.without(docs, gone.select("hash"), "test-removed").where("text = 'text 5' or text is null").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
