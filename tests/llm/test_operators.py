@@ -469,6 +469,49 @@ def test_word_scores_mix_ids_and_shares():
     assert m.score([pieces], [sizes], [shares], 0.01)[0] == pytest.approx(want)
 
 
+def test_classes_and_attention_layer_learn_from_every_training_document(spark, monkeypatch):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=common.tokenizer_path(lm.MODEL))
+    size = sp.get_piece_size()
+    words = [p[1:] for p in map(sp.id_to_piece, range(size)) if p[0] == "\u2581" and p[1:].isascii() and p[1:].islower() and p[1:].isalpha()]
+    own = [w for w in words if len(sp.encode(w)) == 1][:1500]  # a text of a word that no other has
+    docs = spark.createDataFrame([(k, f"{w} {w} {w}") for k, w in enumerate(own)], "doc_id long, text string").repartition(8)
+    seen = []
+    finish = lm.AttentionModel.finish
+    monkeypatch.setattr(lm.AttentionModel, "finish", lambda self, counts: seen.append(self) or finish(self, counts))
+    monkeypatch.setattr(lm, "FIRST_IDS", 2000, raising=False)  # several rounds and units
+    monkeypatch.setattr(lm, "UNIT_IDS", 1000, raising=False)
+    assert lm.lm_scores(docs, F.lit(False), F.lit(True)).where("score < 0").count() == len(own) == 1500
+    model, ids = seen[0], [sp.encode(w)[0] for w in own]
+    before = lm.AttentionModel(size, model.begins)
+    assert (model.emb[ids] != before.emb[ids]).any(axis=1).all()
+    unused = np.setdiff1d(np.arange(size), [*ids, lm.BEGIN, lm.END, 0])
+    assert (model.emb[unused] == before.emb[unused]).all()
+    assert len(np.unique(model.class_of[ids])) > 1
+
+
+def test_rounds_hold_every_chunk_once():
+    for n in (1, lm.FIRST_IDS, lm.FIRST_IDS + 1, 20 * lm.FIRST_IDS, 3000 * lm.FIRST_IDS):
+        plan = lm.rounds_of(n)
+        assert plan[0][0] == 0 and plan[-1][1] == 1 and all(a[1] == b[0] for a, b in zip(plan, plan[1:]))
+        assert all(lo < hi and epochs >= 1 for lo, hi, epochs in plan)
+
+
+def test_sums_of_replicas_weigh_every_unit():
+    rng = np.random.default_rng(4)
+    texts = [np.append(rng.integers(3, 60, 40), lm.END).astype(np.uint16) for _ in range(30)]
+    model = lm.AttentionModel(60)
+    got = lm.replicas(iter(texts), model, 100, 1, lm.RATE, lm.RATE / 10)
+    uses = np.bincount(np.concatenate(texts), minlength=60)
+    uses[lm.BEGIN] = uses[lm.END]
+    assert got[-61:-1] == pytest.approx(uses) and got[-1] == 30 * 41
+    stream = np.concatenate(texts)
+    for cut in (stream, stream[:-7]):  # the last text may be cut
+        assert lm.text_sizes(cut).sum() == len(cut)
+    counts = lm.context_uses(stream, model.class_of, model.begins)
+    assert counts.reshape(-1, 60).sum(axis=0) == pytest.approx(np.bincount(stream, minlength=60))
+
+
 # --- 4, 5, 7: classifiers -----------------------------------------------------------
 
 
