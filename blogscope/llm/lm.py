@@ -28,6 +28,8 @@ from __future__ import annotations
 
 import copy
 import zlib
+from collections import defaultdict
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,7 @@ UNIT, ONE = np.float32((1 << 23) / np.log(2)), np.float32(127 << 23)  # a float'
 NONE = np.float32(-1e9)  # the bits of no share
 RATE = 0.03  # falls to a tenth over the training
 GROUP = 256  # rows of ids scored at a time
+STEP_ROWS = 64  # rows of a step that are trained on at a time
 MIX = 0.2  # weight of a word's share of all training words
 
 CHUNK_SCHEMA = "chunk long, bucket int, doc_id long, held_out boolean, words binary, idx binary, n binary, sizes binary, pieces binary, ids binary"
@@ -82,7 +85,7 @@ def chunk_rows(batches, buckets: int, path: str):
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_()] + [pa.binary()] * 6
     split = subwords(path)
     number = TaskContext.get().partitionId() << 32
-    vocabulary, uses, docs, used = {}, [], [], 0
+    vocabulary, docs, used = numbering(), [], 0
 
     def rows(chunk):
         out = [(chunk, None, d, h, None, i.tobytes(), None, None, None, None) for d, h, _, i in docs]
@@ -105,10 +108,8 @@ def chunk_rows(batches, buckets: int, path: str):
                                 b.column("train").to_pylist(), text_list(b.column("text"))):
             if docs and used + len(raw) > CHUNK_BYTES:
                 yield from rows(number)
-                number, vocabulary, docs, used = number + 1, {}, [], 0
+                number, vocabulary, docs, used = number + 1, numbering(), [], 0
             own = tokens(raw)
-            for w in set(own).difference(vocabulary):
-                vocabulary[w] = len(vocabulary)
             docs.append((d, h, t, np.fromiter(map(vocabulary.__getitem__, own), np.int32, len(own))))
             used += len(raw)
     if docs:
@@ -125,13 +126,18 @@ def training_ids(docs: list[np.ndarray], sizes: np.ndarray, pieces: np.ndarray)
     return gathered(at, sizes, np.cumsum(sizes) - sizes, pieces)
 
 
+def numbering() -> dict:
+    """A dictionary that numbers its keys as they are first looked up."""
+    return defaultdict(count().__next__)
+
+
 def split_words(listed: list[bytes], split) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of ids of words, and the ids."""
     ids = []
     for lo in range(0, len(listed), 20_000):
         ids += split(listed[lo:lo + 20_000])
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    return sizes, np.fromiter((i for own in ids for i in own), np.uint16, int(sizes.sum()))
+    return sizes, np.fromiter(chain.from_iterable(ids), np.uint16, int(sizes.sum()))
 
 
 def gathered(at: np.ndarray, sizes: np.ndarray, start: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -246,7 +252,8 @@ def context_uses(stream: np.ndarray, class_of: np.ndarray, begins: np.ndarray) -
 def powers(z: np.ndarray) -> np.ndarray:
     """2 ** x of z = (x + 127) * 2 ** 23, linear between whole x: the float of these bits."""
     bits = z.astype(np.int32)
-    np.maximum(bits, 1 << 23, out=bits)
+    if bits.min(initial=1 << 23) < 1 << 23:
+        np.maximum(bits, 1 << 23, out=bits)
     return bits.view(np.float32)
 
 
@@ -302,66 +309,86 @@ class AttentionModel:
     def step(self, x, y, real, first):
         """Mean loss of the class of each real target, and gradients. Each row also sees the one
         before. Exponents need no shift (see ``id_scores``). In single precision they are
-        ``powers``, and the gradients those of exact ones, which differ by a few percent."""
+        ``powers``, and the gradients those of exact ones, which differ by a few percent. Shares
+        of keys that a query must not see are exact zeros: products with numbers next to the
+        smallest that floats hold are many times slower. A group's arrays fit into a core's cache."""
         flat, count = x.ravel(), max(int(real.sum()), 1)
         scale = np.float32(DIM ** -0.5)
         w = np.concatenate([self.wq * scale, self.wk, self.wv], axis=1)
-        e = self.emb[flat]
-        t = (e @ w).reshape(len(x), BLOCK, 3 * DIM)
-        q = t[..., :DIM]
-        kv = np.empty((len(x), 2 * BLOCK, 2 * DIM), t.dtype)
-        kv[:, BLOCK:] = t[..., DIM:]
-        kv[1:, :BLOCK], kv[0, :BLOCK] = t[:-1, :, DIM:], t[0, :, DIM:]
-        kk, vv = kv[..., :DIM], kv[..., DIM:]
-        a = q @ kk.transpose(0, 2, 1)
-        quick = a.dtype == np.float32  # both softmaxes as in id_scores
-        bias = np.where(self.causal, self.dist[self.away], -1e9).astype(a.dtype)
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        listed = flat[order]
+        starts = np.flatnonzero(np.diff(listed, prepend=-1))
+        inv, rows = np.empty(len(flat), np.int64), listed[starts]  # ids occur often in a step, so they are projected once
+        inv[order] = np.repeat(np.arange(len(rows)), np.diff(starts, append=len(flat)))
+        e = self.emb[rows]
+        t = np.take(e @ w, inv, axis=0).reshape(len(x), BLOCK, 3 * DIM)
+        e = np.take(e, inv, axis=0)
+        kind = t.dtype
+        quick = kind == np.float32  # both softmaxes as in id_scores
+        bias = np.where(self.causal, self.dist[self.away], -1e9).astype(kind)
+        out_w = np.vstack([self.wc, self.bc]).astype(kind)
         if quick:
-            a *= UNIT
-            a += np.maximum(bias * UNIT + ONE, NONE)
-            a = powers(a)
-        else:
-            a += bias
-            np.exp(a, out=a)
-        a[first, :, :BLOCK] = 0
-        a /= (a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, a.dtype)).reshape(len(x), BLOCK, 1)
-        h = np.ones((len(flat), DIM + 1), a.dtype)
-        np.add((a @ vv).reshape(-1, DIM), e, out=h[:, :DIM])
-        p = h @ (np.vstack([self.wc * UNIT, self.bc * UNIT + ONE]) if quick else np.vstack([self.wc, self.bc]))
-        p = powers(p) if quick else np.exp(p, out=p)
-        every, cls = np.arange(len(flat)), self.class_of[y.ravel()]
-        total = p @ np.ones(CLASSES, p.dtype)
-        own = (real.ravel() / count).astype(p.dtype)
-        loss = (np.log(total) - np.log(np.maximum(p[every, cls], 1e-30))) @ own
-        p *= (own / total)[:, None]
-        p[every, cls] -= own
-        out = h.T @ p
-        g = {"wc": out[:DIM], "bc": out[DIM]}
-        gh = p @ self.wc.T
-        gh3 = gh.reshape(len(x), BLOCK, DIM)
-        back = a.transpose(0, 2, 1)
-        gt, gkv = np.empty_like(t), np.empty_like(kv)
-        np.matmul(back, gh3, out=gkv[..., DIM:])
-        ga = gh3 @ vv.transpose(0, 2, 1)
-        ga -= ((a * ga).reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, a.dtype)).reshape(len(x), BLOCK, 1)
-        ga *= a
-        g["dist"] = np.bincount(self.away.ravel(), (ga.sum(axis=0) * self.causal).ravel(), 2 * BLOCK)
-        np.matmul(ga, kk, out=gt[..., :DIM])
-        np.matmul(ga.transpose(0, 2, 1), q, out=gkv[..., :DIM])
-        gt[..., DIM:] = gkv[:, BLOCK:]
-        later = np.flatnonzero(~first)
-        later = later[later > 0]
-        gt[later - 1, :, DIM:] += gkv[later, :BLOCK]
+            bias = np.where(self.causal, bias * UNIT + ONE, ONE).astype(kind)  # what must not be seen is set to 0 below
+            out_w *= UNIT
+            out_w[DIM] += ONE
+        wc_t, seen = np.ascontiguousarray(self.wc.T), self.causal.astype(kind)
+        cls, own = self.class_of[y.ravel()], (real.ravel() / count).astype(kind)
+        gt, gh = np.empty_like(t), np.empty((len(flat), DIM), kind)
+        g_out, g_dist, loss = np.zeros((DIM + 1, CLASSES)), np.zeros(self.causal.shape), 0.0
+        group = min(STEP_ROWS, len(x))
+        kv, gkv = np.zeros((2, group, 2 * BLOCK, 2 * DIM), kind)
+        h = np.ones((group * BLOCK, DIM + 1), kind)
+        logits = np.empty((group * BLOCK, CLASSES), kind)
+        keys, classes, every = np.ones((2 * BLOCK, 1), kind), np.ones(CLASSES, kind), np.arange(group * BLOCK)
+        for lo in range(0, len(x), group):
+            tg = t[lo:lo + group]
+            n, cut = len(tg), slice(lo * BLOCK, lo * BLOCK + len(tg) * BLOCK)
+            q, k = tg[..., :DIM], kv[:n, :, :DIM]
+            kv[:n, BLOCK:] = tg[..., DIM:]
+            kv[1:n, :BLOCK] = tg[:-1, :, DIM:]
+            if lo:
+                kv[0, :BLOCK] = t[lo - 1, :, DIM:]
+            kv_t = np.ascontiguousarray(kv[:n].transpose(0, 2, 1))
+            a = q @ kv_t[:, :DIM]
+            if quick:
+                a *= UNIT
+                a += bias
+                a = powers(a)
+            else:
+                a += bias
+                np.exp(a, out=a)
+            a *= seen
+            a[first[lo:lo + n], :, :BLOCK] = 0
+            a /= a @ keys
+            hg, z, c = h[:n * BLOCK], logits[:n * BLOCK], cls[cut]
+            np.add((a @ kv[:n, :, DIM:]).reshape(-1, DIM), e[cut], out=hg[:, :DIM])
+            np.matmul(hg, out_w, out=z)
+            p = powers(z) if quick else np.exp(z, out=z)
+            total = p @ classes
+            loss += float((np.log(total) - np.log(np.maximum(p[every[:len(c)], c], 1e-30))) @ own[cut])
+            p[every[:len(c)], c] -= total
+            part = (own[cut] / total)[:, None]
+            g_out += (hg * part).T @ p
+            gg = np.matmul(p, wc_t, out=gh[cut])
+            gg *= part
+            gg = gg.reshape(n, BLOCK, DIM)
+            np.matmul(a.transpose(0, 2, 1), gg, out=gkv[:n, :, DIM:])
+            ga = gg @ kv_t[:, DIM:]
+            ga *= a
+            a *= ga @ keys
+            ga -= a
+            g_dist += ga.sum(axis=0)
+            np.matmul(ga, k, out=gt[lo:lo + n, :, :DIM])
+            np.matmul(ga.transpose(0, 2, 1), q, out=gkv[:n, :, :DIM])
+            gt[lo:lo + n, :, DIM:] = gkv[:n, BLOCK:]
+            back = slice(1 if lo == 0 else 0, n)  # rows that begin a text give zeros
+            gt[lo + back.start - 1:lo + n - 1, :, DIM:] += gkv[back, :BLOCK]
+        g = {"wc": g_out[:DIM], "bc": g_out[DIM], "dist": np.bincount(self.away.ravel(), (g_dist * self.causal).ravel(), 2 * BLOCK)}
         gt = gt.reshape(-1, 3 * DIM)
         gw = e.T @ gt
         g["wq"], g["wk"], g["wv"] = gw[:, :DIM] * scale, gw[:, DIM:2 * DIM], gw[:, 2 * DIM:]
         ge = gh + gt @ w.T
-        order = np.argsort(flat, kind="stable")
-        listed = flat[order]
-        new = np.diff(listed, prepend=-1) > 0
-        inv, rows = np.empty(len(flat), np.int64), listed[new]
-        inv[order] = np.cumsum(new) - 1
-        g["emb"] = np.stack([np.bincount(inv, col, len(rows)) for col in ge.T], axis=1).astype(ge.dtype)
+        g["emb"] = np.add.reduceat(ge[order], starts, axis=0)
         return loss, g, rows
 
     def train(self, stream: np.ndarray, epochs: int, rate: float, last: float, seed: int = 7) -> list[float]:
@@ -384,9 +411,19 @@ class AttentionModel:
                 now = rate * (last / rate) ** (t / (epochs * len(starts)))
                 for k in self.NAMES:
                     at = rows if k == "emb" else slice(None)
-                    m[k][at] = m_new = 0.9 * m[k][at] + 0.1 * g[k]
-                    v[k][at] = v_new = 0.99 * v[k][at] + 0.01 * g[k] ** 2
-                    getattr(self, k)[at] -= (now / (1 - 0.9 ** t)) * m_new / (np.sqrt(v_new / (1 - 0.99 ** t)) + 1e-8)
+                    m_new, v_new, change = m[k][at], v[k][at], g[k].astype(np.float32)
+                    m_new *= np.float32(0.9)
+                    m_new += np.float32(0.1) * change
+                    change *= change
+                    v_new *= np.float32(0.99)
+                    v_new += np.float32(0.01) * change
+                    m[k][at], v[k][at] = m_new, v_new
+                    np.divide(v_new, np.float32(1 - 0.99 ** t), out=change)
+                    np.sqrt(change, out=change)
+                    change += np.float32(1e-8)
+                    np.divide(m_new, change, out=change)
+                    change *= np.float32(now / (1 - 0.9 ** t))
+                    getattr(self, k)[at] -= change
             losses.append(float(np.mean(total)))
         return losses
 
@@ -436,7 +473,7 @@ class AttentionModel:
         within = self.logp_id.reshape(-1)[context * self.size + y]
         rows = np.empty(x.shape, np.float32)
         group = max(1, min(group, len(x)))
-        kk, vv = np.zeros((2, group + 1, 2 * BLOCK, DIM), np.float32)
+        kk, vv = np.zeros((group + 1, DIM, 2 * BLOCK), np.float32), np.zeros((group + 1, 2 * BLOCK, DIM), np.float32)
         scores, logits = np.empty((group, BLOCK, 2 * BLOCK), np.float32), np.empty((group * BLOCK, CLASSES), np.float32)
         inner = np.ones((group, BLOCK, DIM + 1), np.float32)
         ones, every = np.ones(max(CLASSES, 2 * BLOCK), np.float32), np.arange(group * BLOCK)
@@ -445,12 +482,16 @@ class AttentionModel:
             xs, ys = x[lo:lo + group], y[lo:lo + group]
             n = len(xs)
             t = self.folded[xs]
-            for full, part in ((kk, t[..., DIM:2 * DIM]), (vv, t[..., 2 * DIM:3 * DIM])):
-                full[0, :BLOCK] = full[last, :BLOCK]  # the block before the first one
-                full[1:n + 1, :BLOCK] = part
-                full[:n, BLOCK:] = part
+            part = t[..., DIM:2 * DIM].transpose(0, 2, 1)  # keys lie in columns, which makes the products faster
+            kk[0, :, :BLOCK] = kk[last, :, :BLOCK]  # the block before the first one
+            kk[1:n + 1, :, :BLOCK] = part
+            kk[:n, :, BLOCK:] = part
+            part = t[..., 2 * DIM:3 * DIM]
+            vv[0, :BLOCK] = vv[last, :BLOCK]
+            vv[1:n + 1, :BLOCK] = part
+            vv[:n, BLOCK:] = part
             last = n
-            a = np.matmul(t[..., :DIM], kk[:n].transpose(0, 2, 1), out=scores[:n])
+            a = np.matmul(t[..., :DIM], kk[:n], out=scores[:n])
             a += self.bias
             a = powers(a)
             a[first[lo:lo + n], :, :BLOCK] = 0

@@ -439,6 +439,33 @@ def test_attention_model_is_a_distribution_and_its_windows_agree():
     assert together == pytest.approx(m.score(pieces, sizes, shares, 0.1, group=3), rel=1e-4)
 
 
+def test_a_step_leaves_no_tiny_numbers_where_a_key_is_hidden():
+    """Ids behind the last target get zeros, not numbers below the normal floats (slow in products)."""
+    m = lm.AttentionModel(60)
+    x, y = np.arange(3, 3 + 2 * lm.BLOCK).reshape(2, lm.BLOCK), np.full((2, lm.BLOCK), 5)
+    real = np.zeros(x.shape, bool)
+    real[0], real[1, :4] = True, True
+    _, g, rows = m.step(x, y, real, np.array([True, False]))
+    assert rows.tolist() == x.ravel().tolist()
+    own = np.abs(g["emb"])
+    assert (own[:lm.BLOCK + 4] > 0).any(axis=1).all()
+    assert (own[lm.BLOCK + 4:] == 0).all()
+
+
+def test_steps_do_not_depend_on_the_rows_taken_at_a_time(monkeypatch):
+    rng = np.random.default_rng(6)
+    m = lm.AttentionModel(60)
+    m.class_of = rng.integers(0, lm.CLASSES, 60)
+    x, y, real, first, _ = lm.blocks_of([rng.integers(3, 60, n) for n in (70, 0, 33, 16, 100)])
+    loss, g, rows = m.step(x, y, real, first)
+    for size in (1, 3, len(x) - 1):
+        monkeypatch.setattr(lm, "STEP_ROWS", size)
+        other, h, same = m.step(x, y, real, first)
+        assert other == pytest.approx(loss, rel=1e-5) and (same == rows).all()
+        for k in lm.AttentionModel.NAMES:
+            assert h[k] == pytest.approx(g[k], abs=1e-6)
+
+
 def test_probabilities_of_all_next_ids_sum_to_one():
     rng = np.random.default_rng(1)
     begins = np.arange(60) % 3 == 0
