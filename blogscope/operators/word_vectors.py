@@ -29,6 +29,7 @@ BLOCK_TOKENS = 1 << 19
 WINDOW, RATE, MAX_EXP, SENTENCE = 5, 0.025, 6.0, 1000  # as in pyspark.ml
 BATCH = 256  # tokens whose contexts are learned at once
 REPEATS = 32  # a vector that a batch uses more often moves by so many times its mean gradient
+TOP, GROUPS = 7, 4  # levels of the code whose nodes a batch shares; parts of a batch by the length of the code
 BUCKET_IDS = 1 << 16  # ids of a bucket, about
 PARTS = "bucket long, block long, ids binary, vecs binary"
 
@@ -87,35 +88,89 @@ def start_vectors(ranks: np.ndarray, size: int, seed: int) -> np.ndarray:
     return (((x >> np.uint64(40)).astype(np.float64) / (1 << 24) - 0.5) / size).astype(np.float32)
 
 
-def add_rows(table: np.ndarray, ids: np.ndarray, moves: np.ndarray) -> None:
+def add_rows(table: np.ndarray, ids: np.ndarray, moves: np.ndarray, uses: np.ndarray | None = None) -> None:
+    """Add ``moves`` to the rows ``ids`` of a table, less where an id is used often; ``uses`` of every move, one by default."""
     order = np.argsort(ids, kind="stable")
     at = ids[order]
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
     n = np.diff(np.r_[first, len(at)])
-    table[at[first]] += np.add.reduceat(moves[order], first, axis=0) / np.maximum(1, n / REPEATS).astype(np.float32)[:, None]
+    often = n > 1
+    table[at[first[~often]]] += moves[order[first[~often]]] if uses is None else moves[order[first[~often]]] / _times(uses[order[first[~often]]])
+    if often.any():
+        rows, n = np.repeat(often, n), n[often]
+        order, starts = order[rows], np.cumsum(n) - n
+        sums, place, step = moves[order], np.arange(len(order)) - np.repeat(starts, n), 1
+        left = np.repeat(n, n) - place
+        while step < n.max():  # halves of halves, since reduceat is slow along rows
+            at_step = np.flatnonzero((place % (2 * step) == 0) & (left > step))
+            sums[at_step] += sums[at_step + step]
+            step *= 2
+        table[at[first[often]]] += sums[starts] / _times(n if uses is None else np.add.reduceat(uses[order], starts))
+
+
+def _times(n: np.ndarray) -> np.ndarray:
+    return np.maximum(1, n / REPEATS).astype(np.float32)[:, None]
 
 
 def train(words: np.ndarray, inner: np.ndarray, tokens: np.ndarray, sentence: np.ndarray, path, bits, on, rng, rates) -> None:
-    """One pass over a block. ``path`` names rows of ``inner``; ``rates`` are the first and last
-    learning rate."""
-    off = np.r_[-WINDOW:0, 1:WINDOW + 1]
+    """One pass over a block. ``path`` names rows of ``inner``, which are in order of depth; ``rates`` are the
+    first and last learning rate. Nodes of the first ``TOP`` levels, which most tokens share, meet all tokens of a
+    batch in whole matrices; deeper ones meet their own token's context, tokens with paths of like length together."""
+    off, width = np.arange(-WINDOW, WINDOW + 1), 2 * WINDOW + 1
+    length, goal = on.sum(axis=1), (1 - bits).astype(np.float32)
+    top = min(TOP, path.shape[1])
+    high = int(path[:, :top].max(initial=-1)) + 1
     for lo in range(0, len(tokens), BATCH):
         p = np.arange(lo, min(lo + BATCH, len(tokens)))
         at = p[:, None] + off
         inside = np.clip(at, 0, len(tokens) - 1)
-        near = (at == inside) & (sentence[inside] == sentence[p][:, None]) & (np.abs(off) <= rng.integers(1, WINDOW + 1, len(p))[:, None])
-        t = tokens[p]
-        deep = int(on[t].sum(axis=1).max())
-        if not near.any() or not deep:
+        reach = rng.integers(1, WINDOW + 1, len(p))[:, None]
+        near = (at == inside) & (sentence[inside] == sentence[p][:, None]) & (np.abs(off) <= reach) & (off != 0)
+        t, size = tokens[p], len(p)
+        if not near.any() or not length[t].max():
             continue
-        here, way = on[t, :deep], path[t, :deep]
-        x, nodes = words[tokens[inside]], inner[way]
-        f = x @ nodes.transpose(0, 2, 1)
-        g = (1 - bits[t, None, :deep] - 1 / (1 + np.exp(-np.clip(f, -MAX_EXP, MAX_EXP)))).astype(np.float32)
-        g *= (near[:, :, None] & here[:, None] & (np.abs(f) < MAX_EXP)) * np.float32(rates[0] + (rates[1] - rates[0]) * lo / len(tokens))
-        back, out = g @ nodes, g.transpose(0, 2, 1) @ x
-        add_rows(words, tokens[inside][near], back[near])
-        add_rows(inner, way[here], out[here])
+        rate = np.float32(rates[0] + (rates[1] - rates[0]) * lo / len(tokens))
+
+        def gradient(f, goal, here, near):
+            on = np.abs(f) < MAX_EXP
+            on &= near[:, :, None]
+            on &= here[:, None]
+            g = np.clip(f, -MAX_EXP, MAX_EXP)
+            np.exp(np.negative(g, out=g), out=g)
+            g += 1
+            np.subtract(goal[:, None], np.reciprocal(g, out=g), out=g)
+            g *= on
+            g *= rate
+            return g
+
+        ids = tokens[np.clip(np.arange(lo - WINDOW, lo + size + WINDOW), 0, len(tokens) - 1)]
+        near_ids = words[ids]
+        x = np.lib.stride_tricks.sliding_window_view(near_ids, width, axis=0).transpose(0, 2, 1)
+        nodes, way, here = inner[:high], path[t, :top], on[t, :top]
+        cell = (np.arange(size)[:, None, None] + np.arange(width)[:, None]) * high + way[:, None]
+        g = gradient((near_ids @ nodes.T).ravel()[cell], goal[t, :top], here, near)
+        total = np.bincount(cell.ravel(), g.ravel(), len(ids) * high).astype(np.float32).reshape(len(ids), high)
+        back, nodes_move = total @ nodes, total.T @ near_ids
+        deep_ids, deep_moves, deep_back = [], [], np.zeros((size, width, words.shape[1]), np.float32)
+        order = np.argsort(length[t], kind="stable")
+        for own in np.array_split(order[length[t[order]] > top], GROUPS):
+            if not len(own):
+                continue
+            level = slice(top, int(length[t[own[-1]]]))
+            way, here, context = path[t[own], level], on[t[own], level], x[own]
+            below = inner[way]
+            g = gradient(context @ below.transpose(0, 2, 1), goal[t[own], level], here, near[own])
+            deep_back[own] = g @ below
+            deep_ids.append(way[here])
+            deep_moves.append((g.transpose(0, 2, 1) @ context)[here])
+        uses = np.zeros(len(ids))
+        for j in range(width):
+            back[j:j + size] += deep_back[:, j]
+            uses[j:j + size] += near[:, j]
+        inner[:high] += nodes_move / _times(np.bincount(path[t, :top][on[t, :top]], minlength=high))
+        if deep_ids:
+            add_rows(inner, np.concatenate(deep_ids), np.concatenate(deep_moves))
+        add_rows(words, ids, back, uses)
 
 
 # --- blocks ----------------------------------------------------------------------------
